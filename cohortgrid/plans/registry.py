@@ -33,20 +33,37 @@ BASELINE = BaselineSpec(max_chars=fx.FIXTURE_MAX_CHARS)
 PATTERN = fx.FIXTURE_PATTERN
 
 
-def inputs(spark: SparkSession, sf_dir: str) -> stages.StudyInputs:
-    t = Tables(spark, sf_dir)
-    return stages.StudyInputs(
-        cohort=fx.patients(t),
-        mapping=fx.mapping(t),
-        notes=fx.notes(t),
-        enrollment=fx.enrollment(t),
-        observations=fx.observations(t),
-        llm_outputs=fx.llm_outputs(t),
-        prior_outputs=fx.prior_outputs(t),
-        administered=fx.administered_meds(t),
-        orders=fx.order_meds(t),
-        providers=fx.providers(t),
-    )
+class FixtureInputs:
+    """Study inputs as fixture views over the driver tables, each built on
+    first use (a query only plans the views it reads)."""
+
+    _VIEWS = {
+        "cohort": fx.patients,
+        "mapping": fx.mapping,
+        "notes": fx.notes,
+        "enrollment": fx.enrollment,
+        "observations": fx.observations,
+        "llm_outputs": fx.llm_outputs,
+        "prior_outputs": fx.prior_outputs,
+        "administered": fx.administered_meds,
+        "orders": fx.order_meds,
+        "providers": fx.providers,
+    }
+
+    def __init__(self, tables: Tables):
+        self._t = tables
+        self._built: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in self._VIEWS:
+            raise AttributeError(name)
+        if name not in self._built:
+            self._built[name] = self._VIEWS[name](self._t)
+        return self._built[name]
+
+
+def inputs(spark: SparkSession, sf_dir: str) -> FixtureInputs:
+    return FixtureInputs(Tables(spark, sf_dir))
 
 
 def as_text_dates(df: DataFrame) -> DataFrame:

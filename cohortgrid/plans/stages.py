@@ -16,9 +16,32 @@ from ..operators.coverage import parallel_rows, wide_parallel
 from ..operators.matrix import LongMatrix, extend_matrix, present_matrix, symptom_long, to_wide
 from ..operators.notes import baseline_notes, mention_notes
 from ..operators.shift import detect_shift, shift_matrix
-from ..operators.verdicts import dated_verdicts
+from ..operators.matrix import bucket_elapsed, bucket_rollup, rollup_to_long
+from ..operators.verdicts import (
+    enrollment_gate,
+    enrollment_rollup,
+    in_treatment_window,
+    merge_verdicts,
+    observation_date,
+    parse_llm_outputs,
+)
+from ..sources.sinks import materialize
 from ..spec import FULL_SPEC, STAGE2_SPEC, BaselineSpec, MatrixSpec, MentionSpec
 
+# Columns of parsed replies that the later steps read (no long texts).
+DATED_COLUMNS = (
+    "note_id",
+    "mrn",
+    "note_time",
+    "diarrhea_present",
+    "severity_level",
+    "enroll_confirmed_start",
+    "enroll_status",
+    "enroll_start_date_parsed",
+    "enroll_confirmed_end",
+    "enroll_end_date_parsed",
+)
+
 
 @dataclass(frozen=True)
 class StudyInputs:
@@ -38,10 +61,22 @@ def stage1_notes(i: StudyInputs, m: MentionSpec = MentionSpec()) -> DataFrame:
     return mention_notes(i.cohort, i.mapping, i.notes, m.keywords, m.floor, m.lookback_months, m.max_chars)
 
 
+def reply_observations(replies: DataFrame) -> DataFrame:
+    """Stage 2 front half: parse, merge, date the replies (D2 order), then
+    the enrollment roll-up and gate joined back. The dated projection is
+    written once so the JSON is parsed once, not once per join side."""
+    dated = observation_date(merge_verdicts(parse_llm_outputs(replies))).select(*DATED_COLUMNS)
+    dated = materialize(dated, "stage2_dated")
+    return dated.join(enrollment_gate(enrollment_rollup(dated)), "mrn")
+
+
 def stage2_long(i: StudyInputs, spec: MatrixSpec = STAGE2_SPEC, from_replies: bool = False) -> LongMatrix:
-    """Symptom matrix (long) from parsed observations, or from raw replies."""
-    obs = dated_verdicts(i.llm_outputs)[0] if from_replies else i.observations
-    return symptom_long(obs, spec)
+    """Symptom matrix (long) from parsed observations, or from raw replies.
+    The per (patient, bucket) roll-up is the stage output: written once,
+    then patients and cells are projections of it."""
+    obs = reply_observations(i.llm_outputs) if from_replies else i.observations
+    rollup = bucket_rollup(bucket_elapsed(in_treatment_window(obs), spec))
+    return rollup_to_long(materialize(rollup, "stage2_rollup"), spec)
 
 
 def stage2_matrix(i: StudyInputs, spec: MatrixSpec = STAGE2_SPEC, from_replies: bool = False) -> DataFrame:
@@ -53,7 +88,8 @@ def stage3_notes(i: StudyInputs, b: BaselineSpec = BaselineSpec()) -> DataFrame:
 
 
 def stage4_long(i: StudyInputs, spec: MatrixSpec = FULL_SPEC) -> LongMatrix:
-    return extend_matrix(stage2_long(i), i.prior_outputs, i.mapping, spec)
+    m = extend_matrix(stage2_long(i), i.prior_outputs, i.mapping, spec)
+    return m.with_cells(materialize(m.cells, "stage4_cells"))
 
 
 def stage4_matrix(i: StudyInputs) -> DataFrame:
@@ -61,7 +97,8 @@ def stage4_matrix(i: StudyInputs) -> DataFrame:
 
 
 def stage5_long(i: StudyInputs, pattern: str) -> tuple[LongMatrix, DataFrame]:
-    return parallel_rows(stage4_long(i), i.administered, i.orders, i.providers, pattern)
+    m, authors = parallel_rows(stage4_long(i), i.administered, i.orders, i.providers, pattern)
+    return m.with_cells(materialize(m.cells, "stage5_cells")), materialize(authors, "stage5_authors")
 
 
 def stage5_matrix(i: StudyInputs, pattern: str) -> DataFrame:
@@ -71,8 +108,10 @@ def stage5_matrix(i: StudyInputs, pattern: str) -> DataFrame:
 
 def stage6_long(i: StudyInputs, pattern: str) -> tuple[LongMatrix, DataFrame, DataFrame]:
     m, authors = stage5_long(i, pattern)
-    shifts = detect_shift(m.cells)
-    return shift_matrix(m, shifts), authors, shifts
+    shifts = materialize(detect_shift(m.cells), "stage6_shifts")
+    s = shift_matrix(m, shifts)
+    s = LongMatrix(materialize(s.patients, "stage6_patients"), materialize(s.cells, "stage6_cells"), s.spec)
+    return s, authors, shifts
 
 
 def stage6_matrix(i: StudyInputs, pattern: str) -> DataFrame:

@@ -9,6 +9,7 @@ set only when the session has none (tests).
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +36,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: cuts lineage (later plans start from a scan with real size
+    statistics, column pruning and filter pushdown) and survives lost
+    executors. Used at stage boundaries on stage-sized results."""
+    spark = df.sparkSession
+    root = checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/cohortgrid/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """One parquet output per stage; overwrite only the stage's own path."""
     w = df.write.mode("overwrite")

@@ -31,7 +31,31 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.path(name))
+        path = self.path(name)
+        df = self.spark.read.parquet(path)
+        return spread(df, _scan_partitions(df, path))
 
     def __getitem__(self, name: str) -> DataFrame:
         return getattr(self, name)
+
+
+_PARTS: dict[tuple[str, str], int] = {}
+
+
+def _scan_partitions(df: DataFrame, path: str) -> int:
+    """Scan partitions of a path, looked up once per application."""
+    key = (df.sparkSession.sparkContext.applicationId, path)
+    if key not in _PARTS:
+        _PARTS[key] = df.rdd.getNumPartitions()
+    return _PARTS[key]
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the session has
+    cores (few files of one row group each), so per-row work such as JSON
+    parsing and regexes runs on every core. Filters and column pruning
+    still reach the scan below the exchange. On large inputs the scan
+    already has more splits than cores and this is a no-op."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    n = df.rdd.getNumPartitions() if partitions is None else partitions
+    return df.repartition(target) if n < target else df
