@@ -24,6 +24,7 @@ from ..operators import rules as ru
 from ..operators import shift as sh
 from ..operators import verdicts as vd
 from ..sources import fixtures as fx
+from ..sources.sinks import materialize
 from ..sources.tables import Tables
 from ..spec import ENTRY_SCHEMA, FULL_SPEC, STAGE2_SPEC, BaselineSpec, MentionSpec
 from . import stages
@@ -90,7 +91,7 @@ def q_mention_filter(i):
 
 
 def q_first_mention_anchor(i):
-    return nt.with_first_mention(q_mention_filter(i))
+    return nt.with_first_mention(stages.stage1_mentions(i, MENTION))
 
 
 def _cohort_notes_flagged(i):
@@ -102,7 +103,9 @@ def _cohort_notes_flagged(i):
 
 
 def q_anchor_lookback(i):
-    a = nt.anchor_lookback(nt.with_first_mention(_cohort_notes_flagged(i)), MENTION.lookback_months)
+    flagged = _cohort_notes_flagged(i).select("patient_id", "note_id", "mrn", "contact_date", "medication_mentioned")
+    flagged = materialize(flagged, "cohort_notes_flagged")
+    a = nt.anchor_lookback(nt.with_first_mention(flagged), MENTION.lookback_months)
     return a.select(
         "patient_id", "note_id", "mrn", "contact_date", "medication_mentioned", "first_medication_mention_date", "medication_start_date"
     )

@@ -14,7 +14,15 @@ from pyspark.sql import functions as F
 
 from ..operators.coverage import parallel_rows, wide_parallel
 from ..operators.matrix import LongMatrix, extend_matrix, present_matrix, symptom_long, to_wide
-from ..operators.notes import baseline_notes, mention_notes
+from ..operators.notes import (
+    anchor_lookback,
+    baseline_notes,
+    chunk_text,
+    dedup_rows,
+    mention_filter,
+    resolve_cohort,
+    with_first_mention,
+)
 from ..operators.shift import detect_shift, shift_matrix
 from ..operators.matrix import bucket_elapsed, bucket_rollup, rollup_to_long
 from ..operators.verdicts import (
@@ -25,7 +33,7 @@ from ..operators.verdicts import (
     observation_date,
     parse_llm_outputs,
 )
-from ..sources.sinks import materialize
+from ..sources.sinks import materialize, write_stage
 from ..spec import FULL_SPEC, STAGE2_SPEC, BaselineSpec, MatrixSpec, MentionSpec
 
 # Columns of parsed replies that the later steps read (no long texts).
@@ -57,8 +65,18 @@ class StudyInputs:
     providers: DataFrame
 
 
+def stage1_mentions(i: StudyInputs, m: MentionSpec = MentionSpec()) -> DataFrame:
+    """Cohort notes mentioning a keyword, written once: the per-patient
+    anchor and the rows it is joined back to then read this small table
+    instead of scanning and substring-matching every note twice."""
+    ids = resolve_cohort(i.cohort, i.mapping)
+    return materialize(mention_filter(i.notes, ids, m.keywords, m.floor), "stage1_mentions")
+
+
 def stage1_notes(i: StudyInputs, m: MentionSpec = MentionSpec()) -> DataFrame:
-    return mention_notes(i.cohort, i.mapping, i.notes, m.keywords, m.floor, m.lookback_months, m.max_chars)
+    """Stage 1: mentions -> first-mention anchor -> lookback -> dedup -> chunks."""
+    anchored = anchor_lookback(with_first_mention(stage1_mentions(i, m)), m.lookback_months)
+    return chunk_text(dedup_rows(anchored), m.max_chars)
 
 
 def reply_observations(replies: DataFrame) -> DataFrame:
@@ -117,3 +135,38 @@ def stage6_matrix(i: StudyInputs, pattern: str) -> DataFrame:
     corr = m.patients.select("mrn", F.col("correct_enrollment_date").cast("string").alias("correct_enrollment_date"))
     wide = wide_parallel(m, authors, extra=corr)
     return present_matrix(wide, by="variable")
+
+
+STAGE_OUTPUTS = (
+    "stage1_notes",
+    "stage2_matrix",
+    "stage3_notes",
+    "stage4_matrix",
+    "stage5_matrix",
+    "stage6_matrix",
+)
+
+
+def write_study(
+    i: StudyInputs,
+    out_dir: str,
+    pattern: str,
+    mention: MentionSpec = MentionSpec(),
+    baseline: BaselineSpec = BaselineSpec(),
+) -> dict[str, str]:
+    """Run the six stages and write each output to its own new path under
+    ``out_dir`` (S2/S3: nothing is read and overwritten in place)."""
+    outputs = {
+        "stage1_notes": lambda: stage1_notes(i, mention),
+        "stage2_matrix": lambda: stage2_matrix(i, from_replies=True),
+        "stage3_notes": lambda: stage3_notes(i, baseline),
+        "stage4_matrix": lambda: stage4_matrix(i),
+        "stage5_matrix": lambda: stage5_matrix(i, pattern),
+        "stage6_matrix": lambda: stage6_matrix(i, pattern),
+    }
+    paths = {}
+    for name in STAGE_OUTPUTS:
+        path = f"{out_dir.rstrip('/')}/{name}"
+        write_stage(outputs[name](), path)
+        paths[name] = path
+    return paths

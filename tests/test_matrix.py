@@ -113,3 +113,25 @@ def test_shift_twelve_wins_and_zero_is_identity(spark):
     assert s0.collect()[0]["bucket_shift"] == 0
     out = sh.shift_matrix(m0, s0)
     assert rows(out.cells) == rows(m0.cells)
+
+
+def test_numeric_severity_option(spark):
+    df = spark.createDataFrame(
+        [("m", d(2023, 1, 1), None, 0, "Yes", "4"), ("m", d(2023, 1, 1), None, 0, "Yes", "N/A")],
+        "mrn string, enrollment_start_date date, enrollment_end_date date, time_bucket int, diarrhea_present string, severity_level string",
+    )
+    r = mx.bucket_rollup(df, numeric_severity=True).collect()[0]
+    assert r["diarrhea_status_formatted"] == "Yes (Lvl 4)"
+
+
+def test_prior_normalize_option(spark):
+    prior = spark.createDataFrame(
+        [("p1", "n1", d(2023, 3, 1), '[{"phenotype": "Diarrhea", "present": "yes", "severity_level": "2"}]')],
+        "patient_id string, note_id string, contact_date date, prior_phenotypes string",
+    )
+    mp = spark.createDataFrame([("p1", "m")], "patient_id string, mrn string")
+    pats = spark.createDataFrame([("m", d(2023, 6, 1), None)], "mrn string, enrollment_start_date date, enrollment_end_date date")
+    raw = mx.prior_rollup(mx.prior_events(prior, mp, pats)).collect()[0]
+    norm = mx.prior_rollup(mx.prior_events(prior, mp, pats, normalize=True)).collect()[0]
+    assert (raw["time_bucket"], raw["diarrhea_status_formatted"]) == (-6, "No")
+    assert norm["diarrhea_status_formatted"] == "Yes (Lvl 2)"

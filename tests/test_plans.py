@@ -26,3 +26,18 @@ def test_mention_filter_pushdown(spark):
     plan = _plan(queries()["mention_filter"](spark, SF_SMALL))
     assert "PushedFilters" in plan and "documents.parquet" in plan
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+@pytest.mark.parametrize("key", ["first_mention_anchor", "enrollment_rollup", "bucket_rollup", "provider_attribution", "entry_dedup"])
+def test_per_patient_aggregates_combine_map_side(spark, key):
+    """Hot patients: every per-key aggregate runs a partial aggregate before
+    its shuffle, so one key's rows are combined before they move."""
+    plan = _plan(queries()[key](spark, SF_SMALL))
+    assert re.search(r"(Hash|Sort|ObjectHash)Aggregate\(keys?=\[[^\]]*\], functions=\[partial_", plan)
+    assert "Window" not in plan
+
+
+def test_no_cross_or_nested_loop_joins(spark):
+    for key, fn in queries().items():
+        plan = _plan(fn(spark, SF_SMALL))
+        assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan), key
