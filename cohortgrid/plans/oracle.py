@@ -439,7 +439,7 @@ D["ents"] = (
     "select note_id, pos, l[pos + 1] as e from (select note_id, l, unnest(range(0, len(l))) as pos from "
     "(select note_id, case when ext_a is null or val_a is null then null else list_concat(ext_a, val_a) end as l from lq) where l is not null)"
 )
-D["entf"] = "select note_id, pos, e.phenotype as phenotype, e.present as present, e.severity_level as severity_level, e.time as time from ents"
+D["entf"] = "select note_id, cast(pos as integer) as pos, e.phenotype as phenotype, e.present as present, e.severity_level as severity_level, e.time as time from ents"
 
 
 def _mf(x: str) -> str:

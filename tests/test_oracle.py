@@ -19,6 +19,9 @@ def con():
     return c
 
 
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "BOOLEAN", "double": "DOUBLE", "date": "DATE"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return None if math.isnan(v) else round(v, 6)
@@ -38,6 +41,9 @@ def test_matches_oracle(spark, con, key):
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
     rel = con.sql(oracle_sql()[key])
     assert sorted(rel.columns) == cols
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCK.get(f.dataType.simpleString()) == duck_types[f.name], (f.name, f.dataType, duck_types[f.name])
     idx = [rel.columns.index(c) for c in cols]
     exp = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=_key)
     assert got == exp
