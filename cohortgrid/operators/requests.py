@@ -45,6 +45,13 @@ def answered_pairs(replies: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     return x.filter(F.col("reply").isNotNull()).select("note_id", "stage").distinct()
 
 
+def attach_responses(requests_df: DataFrame, responses: DataFrame) -> DataFrame:
+    """Requests with the model's response, joined back on (note_id,
+    stage); unanswered requests keep a null response."""
+    r = responses.select(F.col("note_id").cast("string").alias("note_id"), "stage", "response")
+    return requests_df.join(r, ["note_id", "stage"], "left")
+
+
 def agreement(cells: DataFrame, annotations: DataFrame) -> DataFrame:
     """Cells assessed by both sides, and how many agree on positive vs
     not; keys (mrn, variable, time_bucket)."""

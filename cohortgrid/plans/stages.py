@@ -30,9 +30,9 @@ from ..operators.verdicts import (
     enrollment_rollup,
     in_treatment_window,
     merge_verdicts,
-    observation_date,
     parse_llm_outputs,
 )
+from ..functions.dates import parse_model_date
 from ..sources.sinks import materialize, write_stage
 from ..spec import FULL_SPEC, STAGE2_SPEC, BaselineSpec, MatrixSpec, MentionSpec
 
@@ -79,20 +79,29 @@ def stage1_notes(i: StudyInputs, m: MentionSpec = MentionSpec()) -> DataFrame:
     return chunk_text(dedup_rows(anchored), m.max_chars)
 
 
-def reply_observations(replies: DataFrame) -> DataFrame:
-    """Stage 2 front half: parse, merge, date the replies (D2 order), then
-    the enrollment roll-up and gate joined back. The dated projection is
-    written once so the JSON is parsed once, not once per join side."""
-    dated = observation_date(merge_verdicts(parse_llm_outputs(replies))).select(*DATED_COLUMNS)
-    dated = materialize(dated, "stage2_dated")
-    return dated.join(enrollment_gate(enrollment_rollup(dated)), "mrn")
-
-
-def stage2_long(i: StudyInputs, spec: MatrixSpec = STAGE2_SPEC, from_replies: bool = False) -> LongMatrix:
+def reply_observations(replies: DataFrame, rollup_before_date_filter: bool = False) -> DataFrame:
+    """Stage 2 front half: parse, merge, date the replies, then the
+    enrollment roll-up and gate joined back. The parsed projection is
+    written once so the JSON is parsed once, not once per join side.
+    By default undated replies are dropped before the roll-up, as in the
+    reference (D2); the option lets start dates stated only in undated
+    replies count."""
+    parsed = merge_verdicts(parse_llm_outputs(replies)).withColumn("note_time", parse_model_date("extractor_time"))
+    dated = F.col("note_time").isNotNull()
+    if rollup_before_date_filter:
+        rows = materialize(parsed.select(*DATED_COLUMNS), "stage2_parsed")
+        return rows.filter(dated).join(enrollment_gate(enrollment_rollup(rows)), "mrn")
+    rows = materialize(parsed.filter(dated).select(*DATED_COLUMNS), "stage2_dated")
+    return rows.join(enrollment_gate(enrollment_rollup(rows)), "mrn")
+
+
+def stage2_long(
+    i: StudyInputs, spec: MatrixSpec = STAGE2_SPEC, from_replies: bool = False, rollup_before_date_filter: bool = False
+) -> LongMatrix:
     """Symptom matrix (long) from parsed observations, or from raw replies.
     The per (patient, bucket) roll-up is the stage output: written once,
     then patients and cells are projections of it."""
-    obs = reply_observations(i.llm_outputs) if from_replies else i.observations
+    obs = reply_observations(i.llm_outputs, rollup_before_date_filter) if from_replies else i.observations
     rollup = bucket_rollup(bucket_elapsed(in_treatment_window(obs), spec))
     return rollup_to_long(materialize(rollup, "stage2_rollup"), spec)
 

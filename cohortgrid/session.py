@@ -20,6 +20,24 @@ LOCAL_CONF = {
 }
 
 
+# Suggested settings for a large cluster (about 100 TB of inputs, ~1000
+# executors): many initial shuffle partitions that AQE coalesces to the
+# advisory size, skew-join splitting, broadcasts only under a measured size.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.shuffle.partitions": "16000",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cpus: int | str = "*", app: str = "cohortgrid", **conf: str) -> SparkSession:
     b = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     for k, v in {**LOCAL_CONF, **conf}.items():

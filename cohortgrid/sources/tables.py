@@ -41,12 +41,18 @@ class Tables:
 
 _PARTS: dict[tuple[str, str], int] = {}
 
+# Scans smaller than this are dimension-sized: they are broadcast or
+# joined as they are and never spread.
+SPREAD_MIN_BYTES = 1 << 20
+
 
 def _scan_partitions(df: DataFrame, path: str) -> int:
-    """Scan partitions of a path, looked up once per application."""
+    """Scan partitions of a path (0 for dimension-sized scans), looked up
+    once per application."""
     key = (df.sparkSession.sparkContext.applicationId, path)
     if key not in _PARTS:
-        _PARTS[key] = df.rdd.getNumPartitions()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        _PARTS[key] = df.rdd.getNumPartitions() if size >= SPREAD_MIN_BYTES else 1 << 30
     return _PARTS[key]
 
 
