@@ -542,7 +542,8 @@ SQL["payload_parse"] = _with(
     ["lv"],
     "select note_id, enroll_confirmed_start, enroll_confirmed_start_date, enroll_confirmed_end, enroll_confirmed_end_date, enroll_status, "
     "enroll_confidence, cast(enroll_start_date_parsed as varchar) as enroll_start_date_parsed, cast(enroll_end_date_parsed as varchar) as enroll_end_date_parsed, "
-    "cast(len(ext_a) as integer) as extractor_entries, cast(len(val_a) as integer) as validator_entries from lv",
+    "ext_a is not null as extractor_parsed, coalesce(cast(len(ext_a) as integer), 0) as extractor_entries, "
+    "val_a is not null as validator_parsed, coalesce(cast(len(val_a) as integer), 0) as validator_entries from lv",
 )
 SQL["pick_entry"] = _with(
     ["lf"],

@@ -148,6 +148,8 @@ def q_fenced_json_clean(i):
 
 def q_payload_parse(i):
     p = vd.parse_llm_outputs(i.llm_outputs)
+    ext = vd.parse_payload("extracted_llm", ENTRY_SCHEMA)
+    val = vd.parse_payload("val_llm", ENTRY_SCHEMA)
     return p.select(
         "note_id",
         "enroll_confirmed_start",
@@ -158,13 +160,10 @@ def q_payload_parse(i):
         "enroll_confidence",
         "enroll_start_date_parsed",
         "enroll_end_date_parsed",
-        F.size(vd.parse_payload("extracted_llm", ENTRY_SCHEMA)).alias("extractor_entries"),
-        F.size(vd.parse_payload("val_llm", ENTRY_SCHEMA)).alias("validator_entries"),
-    ).withColumns(
-        {
-            "extractor_entries": F.when(F.col("extractor_entries") >= 0, F.col("extractor_entries")),
-            "validator_entries": F.when(F.col("validator_entries") >= 0, F.col("validator_entries")),
-        }
+        ext.isNotNull().alias("extractor_parsed"),
+        F.coalesce(F.size(ext), F.lit(0)).alias("extractor_entries"),
+        val.isNotNull().alias("validator_parsed"),
+        F.coalesce(F.size(val), F.lit(0)).alias("validator_entries"),
     )
 
 
