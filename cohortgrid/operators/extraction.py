@@ -82,21 +82,22 @@ def grounded_date(time: str | Column, text: str | Column) -> Column:
     return F.when(F.array_contains(date_mentions(text), t), t)
 
 
-def grounded_quote(quote: str | Column, text: str | Column) -> Column:
+def grounded_quote(quote: str | Column, text: str | Column, text_is_form: bool = False) -> Column:
     """L3: the quote occurs in the note, ignoring case, punctuation and
-    spacing (whole texts compared)."""
+    spacing (whole texts compared). ``text_is_form``: ``text`` is already
+    in match form."""
     q = match_form(quote)
-    return F.when(_c(quote).isNull() | _c(text).isNull(), F.lit(False)).otherwise(
-        (q != "") & F.contains(match_form(text), q)
-    )
+    form = _c(text) if text_is_form else match_form(text)
+    return F.when(_c(quote).isNull() | _c(text).isNull(), F.lit(False)).otherwise((q != "") & F.contains(form, q))
 
 
 def evidence_grounding(entries: DataFrame, notes: DataFrame, quote_col: str = "evidence_text") -> DataFrame:
     """L3: every entry with ``grounded``; ungrounded ones are the ones the
-    validator removes. Entries join their note on ``note_id``."""
-    n = notes.select("note_id", F.col("note_text").alias("__text"))
+    validator removes. Each note is brought to match form once, on the
+    notes side, then entries join their note on ``note_id``."""
+    n = notes.select("note_id", match_form("note_text").alias("__form"))
     j = entries.join(n, "note_id", "left")
-    return j.withColumn("grounded", grounded_quote(quote_col, "__text")).drop("__text")
+    return j.withColumn("grounded", grounded_quote(quote_col, "__form", text_is_form=True)).drop("__form")
 
 
 def explode_entries(df: DataFrame, col: str, source: str | None = None, schema=ENTRY_SCHEMA) -> DataFrame:
