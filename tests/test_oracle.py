@@ -6,7 +6,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from cohortgrid.plans.oracle import oracle_sql
+from cohortgrid.plans.registry import queries
 from cohortgrid.sources.tables import TABLE_NAMES
 from conftest import SF_SMALL
 
