@@ -6,21 +6,37 @@ parameters to its whole table.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortgrid.llm.exact_dedup import exact_dedup
-from cohortgrid.llm.storage import table
+from cohortgrid.llm.storage import table, workspace
+from cohortgrid.llm.token_counts import token_counts
+from cohortgrid.llm.token_files import read_token_files, write_token_files
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{workspace(spark)}/token-files-{uuid.uuid4().hex}"
+    write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return read_token_files(spark, path)
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_files": op1_token_files,
         "op8_exact_dedup": op8_exact_dedup,
+        "op10_token_counts": op10_token_counts,
     }
 
 
