@@ -11,8 +11,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortgrid.llm.exact_dedup import exact_dedup
+from cohortgrid.llm.secret_scan import secret_scan
 from cohortgrid.llm.storage import table, workspace
 from cohortgrid.llm.token_counts import token_counts
 from cohortgrid.llm.token_files import read_token_files, write_token_files
@@ -24,6 +26,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source is an owner; its documents of one language a repository."""
+    return secret_scan(table(spark, sf_dir, "documents"), owner=F.col("source"), repository=F.col("lang"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -35,13 +42,53 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op5_secret_scan": op5_secret_scan,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_token_counts": op10_token_counts,
     }
 
 
+_SECRETS = r"""
+    with kinds(kind, name, pattern, least) as (values
+        (0, 'assign', '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 12),
+        (1, 'access', 'AKIA[A-Z0-9]+', 18), (2, 'hex', '[0-9a-f]{16,}', 16), (3, 'mixed', '[A-Za-z0-9+/_-]{24,}', 24)),
+    found as (
+        select doc_id, source, lang, kind, name, least, regexp_extract_all(coalesce(text, ''), pattern) as ms, regexp_split_to_array(coalesce(text, ''), pattern) as gaps
+        from documents, kinds),
+    cut as (select *, unnest(range(1, len(ms) + 1)) as i from found where len(ms) > 0),
+    spans as (
+        select doc_id, source, lang, kind, name, least, ms[i] as m,
+               list_sum(list_transform(gaps[1:i], lambda x: length(x)))::bigint + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0)::bigint as s
+        from cut),
+    valued as (
+        select *, s + length(m) as e,
+               case when kind = 0 then regexp_extract(m, '(?i:password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 1) else m end as v
+        from spans),
+    kept as (
+        select * from valued where length(v) >= least
+        and (kind < 3 or (regexp_matches(v, '[a-z]') and regexp_matches(v, '[A-Z]') and regexp_matches(v, '[0-9]')))),
+    owners as (select v, count(distinct coalesce(source, chr(1))) as n_owners from kept group by v),
+    judged as (select k.*, n_owners from kept k join owners using (v)),
+    listed as (
+        select * from judged j where kind < 3
+        union all
+        select * from judged j where kind = 3 and n_owners <= 1 and not exists (
+            select 1 from judged b where b.doc_id = j.doc_id and b.kind < 3 and b.s < j.e and j.s < b.e)),
+    per_doc as (
+        select doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex,
+               string_agg(name || ':' || s || ':' || e, ',' order by s, kind) filter (kind < 3) as base,
+               string_agg(name || ':' || s || ':' || e, ',' order by s, kind) as spans,
+               count(*) filter (n_owners <= 1) as n_live, count(*) filter (n_owners > 1) as n_copied
+        from listed group by doc_id)
+    select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+           sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
+           coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
+    from documents left join per_doc using (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_secret_scan": _SECRETS,
         "op8_exact_dedup": r"""
             with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
             select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size,
