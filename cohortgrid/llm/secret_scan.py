@@ -95,6 +95,10 @@ def _joined(spans: Column) -> Column:
     return F.array_join(text, ",")
 
 
+def _count_of(kind: int) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
 def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: (id, n_assign, n_access, n_hex, base_sha256,
     spans, n_live, n_copied).
@@ -124,7 +128,7 @@ def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners:
     per_doc = per_doc.select("uid", "base", F.concat("base", F.filter("all", lambda s: (s["kind"] == added) & s["live"] & clear(s))).alias("listed"))
     per_doc = per_doc.select(
         "uid",
-        *(F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}") for k, (kind, _, _) in enumerate(BASE_KINDS)),
+        *(_count_of(k).alias(f"n_{kind}") for k, (kind, _, _) in enumerate(BASE_KINDS)),
         F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
         _joined(F.col("listed")).alias("spans"),
         F.size(F.filter("listed", lambda s: s["live"])).cast("long").alias("n_live"),
