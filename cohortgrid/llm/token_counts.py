@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgrid.llm.arrays import row_slices
+from cohortgrid.llm.recent import Recent
 
 # Fixed value: the byte-level pre-token pattern of the tokenizer family.
 PRE_TOKEN = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
@@ -31,7 +32,7 @@ PRE_TOKEN = regex.compile(r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\p{White_
 _CUT = re.compile(r" (?=\S)")
 _GAP = re.compile(r" (?!\S)")
 NO_PAIR = np.int32(2**31 - 1)
-KNOWN_PIECES = 300_000
+KNOWN_PIECES = 200_000
 
 
 def byte_symbols() -> list[str]:
@@ -120,12 +121,10 @@ class Counter:
     def __init__(self, path: str) -> None:
         self.merges = Merges(path)
         #: Count of " " + piece by piece; of a text's first piece by ("", piece).
-        self.known: dict = {}
+        self.known = Recent(KNOWN_PIECES)
 
     def _learn(self, pieces: set) -> None:
-        if len(self.known) + len(pieces) > KNOWN_PIECES:
-            self.known = {}
-        new = [p for p in pieces if p not in self.known]
+        new = self.known.missing(pieces)
         words: list[bytes] = []
         per_piece = []
         for p in new:
@@ -133,14 +132,14 @@ class Counter:
             per_piece.append(len(found))
             words += [w.encode() for w in found]
         if not words:
-            self.known.update(dict.fromkeys(new, 0))
+            self.known.young.update(dict.fromkeys(new, 0))
             return
         unique = list(dict.fromkeys(words))
         place = dict(zip(unique, range(len(unique)), strict=True))
         counts = count_symbols(unique, self.merges)[[place[w] for w in words]]
         ends = np.cumsum(per_piece)
         total = np.r_[0, np.cumsum(counts)]
-        self.known.update(zip(new, (total[ends] - total[ends - per_piece]).tolist(), strict=True))
+        self.known.young.update(zip(new, (total[ends] - total[ends - per_piece]).tolist(), strict=True))
 
     def __call__(self, texts: list[str]) -> list[int]:
         split, extra, parts_of = [], [], []
@@ -164,7 +163,7 @@ class Counter:
             if head:
                 unique.add(head)
         self._learn(unique)
-        known = self.known
+        known = self.known.young
         return [n + sum(sum(map(known.__getitem__, pieces)) + (known[head] if head else 0) for head, pieces in own) for n, own in zip(extra, parts_of, strict=True)]
 
 

@@ -9,6 +9,8 @@ store that Spark can write takes them and commits are atomic.
 
 from __future__ import annotations
 
+import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -21,9 +23,11 @@ from pyspark.sql import functions as F
 
 from cohortgrid.llm.arrays import row_slices, utf8
 from cohortgrid.llm.pfor import Segment, encode_segment
+from cohortgrid.llm.recent import Recent
+from cohortgrid.llm.token_counts import byte_symbols
 
 SEGMENT_TOKENS = 1 << 16
-KNOWN_PIECES = 300_000
+KNOWN_PIECES = 200_000
 SEGMENTS = "shard int, seq int, n_tokens long, payload binary"
 _TAIL = b".,!?;:|*&$%#"
 
@@ -35,27 +39,37 @@ class Encoder:
     so a text's ids are those of its white-space pieces on end. Each
     distinct piece is given to the library once and kept in a bounded
     table; a piece's ASCII letters may be lower-cased before, as the file
-    does it too, unless the text may hold a special string.
+    does it too, unless the text may hold a special string. A piece of
+    letters only that normalisation would leave alone is one pre-token and
+    goes straight to the library's BPE model.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.library.model
+        self.alphabet = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
+        self.known = Recent(KNOWN_PIECES)
 
     def _encode(self, pieces: list[bytes]) -> None:
-        found = self.library.encode_batch_fast([p.decode("utf-8", "replace") for p in pieces], add_special_tokens=False)
-        for piece, e in zip(pieces, found, strict=True):
-            self.known[piece] = np.array(e.ids, "<u4").tobytes()
+        rest = []
+        for piece in pieces:
+            text = piece.decode("utf-8", "replace")
+            if text.isalpha() and text == text.lower() and (text.isascii() or unicodedata.is_normalized("NFC", text)):
+                symbols = text if text.isascii() else piece.decode("latin-1").translate(self.alphabet)
+                self.known.young[piece] = struct.pack(f"<{len(ids := [t.id for t in self.model.tokenize(symbols)])}I", *ids)
+            else:
+                rest.append((piece, text))
+        for lo in range(0, len(rest), 512):
+            some = rest[lo : lo + 512]
+            found = self.library.encode_batch_fast([text for _, text in some], add_special_tokens=False)
+            for (piece, _), e in zip(some, found, strict=True):
+                self.known.young[piece] = struct.pack(f"<{len(e.ids)}I", *e.ids)
 
     def _learn(self, pieces: set[bytes]) -> None:
-        if len(self.known) + len(pieces) > KNOWN_PIECES:
-            self.known = {}
         whole, cut = set(), []
-        for p in pieces:
-            if p in self.known:
-                continue
+        for p in self.known.missing(pieces):
             core = p.rstrip(_TAIL)
             # A letter or digit and ASCII punctuation never share a token.
             if core != p and core[-1:].isalnum():
@@ -63,15 +77,16 @@ class Encoder:
                 whole.update(cut[-1][1:])
             else:
                 whole.add(p)
-        self._encode([p for p in whole if p not in self.known])
+        young = self.known.young
+        self._encode([p for p in whole if p not in young])
         for p, core, tail in cut:
-            self.known[p] = self.known[core] + self.known[tail]
+            young[p] = young[core] + young[tail]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
         split = [(t if b"<|" in t else t.lower()).split() for t in texts]
         self._learn(set().union(*split))
-        known = self.known
+        known = self.known.young
         return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
 
 
