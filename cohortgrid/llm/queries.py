@@ -13,7 +13,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortgrid.llm.embedding_dedup import embedding_dedup
 from cohortgrid.llm.exact_dedup import exact_dedup
+from cohortgrid.llm.ngram_join import ngram_jaccard_join
 from cohortgrid.llm.secret_scan import secret_scan
 from cohortgrid.llm.storage import table, workspace
 from cohortgrid.llm.token_counts import token_counts
@@ -26,6 +28,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source is an owner; its documents of one language a repository."""
     return secret_scan(table(spark, sf_dir, "documents"), owner=F.col("source"), repository=F.col("lang"))
@@ -42,6 +52,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op3_ngram_join": op3_ngram_join,
+        "op4_embedding_dedup": op4_embedding_dedup,
         "op5_secret_scan": op5_secret_scan,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_token_counts": op10_token_counts,
