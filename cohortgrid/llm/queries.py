@@ -17,6 +17,8 @@ from cohortgrid.llm.embedding_dedup import embedding_dedup
 from cohortgrid.llm.exact_dedup import exact_dedup
 from cohortgrid.llm.ngram_join import ngram_jaccard_join
 from cohortgrid.llm.secret_scan import secret_scan
+from cohortgrid.llm.sentencepiece_viterbi import encode
+from cohortgrid.llm.source_mix import mix_sources, source_sizes
 from cohortgrid.llm.storage import table, workspace
 from cohortgrid.llm.token_counts import token_counts
 from cohortgrid.llm.token_files import read_token_files, write_token_files
@@ -28,6 +30,11 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), check=True)
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_tokens"), "round_trip")
+
+
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -41,6 +48,12 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"), owner=F.col("source"), repository=F.col("lang"))
 
 
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights are the square roots of the sources' sizes."""
+    docs = table(spark, sf_dir, "documents")
+    return mix_sources(docs, source_sizes(docs).select("source", F.sqrt("size").alias("weight")))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -52,9 +65,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
+        "op2_sentencepiece": op2_sentencepiece,
         "op3_ngram_join": op3_ngram_join,
         "op4_embedding_dedup": op4_embedding_dedup,
         "op5_secret_scan": op5_secret_scan,
+        "op6_source_mix": op6_source_mix,
         "op8_exact_dedup": op8_exact_dedup,
         "op10_token_counts": op10_token_counts,
     }
@@ -101,6 +116,14 @@ _SECRETS = r"""
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_secret_scan": _SECRETS,
+        "op6_source_mix": r"""
+            with sizes as (select source, sum(length(coalesce(text, '')))::double as size from documents group by source),
+            rates as (select source, case when size > 0 then sqrt(size) / sum(sqrt(size)) over () * sum(size) over () / size else 1.0 end as rate from sizes),
+            terms as (select source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 40)::bigint + 1)) as k from rates),
+            cdf as (select source, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) over (partition by source order by k) as c from terms),
+            drawn as (select *, ('0x' || substr(md5('0:' || doc_id), 1, 13))::bigint / 4503599627370496.0 as u from documents),
+            counts as (select doc_id, count(*) as n from drawn join cdf on drawn.source is not distinct from cdf.source and c <= u group by doc_id)
+            select d.*, unnest(range(1, n + 1)) as mix_copy from documents d join counts using (doc_id)""",
         "op8_exact_dedup": r"""
             with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
             select doc_id, min(doc_id) over w as keep_id, count(*) over w as group_size,
