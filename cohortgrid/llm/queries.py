@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cohortgrid.llm.embedding_dedup import embedding_dedup
 from cohortgrid.llm.exact_dedup import exact_dedup
 from cohortgrid.llm.ngram_join import ngram_jaccard_join
+from cohortgrid.llm.quality_classifier import score, train
 from cohortgrid.llm.secret_scan import secret_scan
 from cohortgrid.llm.sentencepiece_viterbi import encode
 from cohortgrid.llm.source_mix import mix_sources, source_sizes
@@ -58,6 +59,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -71,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_secret_scan": op5_secret_scan,
         "op6_source_mix": op6_source_mix,
         "op8_exact_dedup": op8_exact_dedup,
+        "op9_quality_classifier": op9_quality_classifier,
         "op10_token_counts": op10_token_counts,
     }
 

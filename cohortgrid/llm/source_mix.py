@@ -49,10 +49,10 @@ def repetition_rates(sizes: DataFrame, targets: DataFrame, epochs: float = 1.0)
     ``epochs`` times."""
     wanted = targets.select(F.col("source").cast("string").alias("target"), F.col("weight").cast("double").alias("weight"))
     both = sizes.join(wanted, F.col("source").eqNullSafe(F.col("target")), "left").withColumn("listed", F.col("weight").isNotNull() & (F.col("size") > 0))
-    total = both.filter("listed").agg(F.sum("size").alias("all_size"), F.sum("weight").alias("all_weight"))
-    rate = F.col("weight") / F.col("all_weight") * F.col("all_size") / F.col("size") * epochs
-    # One row of totals: the join is with a single row.
-    return both.join(total, F.lit(True)).select("source", F.when(F.col("listed") & (F.col("all_weight") > 0), rate).otherwise(F.lit(float(epochs))).alias("rate"))
+    all_size = both.filter("listed").agg(F.sum("size")).scalar()
+    all_weight = both.filter("listed").agg(F.sum("weight")).scalar()
+    rate = F.col("weight") / all_weight * all_size / F.col("size") * epochs
+    return both.select("source", F.when(F.col("listed") & (all_weight > 0), rate).otherwise(F.lit(float(epochs))).alias("rate"))
 
 
 def mix_sources(docs: DataFrame, targets: DataFrame, epochs: float = 1.0, seed: int = 0, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
