@@ -13,6 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortgrid.llm import toxicity
 from cohortgrid.llm.embedding_dedup import embedding_dedup
 from cohortgrid.llm.exact_dedup import exact_dedup
 from cohortgrid.llm.ngram_join import ngram_jaccard_join
@@ -55,6 +56,14 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, source_sizes(docs).select("source", F.sqrt("size").alias("weight")))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3))
+    model = toxicity.train(docs, labels, lambda id_: F.pmod(F.crc32(id_.cast("string")), F.lit(3)) != 1)
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -76,6 +85,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_embedding_dedup": op4_embedding_dedup,
         "op5_secret_scan": op5_secret_scan,
         "op6_source_mix": op6_source_mix,
+        "op7_toxicity": op7_toxicity,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_quality_classifier": op9_quality_classifier,
         "op10_token_counts": op10_token_counts,
