@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,7 +72,7 @@ def _flow_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(key, pa.int64()), pa.array(kind, pa.int32()), pa.array(chunk, pa.int64()), *(pa.array(x, pa.binary()) for x in (a, b, c))], ["key", "kind", "chunk", "a", "b", "c"])
 
 
-def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], bucket_bits: int) -> list[tuple]:
+def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], sums: list[int], bucket_bits: int) -> list[tuple]:
     """A chunk's postings by bucket, and its directory. Documents with the
     same set as an earlier one of the chunk point to it and post nothing.
     Tokens of FREQUENT or more documents of the chunk post one count; their
@@ -109,7 +110,7 @@ def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], bucket_bits: int)
     else:
         hot_tokens, hot_doc = tokens, doc
     directory = np.array([0 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids], np.uint8).tobytes()
-    rows.append((-1 - chunk, _DIRECTORY, chunk, directory, sizes.astype("<u4").tobytes() + rep.astype("<u4").tobytes(), hot_tokens.astype("<u8").tobytes() + hot_doc.tobytes()))
+    rows.append((-1 - chunk, _DIRECTORY, chunk, directory, sizes.astype("<u4").tobytes() + rep.astype("<u4").tobytes() + np.array(sums, "<u4").tobytes(), hot_tokens.astype("<u8").tobytes() + hot_doc.tobytes()))
     return rows
 
 
@@ -118,21 +119,23 @@ def _post(n: int, bucket_bits: int):
         chunk = TaskContext.get().partitionId() << 24
         ids: list = []
         sets: list[np.ndarray] = []
+        sums: list[int] = []
         held = 0
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             all_ids = batch.column(0).to_pylist()
             for lo, hi in row_slices(offsets):
                 found = shingle_sets(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], n)
-                for doc_id, one in zip(all_ids[lo:hi], found, strict=True):
-                    ids.append(doc_id)
+                for k, one in enumerate(found, lo):
+                    ids.append(all_ids[k])
                     sets.append(one)
+                    sums.append(zlib.crc32(data[offsets[k] : offsets[k + 1]]))
                     held += len(one)
                     if held >= CHUNK_TOKENS or len(ids) >= CHUNK_DOCS:
-                        yield _flow_batch(_chunk_rows(chunk, ids, sets, bucket_bits))
-                        chunk, ids, sets, held = chunk + 1, [], [], 0
+                        yield _flow_batch(_chunk_rows(chunk, ids, sets, sums, bucket_bits))
+                        chunk, ids, sets, sums, held = chunk + 1, [], [], [], 0
         if ids:
-            yield _flow_batch(_chunk_rows(chunk, ids, sets, bucket_bits))
+            yield _flow_batch(_chunk_rows(chunk, ids, sets, sums, bucket_bits))
 
     return run
 
@@ -198,7 +201,7 @@ def prefixes(tokens: np.ndarray, frequency: np.ndarray, length: int) -> list[np.
     return out
 
 
-_SURVEY = "uid long, id long, n long, rep long, shared binary, prefix array<long>, others binary, n_prefix int"
+_SURVEY = "uid long, id long, n long, rep long, crc long, shared binary, prefix array<long>, others binary, n_prefix int"
 
 
 def _survey(percent: int):
@@ -211,7 +214,7 @@ def _survey(percent: int):
             n_docs = len(directory["a"]) // 9
             ids = np.frombuffer(directory["a"], "<i8", n_docs)
             no_id = np.frombuffer(directory["a"], np.uint8, offset=8 * n_docs).astype(bool)
-            sizes, rep = np.frombuffer(directory["b"], "<u4").astype(np.int64).reshape(2, n_docs)
+            sizes, rep, sums = np.frombuffer(directory["b"], "<u4").astype(np.int64).reshape(3, n_docs)
             hot_n = len(directory["c"]) // 10
             hot_tokens = np.frombuffer(directory["c"], "<u8", hot_n)
             hot_doc = np.frombuffer(directory["c"], "<u2", offset=8 * hot_n)
@@ -234,17 +237,17 @@ def _survey(percent: int):
             order = np.argsort(owner, kind="stable")
             token, often = token[order], often[order]
             ends = np.searchsorted(owner[order], np.arange(n_docs), "right")
-            out: list[list] = [[] for _ in range(8)]
+            out: list[list] = [[] for _ in range(9)]
             for k in range(n_docs):
                 lo, hi = (ends[k - 1] if k else 0), ends[k]
                 need = -(-percent * int(sizes[k]) // 100)
                 alive = rep[k] == k and sizes[k] and hi - lo >= need
                 kept = prefixes(token[lo:hi], often[lo:hi], int(hi - lo) - need + 1) if alive else None
-                row = (chunk << 16 | k, None if no_id[k] else int(ids[k]), int(sizes[k]), chunk << 16 | int(rep[k]), token[lo:hi].tobytes() if alive else None, kept[0].view(np.int64).tolist() if alive else None, b"".join(p.tobytes() for p in kept[1:]) if alive else None, len(kept[0]) if alive else None)
+                row = (chunk << 16 | k, None if no_id[k] else int(ids[k]), int(sizes[k]), chunk << 16 | int(rep[k]), int(sums[k]), token[lo:hi].tobytes() if alive else None, kept[0].view(np.int64).tolist() if alive else None, b"".join(p.tobytes() for p in kept[1:]) if alive else None, len(kept[0]) if alive else None)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.int32()]
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["uid", "id", "n", "rep", "shared", "prefix", "others", "n_prefix"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.int32()]
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["uid", "id", "n", "rep", "crc", "shared", "prefix", "others", "n_prefix"])
 
     return run
 
@@ -387,7 +390,9 @@ def _links(live: DataFrame, percent: int) -> DataFrame:
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: (id, n_shingles, component_id).
+    """One row per input row: (id, n_shingles, component_id, kept,
+    text_crc32); ``kept`` marks one row of each component, that of the
+    smallest id, and the checksum of its text tells rows of an id apart.
 
     Words are runs of other than ASCII white space, A-Z lower-cased. Two
     documents link when 100 * common >= percent * union of their sets of
@@ -408,10 +413,11 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     live = survey.filter(F.col("shared").isNotNull()).select("uid", "n", "shared", "prefix", "others")
     components = connected_components(_links(live, percent), "a", "b", "ngram-components")
 
-    per_rep = survey.groupBy("rep").agg(F.min("id").alias("least"), F.count("*").alias("rows"))
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("uid")))
+    per_rep = survey.groupBy("rep").agg(first.alias("first"))
     label = per_rep.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     label = written(label, "ngram-labels")
-    named = written(label.groupBy("component").agg(F.min("least").alias("component_id")), "ngram-names")
-    of_rep = label.select("rep", "component").join(named, "component").select("rep", "component_id")
-    out = survey.select("id", "n", "rep").join(of_rep, "rep")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    named = written(label.groupBy("component").agg(F.min("first").alias("first")), "ngram-names")
+    of_rep = label.select("rep", "component").join(named, "component").select("rep", "first")
+    out = survey.select("uid", "id", "n", "rep", "crc").join(of_rep, "rep")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("first.id").alias("component_id"), (F.col("uid") == F.col("first.uid")).alias("kept"), F.col("crc").alias("text_crc32"))
