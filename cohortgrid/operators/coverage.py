@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, calendar_bucket
 from ..functions.text import rlike_any
-from ..spec import DEFAULT_DRUG_PATTERN, FULL_SPEC, NO_PROVIDER, MatrixSpec
+from ..spec import DEFAULT_DRUG_PATTERN, FULL_SPEC, MatrixSpec
 from .matrix import META, LongMatrix
 
 NAME_COLUMNS = ("simple_generic", "display_name", "description")
@@ -25,7 +25,8 @@ NAME_COLUMNS = ("simple_generic", "display_name", "description")
 def provider_names(providers: DataFrame, patients: DataFrame, default: str | None = None) -> DataFrame:
     """Per matrix patient the sorted distinct provider names joined by
     ', '. Pairs are de-duplicated first (shuffle on (mrn, name)), so a
-    patient with a huge provider table only ships its distinct names."""
+    patient with a huge provider table only ships its distinct names; those
+    make one cell, so they are bounded by the names there are."""
     p = providers.select(
         F.col("MRN").cast("string").alias("mrn"), F.col("Provider").alias("provider_name")
     ).filter(F.col("provider_name").isNotNull())
@@ -144,15 +145,12 @@ def parallel_rows(
     m: LongMatrix,
     administered: DataFrame,
     orders: DataFrame,
-    providers: DataFrame,
     pattern: str = DEFAULT_DRUG_PATTERN,
-) -> tuple[LongMatrix, DataFrame]:
-    """Symptom, medication and refill rows per patient (long form) and
-    the per-patient ``note_author`` (default "No Provider Record")."""
+) -> LongMatrix:
+    """Symptom, medication and refill rows per patient (long form);
+    ``wide_parallel`` adds each patient's ``note_author``."""
     flags = coverage_flags(m.patients, administered, orders, m.spec, pattern)
-    cells = m.cells.unionByName(flags)
-    authors = provider_names(providers, m.patients, NO_PROVIDER)
-    return m.with_cells(cells), authors
+    return m.with_cells(m.cells.unionByName(flags))
 
 
 def wide_parallel(m: LongMatrix, authors: DataFrame, extra: DataFrame | None = None) -> DataFrame:

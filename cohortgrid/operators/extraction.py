@@ -93,20 +93,14 @@ def grounded_quote(quote: str | Column, text: str | Column, text_is_form: bool =
 
 def evidence_grounding(entries: DataFrame, notes: DataFrame, quote_col: str = "evidence_text") -> DataFrame:
     """L3: every entry with ``grounded``; ungrounded ones are the ones the
-    validator removes. Each note is brought to match form once, on the
-    notes side, then entries join their note on ``note_id``."""
-    n = notes.select("note_id", match_form("note_text").alias("__form"))
+    validator removes. Only notes that an entry cites are brought to match
+    form, each once, before entries join their note on ``note_id``."""
+    cited = notes.join(entries.select("note_id"), "note_id", "left_semi")
+    n = cited.select("note_id", match_form("note_text").alias("__form"))
     j = entries.join(n, "note_id", "left")
     return j.withColumn("grounded", grounded_quote(quote_col, "__form", text_is_form=True)).drop("__form")
 
 
-def explode_entries(df: DataFrame, col: str, source: str | None = None, schema=ENTRY_SCHEMA) -> DataFrame:
-    """All entries of a reply column as rows with their position."""
-    parsed = df.select("note_id", F.posexplode(parse_payload(col, schema)).alias("pos", "e"))
-    out = parsed.select("note_id", "pos", "e.*")
-    return out.withColumn("source", F.lit(source)) if source else out
-
-
 def response_contract(replies: DataFrame, cols: Iterable[str] = ("extracted_llm", "val_llm")) -> DataFrame:
     """L2: per reply column: replies, unparsable replies, entries, and the
     entries breaking each rule (verdict, severity, M/D/YY date). One

@@ -14,8 +14,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import contains_any
+from ..functions.text import contains_any, sentences
 from ..spec import DEFAULT_KEYWORDS
+from .extraction import DATE_MENTION_PATTERN, normalize_date
 
 # ---------------------------------------------------------------------------
 # Fixed values restating the instruction text.
@@ -36,25 +37,15 @@ INTENSITY_RULES = (
     ("low", r"(?i)\b(slight|slightly|a little|minimal|somewhat)\b"),
 )
 
-# Enrollment status phrases, in precedence order.
-STATUS_RULES = (
-    ("deceased_or_ineligible", r"(?i)(passed away|\bdied\b|terminally ill|prolonged hospitalization|palliative care)"),
-    (
-        "confirmed_start",
-        r"(?i)(\b(started|starting|on|taking|tolerating) (daybue|trofinetide)\b|dose increased|titrat)",
-    ),
-    (
-        "confirmed_end",
-        r"(?i)(discontinued|\bstopped (daybue|trofinetide)\b|no longer on (daybue|trofinetide)|(daybue|trofinetide) was stopped)",
-    ),
-    ("denied", r"(?i)(insurance denied|\bdenied\b|prescription was rejected|\brejected\b)"),
-    (
-        "planned_only",
-        r"(?i)(will start|planning to start|plan to start|discussed (daybue|trofinetide)|prior auth)",
-    ),
-)
+# Phrases of a sentence that names the drug.
+START_PATTERN = r"(?i)(\b(started|starting|on|taking|tolerating)\b|dose increased|titrat)"
+END_PATTERN = r"(?i)(discontinued|\bstopped\b|no longer on)"
+DENIED_PATTERN = r"(?i)(\bdenied\b|\brejected\b)"
+PLANNED_PATTERN = r"(?i)(\bwill start\b|\bplan(s|ned|ning)? (to start|on starting)\b|\bdiscussed\b|prior auth)"
+# Phrases of any sentence.
+INELIGIBLE_PATTERN = r"(?i)(passed away|\bdied\b|terminally ill|prolonged hospitalization|palliative care)"
 
-# Chronic / recurrent qualification.
+# Chronic / recurrent qualification, in a sentence that names the phenotype.
 MENTION_PATTERN = r"(?i)(diarrh|loose stool|watery stool)"
 CHRONIC_INCLUDE = (
     r"(?i)(chronic|persistent|ongoing|recurrent|continued|long-standing|longstanding"
@@ -68,6 +59,12 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def first_date(text: Column) -> Column:
+    """The first date written in a text, as M/d/yy; null without one."""
+    mention = F.regexp_extract(text, DATE_MENTION_PATTERN, 0)
+    return F.when(mention != "", normalize_date(mention))
+
+
 def _first_rule(text: Column, rules: Iterable[tuple[str, str]], default: str | None) -> Column:
     rules = list(rules)
     out = F.when(text.rlike(rules[0][1]), F.lit(rules[0][0]))
@@ -77,11 +74,15 @@ def _first_rule(text: Column, rules: Iterable[tuple[str, str]], default: str | N
 
 
 def severity_level(evidence: str | Column, phenotype: str | Column | None = None, target: str = "diarrhea") -> Column:
-    """Level 1-4 from the evidence words, else "N/A"; other phenotypes N/A."""
-    lvl = _first_rule(_c(evidence), SEVERITY_RULES, "N/A")
+    """The highest level 1-4 whose words stand in one sentence of the
+    evidence, else "N/A"; other phenotypes N/A."""
+    parts = sentences(evidence)
+    level = F.lit("N/A")
+    for name, pattern in reversed(SEVERITY_RULES):
+        level = F.when(F.exists(parts, lambda s: s.rlike(pattern)), F.lit(name)).otherwise(level)
     if phenotype is None:
-        return lvl
-    return F.when(F.lower(_c(phenotype)).contains(target), lvl).otherwise(F.lit("N/A"))
+        return level
+    return F.when(F.lower(_c(phenotype)).contains(target), level).otherwise(F.lit("N/A"))
 
 
 def intensity(evidence: str | Column) -> Column:
@@ -89,38 +90,61 @@ def intensity(evidence: str | Column) -> Column:
     return _first_rule(_c(evidence), INTENSITY_RULES, "N/A")
 
 
-def enrollment_status(text: str | Column, keywords: Iterable[str] = DEFAULT_KEYWORDS) -> Column:
-    """One of seven labels; no keyword -> no_mention; keyword but no
-    rule -> ambiguous; otherwise the first rule in precedence order."""
-    t = _c(text)
-    ruled = _first_rule(t, STATUS_RULES, "ambiguous")
-    return F.when(t.isNull() | ~contains_any(t, [k.lower() for k in keywords]), F.lit("no_mention")).otherwise(ruled)
-
-
-def status_flags(df: DataFrame, text_col: str = "note_text", keywords: Iterable[str] = DEFAULT_KEYWORDS) -> DataFrame:
-    """Status label plus the two independent flags (a note may show
-    both a start and an end)."""
-    t = F.col(text_col)
-    start = dict(STATUS_RULES)["confirmed_start"]
-    end = dict(STATUS_RULES)["confirmed_end"]
-    return df.withColumns(
+def enrollment_record(df: DataFrame, text_col: str = "note_text", keywords: Iterable[str] = DEFAULT_KEYWORDS) -> DataFrame:
+    """A note's enrollment record, from its sentences that name the
+    drug. Columns added: ``enrollment_status``, the two independent flags,
+    the first full date of the start and of the end sentence (M/d/yy), the
+    ``confidence`` (high with a date or an ineligible patient, medium for a
+    start or end without one, else low) and the ``evidence_text`` (the
+    sentence that decided).
+
+    An ineligible patient outranks everything, also in a note that does not
+    name the drug. A sentence that plans a start confirms none."""
+    words = [k.lower() for k in keywords]
+    text = F.col(text_col)
+    df = df.withColumn("__all", F.coalesce(sentences(text), F.array().cast("array<string>")))
+    df = df.withColumn("__drug", F.filter("__all", lambda s: contains_any(s, words)))
+
+    def first(where: str, pattern: str, but: str | None = None) -> Column:
+        return F.get(F.filter(where, lambda s: s.rlike(pattern) & (~s.rlike(but) if but else F.lit(True))), 0)
+
+    found = {
+        "__gone": first("__all", INELIGIBLE_PATTERN),
+        "__start": first("__drug", START_PATTERN, PLANNED_PATTERN),
+        "__end": first("__drug", END_PATTERN),
+        "__denied": first("__drug", DENIED_PATTERN),
+        "__planned": first("__drug", PLANNED_PATTERN),
+    }
+    df = df.withColumns(found)
+    labels = ("deceased_or_ineligible", "confirmed_start", "confirmed_end", "denied", "planned_only")
+    status = F.when(F.col("__gone").isNotNull(), labels[0])
+    for column, label in zip(list(found)[1:], labels[1:], strict=True):
+        status = status.when(F.col(column).isNotNull(), label)
+    status = status.when(F.size("__drug") > 0, "ambiguous").otherwise("no_mention")
+    df = df.withColumns(
         {
-            "enrollment_status": enrollment_status(t, keywords),
-            "confirmed_start": F.coalesce(t.rlike(start), F.lit(False)),
-            "confirmed_end": F.coalesce(t.rlike(end), F.lit(False)),
+            "enrollment_status": status,
+            "confirmed_start": F.col("__start").isNotNull(),
+            "confirmed_start_date": first_date(F.col("__start")),
+            "confirmed_end": F.col("__end").isNotNull(),
+            "confirmed_end_date": first_date(F.col("__end")),
+            "evidence_text": F.coalesce(*found, F.get("__drug", 0)),
         }
     )
+    dated = F.col("confirmed_start_date").isNotNull() | F.col("confirmed_end_date").isNotNull()
+    sure = F.when(F.col("__gone").isNotNull() | dated, "high").when(F.col("confirmed_start") | F.col("confirmed_end"), "medium")
+    return df.withColumn("confidence", sure.otherwise("low")).drop("__all", "__drug", *found)
 
 
 def chronicity(notes: DataFrame, text_col: str = "note_text", key: str = "patient_id") -> DataFrame:
-    """Per patient, notes mentioning the phenotype (isolated episodes
-    and warnings excluded), their distinct dates, notes with chronic
-    language, and ``qualifies`` = chronic language or >= 2 dates. Partial
-    aggregates only; no per-patient collection."""
-    t = F.col(text_col)
-    mention = F.coalesce(t.rlike(MENTION_PATTERN) & ~t.rlike(CHRONIC_EXCLUDE), F.lit(False))
-    chronic = mention & F.coalesce(t.rlike(CHRONIC_INCLUDE), F.lit(False))
-    agg = notes.groupBy(key).agg(
+    """Per patient, notes with a sentence that mentions the phenotype
+    (isolated episodes and warnings excluded), their distinct dates, notes
+    with chronic language in such a sentence, and ``qualifies`` = chronic
+    language or >= 2 dates. Partial aggregates only."""
+    mentions = F.filter(sentences(text_col), lambda s: s.rlike(MENTION_PATTERN) & ~s.rlike(CHRONIC_EXCLUDE))
+    found = notes.select(key, "contact_date", F.coalesce(mentions, F.array().cast("array<string>")).alias("__m"))
+    mention, chronic = F.size("__m") > 0, F.exists("__m", lambda s: s.rlike(CHRONIC_INCLUDE))
+    agg = found.groupBy(key).agg(
         F.count_if(mention).alias("mention_notes"),
         F.count_distinct(F.when(mention, F.col("contact_date"))).alias("mention_dates"),
         F.count_if(chronic).alias("chronic_notes"),

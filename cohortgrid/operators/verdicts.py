@@ -132,16 +132,3 @@ def in_treatment_window(df: DataFrame, t: str = "note_time") -> DataFrame:
         & (F.col(t) >= F.col("enrollment_start_date"))
         & (end.isNull() | (F.col(t) <= end))
     )
-
-
-def dated_verdicts(raw: DataFrame, rollup_before_date_filter: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Stage 2 front half: parse, merge, date; returns (dated rows of
-    enrolled patients with their window, enrollment roll-up).
-
-    By default undated rows are dropped before the roll-up, as the
-    reference does (D2); ``rollup_before_date_filter`` keeps start dates
-    stated only in undated notes."""
-    merged = merge_verdicts(parse_llm_outputs(raw))
-    dated = observation_date(merged)
-    rollup = enrollment_rollup(merged if rollup_before_date_filter else dated)
-    return dated.join(enrollment_gate(rollup), "mrn"), rollup

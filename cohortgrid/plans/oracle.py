@@ -11,6 +11,8 @@ object into a one-element array and malformed text into null, and
 
 from __future__ import annotations
 
+import re
+
 from ..sources import fixtures as fx
 
 BUCKETS_STAGE2 = list(range(-6, 37, 6))
@@ -204,19 +206,19 @@ V["v_prior"] = (
 )
 V["v_admin"] = (
     "select cast(o_custkey as varchar) as mrn, p_name as simple_generic, p_type as display_name, p_brand as description, l_shipdate as taken_time "
-    "from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey where l_returnflag = 'R'"
+    "from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey"
 )
 V["v_order_meds"] = (
     "select cast(o_custkey as varchar) as mrn, p_name as simple_generic, p_type as display_name, p_brand as description, "
     "case when o_orderkey % 31 = 0 then null else cast(o_orderdate as date) end as order_start_date, "
     "case when o_orderstatus = 'P' then null else cast(o_orderdate as date) + cast(l_quantity as integer) * 10 end as order_end_date, "
     "case o_orderkey % 4 when 0 then null when 1 then '0' when 2 then 'x' else '2' end as refills "
-    "from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey where l_linenumber = 1"
+    "from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey"
 )
 V["v_providers"] = (
     "select o_custkey as MRN, case when l_discount = 0 then null else s_name end as Provider "
     "from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey "
-    "join supplier on l_suppkey = s_suppkey where l_linenumber = 1 and c_mktsegment <> 'BUILDING'"
+    "join supplier on l_suppkey = s_suppkey where c_mktsegment <> 'BUILDING'"
 )
 
 # ---------------------------------------------------------------------------
@@ -434,10 +436,15 @@ D["cor"] = (
     + ", ".join(_shifted(k) for k in BUCKETS_FULL)
     + " from par p left join shf s on p.mrn = s.mrn"
 )
+# the same chain from the replies' matrix instead of the observations'
+CHAIN = "opat pj pb pl pr prf xwide pat pbw adm ordm ah oh flags prov fw par shf cor".split()
+for _n in CHAIN:
+    _sql = re.sub(r"\b(from|join) (" + "|".join(CHAIN) + r")\b", r"\1 r_\2", D[_n]).replace("from oxwide", "from lxwide")
+    D[f"r_{_n}"] = re.sub(r"\b(from|join) r_(pf|pat|ah|oh)\b", r"\1 r_\2 \2", _sql)
 # instruction rules
 D["ents"] = (
-    "select note_id, pos, l[pos + 1] as e from (select note_id, l, unnest(range(0, len(l))) as pos from "
-    "(select note_id, case when ext_a is null or val_a is null then null else list_concat(ext_a, val_a) end as l from lq) where l is not null)"
+    "select note_id, unnest(range(0, len(ext_a))) as pos, unnest(ext_a) as e from lq "
+    "union all select note_id, coalesce(len(ext_a), 0) + unnest(range(0, len(val_a))), unnest(val_a) from lq"
 )
 D["entf"] = "select note_id, cast(pos as integer) as pos, e.phenotype as phenotype, e.present as present, e.severity_level as severity_level, e.time as time from ents"
 
@@ -480,8 +487,6 @@ def _with(names: list[str], body: str) -> str:
 
 
 def _mentions(text: str, name: str) -> bool:
-    import re
-
     return re.search(rf"\b(from|join)\s+{re.escape(name)}\b", text) is not None
 
 
@@ -630,6 +635,7 @@ SQL["shift_detect"] = _with(["shf"], "select mrn, bucket_shift from shf")
 SQL["matrix_shift"] = _with(["cor"], f"select {', '.join(S5_LEAD)}, {TC} from cor")
 SQL["start_date_correction"] = _with(["cor"], "select distinct mrn, enrollment_start_date, correct_enrollment_date from cor")
 SQL["corrected_matrix"] = _with(["cor"], f"select * from cor union all " + summary_sql("cor", BUCKETS_FULL, S6_LEAD, by="variable"))
+SQL["study_final_matrix"] = _with(["r_cor"], "select * from r_cor union all " + summary_sql("r_cor", BUCKETS_FULL, S6_LEAD, by="variable"))
 SQL["shift_audit"] = _with(["shf"], "select count(case when bucket_shift > 0 then 1 end) as shifted, count(*) as total from shf")
 
 SQL["response_contract"] = _with(
@@ -698,28 +704,56 @@ def _rules(x: str, rules, default: str) -> str:
 
 
 def _rule_sql():
+    from ..operators import extraction as ex
     from ..operators import rules as ru
 
-    SQL["severity_rules"] = _with(["v_clinical"], f"select note_id, {_rules('note_text', ru.SEVERITY_RULES, 'N/A')} as severity_level from v_clinical")
+    # Stated again here by hand, sentence by sentence.
+    sents = "list_filter(list_transform(regexp_extract_all(note_text, '[^.!?]+[.!?]*'), lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> '')"
+    D["sents"] = f"select *, coalesce({sents}, []::varchar[]) as ss from v_clinical"
+
+    def has(source: str, *patterns: str) -> str:
+        test = " and ".join(f"regexp_matches(s, {q('(?i)' + p)})" for p in patterns)
+        return f"len(list_filter({source}, lambda s: {test})) > 0"
+
+    SQL["severity_rules"] = _with(
+        ["sents"],
+        f"select note_id, case when {has('ss', 'watery.*outside (of )?(the )?clothes')} then '4' when {has('ss', 'watery.*on (the )?clothes')} then '3' "
+        f"when {has('ss', 'watery.*diaper')} then '2' when {has('ss', 'loose.*diaper')} then '1' else 'N/A' end as severity_level from sents",
+    )
     SQL["intensity_rules"] = _with(["v_clinical"], f"select note_id, {_rules('note_text', ru.INTENSITY_RULES, 'N/A')} as intensity from v_clinical")
-    st = dict(ru.STATUS_RULES)
+    D["drug"] = "select *, list_filter(ss, lambda s: contains(lower(s), 'daybue') or contains(lower(s), 'trofinetide')) as ds from sents"
+    plan = "\\bwill start\\b|\\bplan(s|ned|ning)? (to start|on starting)\\b|\\bdiscussed\\b|prior auth"
+    pick_one = lambda source, p, but="": f"list_filter({source}, lambda s: regexp_matches(s, {q('(?i)(' + p + ')')}){but})[1]"
+    D["rec"] = (
+        f"select *, {pick_one('ss', 'passed away|\\bdied\\b|terminally ill|prolonged hospitalization|palliative care')} as gone, "
+        f"{pick_one('ds', '\\b(started|starting|on|taking|tolerating)\\b|dose increased|titrat', f' and not regexp_matches(s, {q("(?i)(" + plan + ")")})')} as st, "
+        f"{pick_one('ds', 'discontinued|\\bstopped\\b|no longer on')} as en, {pick_one('ds', '\\bdenied\\b|\\brejected\\b')} as de, {pick_one('ds', plan)} as pl_ from drug"
+    )
+    day = lambda c: _normdate(f"nullif(regexp_extract({c}, {q(ex.DATE_MENTION_PATTERN)}, 0), '')")
     SQL["status_rules"] = _with(
-        ["v_clinical"],
-        "select note_id, case when note_text is null or not (contains(lower(note_text), 'daybue') or contains(lower(note_text), 'trofinetide')) "
-        f"then 'no_mention' else {_rules('note_text', ru.STATUS_RULES, 'ambiguous')} end as enrollment_status, "
-        f"coalesce(regexp_matches(note_text, {q(st['confirmed_start'])}), false) as confirmed_start, "
-        f"coalesce(regexp_matches(note_text, {q(st['confirmed_end'])}), false) as confirmed_end from v_clinical",
+        ["rec"],
+        "select note_id, enrollment_status, confirmed_start, confirmed_start_date, confirmed_end, confirmed_end_date, "
+        "case when gone is not null or confirmed_start_date is not null or confirmed_end_date is not null then 'high' "
+        "when confirmed_start or confirmed_end then 'medium' else 'low' end as confidence, evidence_text from ("
+        "select note_id, gone, case when gone is not null then 'deceased_or_ineligible' when st is not null then 'confirmed_start' when en is not null then 'confirmed_end' "
+        "when de is not null then 'denied' when pl_ is not null then 'planned_only' when len(ds) > 0 then 'ambiguous' else 'no_mention' end as enrollment_status, "
+        f"st is not null as confirmed_start, {day('st')} as confirmed_start_date, en is not null as confirmed_end, {day('en')} as confirmed_end_date, "
+        "coalesce(gone, st, en, de, pl_, ds[1]) as evidence_text from rec)",
+    )
+    D["ment"] = (
+        "select *, list_filter(ss, lambda s: regexp_matches(s, '(?i)(diarrh|loose stool|watery stool)') and not "
+        "regexp_matches(s, '(?i)(one episode|single episode|resolved same day|if you develop)')) as ms from sents"
+    )
+    chronic = (
+        "chronic|persistent|ongoing|recurrent|continued|long-standing|longstanding|for several (days|weeks|months)"
+        "|for the (past|last) \\d+ (weeks?|months?|years?)|problem list|malabsorption|\\bibd\\b|celiac|workup"
     )
-    men = f"coalesce(regexp_matches(note_text, {q(ru.MENTION_PATTERN)}) and not regexp_matches(note_text, {q(ru.CHRONIC_EXCLUDE)}), false)"
     SQL["chronicity_rules"] = _with(
-        ["v_clinical"],
+        ["ment"],
         "select patient_id, mention_notes, mention_dates, chronic_notes, chronic_notes > 0 or mention_dates >= 2 as qualifies from ("
-        "select patient_id, count(case when men then 1 end) as mention_notes, count(distinct case when men then contact_date end) as mention_dates, "
-        f"count(case when men and coalesce(regexp_matches(note_text, {q(ru.CHRONIC_INCLUDE)}), false) then 1 end) as chronic_notes from "
-        f"(select *, {men} as men from v_clinical) group by patient_id)",
+        "select patient_id, count(*) filter (len(ms) > 0) as mention_notes, count(distinct case when len(ms) > 0 then contact_date end) as mention_dates, "
+        f"count(*) filter ({has('ms', chronic)}) as chronic_notes from ment group by patient_id)",
     )
-    from ..operators import extraction as ex
-
     SQL["relative_time"] = _with(
         ["v_clinical"],
         f"select note_id, nullif(regexp_extract(note_text, {q(ex.RELATIVE_TIME_PATTERN)}, 0), '') as time_description from v_clinical",

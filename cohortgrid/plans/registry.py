@@ -1,7 +1,7 @@
 """Registered queries: one per operator, each over whole fixture views.
 
-Every callable takes ``(spark, sf_dir)`` and returns a lazy DataFrame whose
-column names match the SQL oracle. Date and timestamp columns leave as
+Every callable takes ``(spark, sf_dir)`` and returns a DataFrame whose
+column names match the SQL oracle. Some write intermediate tables first. Date and timestamp columns leave as
 ``yyyy-MM-dd`` text so both engines compare the same values.
 """
 
@@ -34,6 +34,9 @@ BASELINE = BaselineSpec(max_chars=fx.FIXTURE_MAX_CHARS)
 PATTERN = fx.FIXTURE_PATTERN
 
 
+REPLY_COLUMNS = ("enrollment", "extracted_llm", "val_llm")
+
+
 class FixtureInputs:
     """Study inputs as fixture views over the driver tables, each built on
     first use (a query only plans the views it reads)."""
@@ -124,7 +127,7 @@ def q_mention_notes(i):
 
 
 def q_baseline_notes(i):
-    return stages.stage3_notes(i, BASELINE)
+    return nt.baseline_notes(i.notes, i.enrollment, i.mapping, BASELINE.days, BASELINE.note_types, BASELINE.max_chars)
 
 
 def q_date_envelope(i):
@@ -189,7 +192,9 @@ def q_normalize_verdict(i):
 
 
 def _merged(i):
-    return vd.merge_verdicts(vd.parse_llm_outputs(i.llm_outputs))
+    """Parsed and merged replies, written: later filters on parsed columns
+    read them instead of repeating the parse."""
+    return materialize(vd.merge_verdicts(vd.parse_llm_outputs(i.llm_outputs)).drop(*REPLY_COLUMNS), "parsed_replies")
 
 
 def q_verdict_merge(i):
@@ -293,7 +298,7 @@ def q_prior_rollup(i):
 
 
 def q_matrix_extended(i):
-    return stages.stage4_matrix(i)
+    return stages.stage4_matrix(_stage4(i))
 
 
 # --------------------------------------------------------------------------
@@ -302,7 +307,20 @@ def q_matrix_extended(i):
 
 
 def _patients(i):
-    return stages.stage4_long(i).patients
+    return stages.stage2_long(i).patients
+
+
+def _stage4(i):
+    return stages.stage4_long(i, stages.stage2_long(i))
+
+
+def _stage5(i):
+    return stages.stage5_long(i, _stage4(i), PATTERN)
+
+
+def _shifts(i):
+    """Shifts need the refill rows only, not the other stages' cells."""
+    return sh.detect_shift(cov.coverage_flags(_patients(i), i.administered, i.orders, FULL_SPEC, PATTERN))
 
 
 def q_provider_attribution(i):
@@ -345,7 +363,7 @@ def q_coverage_matrix(i):
 
 
 def q_parallel_rows(i):
-    return stages.stage5_matrix(i, PATTERN)
+    return stages.stage5_matrix(i, _stage5(i))
 
 
 # --------------------------------------------------------------------------
@@ -354,27 +372,30 @@ def q_parallel_rows(i):
 
 
 def q_shift_detect(i):
-    m, _ = stages.stage5_long(i, PATTERN)
-    return sh.detect_shift(m.cells)
+    return _shifts(i)
 
 
 def q_matrix_shift(i):
-    m, authors, _ = stages.stage6_long(i, PATTERN)
-    return cov.wide_parallel(m, authors)
+    m = stages.stage6_long(_stage5(i))
+    return cov.wide_parallel(m, stages.authors(i, m))
 
 
 def q_start_date_correction(i):
-    m, _, _ = stages.stage6_long(i, PATTERN)
+    m = sh.shift_matrix(stages.stage2_long(i), _shifts(i))
     return m.patients.select("mrn", "enrollment_start_date", "correct_enrollment_date")
 
 
 def q_corrected_matrix(i):
-    return stages.stage6_matrix(i, PATTERN)
+    return stages.stage6_matrix(i, stages.stage6_long(_stage5(i)))
 
 
 def q_shift_audit(i):
-    _, _, shifts = stages.stage6_long(i, PATTERN)
-    return sh.shift_audit(shifts)
+    return sh.shift_audit(_shifts(i))
+
+
+def q_study_final_matrix(i):
+    """The whole chain from raw replies."""
+    return stages.stage6_matrix(i, stages.run_study(i, PATTERN).stage6)
 
 
 # --------------------------------------------------------------------------
@@ -407,8 +428,11 @@ def q_evidence_grounding(i, t):
 
 
 def _entries(i):
-    r = i.llm_outputs
-    both = r.select("note_id", F.concat(vd.parse_payload("extracted_llm", ENTRY_SCHEMA), vd.parse_payload("val_llm", ENTRY_SCHEMA)).alias("a"))
+    """The entries of both replies; a reply that is missing or can't be
+    parsed has none."""
+    none = F.array().cast(ENTRY_SCHEMA)
+    lists = [F.coalesce(vd.parse_payload(c, ENTRY_SCHEMA), none) for c in ("extracted_llm", "val_llm")]
+    both = materialize(i.llm_outputs.select("note_id", F.concat(*lists).alias("a")), "reply_entries")
     return both.select("note_id", F.posexplode("a").alias("pos", "e")).select("note_id", "pos", "e.*")
 
 
@@ -453,7 +477,9 @@ def q_entry_dedup(i):
 
 def q_status_rules(i, t):
     c = fx.clinical_notes(t)
-    return ru.status_flags(c).select("note_id", "enrollment_status", "confirmed_start", "confirmed_end")
+    return ru.enrollment_record(c).select(
+        "note_id", "enrollment_status", "confirmed_start", "confirmed_start_date", "confirmed_end", "confirmed_end_date", "confidence", "evidence_text"
+    )
 
 
 def q_chronicity_rules(i, t):
@@ -540,6 +566,7 @@ _PLAIN = {
     "start_date_correction": q_start_date_correction,
     "corrected_matrix": q_corrected_matrix,
     "shift_audit": q_shift_audit,
+    "study_final_matrix": q_study_final_matrix,
     "response_contract": q_response_contract,
     "positive_only": q_positive_only,
     "entry_dedup": q_entry_dedup,

@@ -1,8 +1,9 @@
-"""The six stages end to end, each a lazy function of DataFrames.
+"""The six stages end to end, each a function of the stage before it.
 
-Stage outputs are wide matrices with summary rows (the reference's layout);
-between stages the long form is passed, so later stages never re-discover
-columns or strip summary rows. Only writers and tests run jobs.
+Stage outputs are wide matrices with summary rows; between stages the long
+form is passed, so later stages never re-discover columns or strip summary
+rows. Building a stage runs jobs: its parsed replies, roll-up or cells are
+written once under the checkpoint folder, and what follows scans those.
 """
 
 from __future__ import annotations
@@ -12,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.coverage import parallel_rows, wide_parallel
-from ..operators.matrix import LongMatrix, extend_matrix, present_matrix, symptom_long, to_wide
+from ..operators.coverage import parallel_rows, provider_names, wide_parallel
+from ..operators.matrix import LongMatrix, extend_matrix, present_matrix, to_wide
 from ..operators.notes import (
     anchor_lookback,
     baseline_notes,
@@ -34,7 +35,7 @@ from ..operators.verdicts import (
 )
 from ..functions.dates import parse_model_date
 from ..sources.sinks import materialize, write_stage
-from ..spec import FULL_SPEC, STAGE2_SPEC, BaselineSpec, MatrixSpec, MentionSpec
+from ..spec import FULL_SPEC, NO_PROVIDER, STAGE2_SPEC, BaselineSpec, MatrixSpec, MentionSpec
 
 # Columns of parsed replies that the later steps read (no long texts).
 DATED_COLUMNS = (
@@ -110,40 +111,58 @@ def stage2_matrix(i: StudyInputs, spec: MatrixSpec = STAGE2_SPEC, from_replies:
     return present_matrix(to_wide(stage2_long(i, spec, from_replies)))
 
 
-def stage3_notes(i: StudyInputs, b: BaselineSpec = BaselineSpec()) -> DataFrame:
-    return baseline_notes(i.notes, i.enrollment, i.mapping, b.days, b.note_types, b.max_chars)
+def stage3_notes(i: StudyInputs, m: LongMatrix, b: BaselineSpec = BaselineSpec()) -> DataFrame:
+    """Notes before the starts that the matrix ``m`` has."""
+    return baseline_notes(i.notes, m.patients, i.mapping, b.days, b.note_types, b.max_chars)
 
 
-def stage4_long(i: StudyInputs, spec: MatrixSpec = FULL_SPEC) -> LongMatrix:
-    m = extend_matrix(stage2_long(i), i.prior_outputs, i.mapping, spec)
-    return m.with_cells(materialize(m.cells, "stage4_cells"))
+def stage4_long(i: StudyInputs, m: LongMatrix, spec: MatrixSpec = FULL_SPEC) -> LongMatrix:
+    out = extend_matrix(m, i.prior_outputs, i.mapping, spec)
+    return out.with_cells(materialize(out.cells, "stage4_cells"))
 
 
-def stage4_matrix(i: StudyInputs) -> DataFrame:
-    return present_matrix(to_wide(stage4_long(i)))
+def stage4_matrix(m: LongMatrix) -> DataFrame:
+    return present_matrix(to_wide(m))
 
 
-def stage5_long(i: StudyInputs, pattern: str) -> tuple[LongMatrix, DataFrame]:
-    m, authors = parallel_rows(stage4_long(i), i.administered, i.orders, i.providers, pattern)
-    return m.with_cells(materialize(m.cells, "stage5_cells")), materialize(authors, "stage5_authors")
+def stage5_long(i: StudyInputs, m: LongMatrix, pattern: str) -> LongMatrix:
+    out = parallel_rows(m, i.administered, i.orders, pattern)
+    return out.with_cells(materialize(out.cells, "stage5_cells"))
 
 
-def stage5_matrix(i: StudyInputs, pattern: str) -> DataFrame:
-    m, authors = stage5_long(i, pattern)
-    return present_matrix(wide_parallel(m, authors), by="variable")
+def authors(i: StudyInputs, m: LongMatrix) -> DataFrame:
+    return provider_names(i.providers, m.patients, NO_PROVIDER)
 
 
-def stage6_long(i: StudyInputs, pattern: str) -> tuple[LongMatrix, DataFrame, DataFrame]:
-    m, authors = stage5_long(i, pattern)
-    shifts = detect_shift(m.cells)
-    return shift_matrix(m, shifts), authors, shifts
+def stage5_matrix(i: StudyInputs, m: LongMatrix) -> DataFrame:
+    return present_matrix(wide_parallel(m, authors(i, m)), by="variable")
 
 
-def stage6_matrix(i: StudyInputs, pattern: str) -> DataFrame:
-    m, authors, _ = stage6_long(i, pattern)
+def stage6_long(m: LongMatrix) -> LongMatrix:
+    return shift_matrix(m, detect_shift(m.cells, spec=m.spec))
+
+
+def stage6_matrix(i: StudyInputs, m: LongMatrix) -> DataFrame:
     corr = m.patients.select("mrn", F.col("correct_enrollment_date").cast("string").alias("correct_enrollment_date"))
-    wide = wide_parallel(m, authors, extra=corr)
-    return present_matrix(wide, by="variable")
+    return present_matrix(wide_parallel(m, authors(i, m), extra=corr), by="variable")
+
+
+@dataclass(frozen=True)
+class Study:
+    """The long matrices of stages 2, 4, 5 and 6, each built on the one
+    before; stage 2 is from the raw replies unless told otherwise."""
+
+    stage2: LongMatrix
+    stage4: LongMatrix
+    stage5: LongMatrix
+    stage6: LongMatrix
+
+
+def run_study(i: StudyInputs, pattern: str, from_replies: bool = True) -> Study:
+    m2 = stage2_long(i, from_replies=from_replies)
+    m4 = stage4_long(i, m2)
+    m5 = stage5_long(i, m4, pattern)
+    return Study(m2, m4, m5, stage6_long(m5))
 
 
 STAGE_OUTPUTS = (
@@ -165,17 +184,17 @@ def write_study(
 ) -> dict[str, str]:
     """Run the six stages and write each output to its own new path under
     ``out_dir`` (S2/S3: nothing is read and overwritten in place)."""
+    study = run_study(i, pattern)
     outputs = {
-        "stage1_notes": lambda: stage1_notes(i, mention),
-        "stage2_matrix": lambda: stage2_matrix(i, from_replies=True),
-        "stage3_notes": lambda: stage3_notes(i, baseline),
-        "stage4_matrix": lambda: stage4_matrix(i),
-        "stage5_matrix": lambda: stage5_matrix(i, pattern),
-        "stage6_matrix": lambda: stage6_matrix(i, pattern),
+        "stage1_notes": stage1_notes(i, mention),
+        "stage2_matrix": present_matrix(to_wide(study.stage2)),
+        "stage3_notes": stage3_notes(i, study.stage2, baseline),
+        "stage4_matrix": stage4_matrix(study.stage4),
+        "stage5_matrix": stage5_matrix(i, study.stage5),
+        "stage6_matrix": stage6_matrix(i, study.stage6),
     }
     paths = {}
     for name in STAGE_OUTPUTS:
-        path = f"{out_dir.rstrip('/')}/{name}"
-        write_stage(outputs[name](), path)
-        paths[name] = path
+        paths[name] = f"{out_dir.rstrip('/')}/{name}"
+        write_stage(outputs[name], paths[name])
     return paths

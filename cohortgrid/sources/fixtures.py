@@ -230,8 +230,8 @@ def prior_outputs(t: Tables) -> DataFrame:
 
 
 def administered_meds(t: Tables) -> DataFrame:
-    """Administered medications: returned line items, part names as drugs."""
-    li = t.lineitem.filter(F.col("l_returnflag") == "R").select("l_orderkey", "l_partkey", "l_shipdate")
+    """Administered medications: line items, part names as drugs."""
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_shipdate")
     o = t.orders.select("o_orderkey", "o_custkey")
     p = t.part.select("p_partkey", "p_name", "p_type", "p_brand")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
@@ -245,9 +245,9 @@ def administered_meds(t: Tables) -> DataFrame:
 
 
 def order_meds(t: Tables) -> DataFrame:
-    """Medication orders: first line of each order; null starts, open ends,
+    """Medication orders: each line of an order; null starts, open ends,
     refills null / '0' / 'x' / '2'."""
-    li = t.lineitem.filter(F.col("l_linenumber") == 1).select("l_orderkey", "l_partkey", "l_quantity")
+    li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     p = t.part.select("p_partkey", "p_name", "p_type", "p_brand")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
@@ -271,9 +271,9 @@ def order_meds(t: Tables) -> DataFrame:
 
 
 def providers(t: Tables) -> DataFrame:
-    """Note providers: supplier names of first order lines; customers of one
+    """Note providers: supplier names of order lines; customers of one
     segment have none, undiscounted lines have a null name."""
-    li = t.lineitem.filter(F.col("l_linenumber") == 1).select("l_orderkey", "l_suppkey", "l_discount")
+    li = t.lineitem.select("l_orderkey", "l_suppkey", "l_discount")
     o = t.orders.select("o_orderkey", "o_custkey")
     c = t.customer.filter(F.col("c_mktsegment") != "BUILDING").select("c_custkey")
     s = t.supplier.select("s_suppkey", "s_name")

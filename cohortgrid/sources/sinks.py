@@ -29,11 +29,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives lost
-    executors, unlike a local checkpoint)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def run_folder(spark: SparkSession) -> str:
+    """This application's folder of written stage tables."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/cohortgrid/{spark.sparkContext.applicationId}"
+
+
+def clear_run(spark: SparkSession) -> None:
+    """Delete this application's stage tables, once no DataFrame that reads
+    them is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -42,8 +47,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     statistics, column pruning and filter pushdown) and survives lost
     executors. Used at stage boundaries on stage-sized results."""
     spark = df.sparkSession
-    root = checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/cohortgrid/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 

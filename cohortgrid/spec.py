@@ -7,7 +7,7 @@ rather than a module constant, so the same operators run on any cohort.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -99,6 +99,11 @@ class MatrixSpec:
     def columns(self) -> list[str]:
         return [bucket_label(b) for b in self.buckets]
 
+    @property
+    def pre_baseline(self) -> list[int]:
+        """Buckets before the start."""
+        return [b for b in self.buckets if b < 0]
+
     def with_range(self, lo: int | None = None, hi: int | None = None) -> MatrixSpec:
         return MatrixSpec(self.width, self.lo if lo is None else lo, self.hi if hi is None else hi, self.cutoff)
 
@@ -134,10 +139,3 @@ class BaselineSpec:
     days: int = 365
     note_types: tuple[str, ...] = BASELINE_NOTE_TYPES
     max_chars: int = DEFAULT_MAX_CHARS
-
-
-@dataclass(frozen=True)
-class CoverageSpec:
-    pattern: str = DEFAULT_DRUG_PATTERN
-    name_columns: tuple[str, ...] = ("simple_generic", "display_name", "description")
-    variables: tuple[str, ...] = field(default=("diarrhea", "epic_med", "refill"))

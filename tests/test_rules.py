@@ -21,17 +21,27 @@ def test_severity_and_intensity(spark):
 
 
 def test_status(spark):
-    texts = [
-        "Started Daybue in March, discontinued in June.",
-        "Will start Daybue next month.",
-        "Insurance denied trofinetide.",
-        "Daybue was mentioned.",
-        "No drug named.",
-        "Patient passed away; was on Daybue.",
-    ]
-    assert col(spark, ru.enrollment_status("s"), texts) == [
-        "confirmed_start", "planned_only", "denied", "ambiguous", "no_mention", "deceased_or_ineligible"
+    cases = [
+        ("Started Daybue on 3/1/24. Daybue was discontinued in June 2024.", "confirmed_start", True, "3/1/24", True, "6/1/24", "high"),
+        ("Will start Daybue next month.", "planned_only", False, None, False, None, "low"),
+        ("She is planning on starting Daybue next month.", "planned_only", False, None, False, None, "low"),
+        ("Insurance denied trofinetide.", "denied", False, None, False, None, "low"),
+        ("Daybue was mentioned. Patient denied pain.", "ambiguous", False, None, False, None, "low"),
+        ("Keppra dose increased. Daybue was mentioned.", "ambiguous", False, None, False, None, "low"),
+        ("Tolerating Daybue well.", "confirmed_start", True, None, False, None, "medium"),
+        ("No drug named.", "no_mention", False, None, False, None, "low"),
+        ("Patient passed away.", "deceased_or_ineligible", False, None, False, None, "high"),
+        (None, "no_mention", False, None, False, None, "low"),
     ]
+    df = spark.createDataFrame([(k, c[0]) for k, c in enumerate(cases)], "k int, note_text string")
+    cols = ["enrollment_status", "confirmed_start", "confirmed_start_date", "confirmed_end", "confirmed_end_date", "confidence"]
+    got = [tuple(r[c] for c in cols) for r in ru.enrollment_record(df).orderBy("k").collect()]
+    assert got == [c[1:] for c in cases]
+
+
+def test_rules_look_at_one_sentence(spark):
+    texts = ["Watery eyes. Diaper changed.", "Watery stool in diaper. Clothes clean."]
+    assert col(spark, ru.severity_level("s"), texts) == ["N/A", "2"]
 
 
 def test_dates(spark):
@@ -60,8 +70,10 @@ def test_chronicity(spark):
             ("p2", "Diarrhea again.", dt.date(2023, 2, 1)),
             ("p3", "Had one episode of diarrhea.", dt.date(2023, 1, 1)),
             ("p4", "Diarrhea today.", dt.date(2023, 1, 1)),
+            ("p5", "Chronic diarrhea. Call if you develop fever.", dt.date(2023, 1, 1)),
+            ("p6", "Diarrhea today. Ongoing therapy.", dt.date(2023, 1, 1)),
         ],
         "patient_id string, note_text string, contact_date date",
     )
     got = {r["patient_id"]: r["qualifies"] for r in ru.chronicity(df).collect()}
-    assert got == {"p1": True, "p2": True, "p3": False, "p4": False}
+    assert got == {"p1": True, "p2": True, "p3": False, "p4": False, "p5": True, "p6": False}
