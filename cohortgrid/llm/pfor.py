@@ -30,6 +30,40 @@ def bit_width(x: np.ndarray) -> np.ndarray:
     return np.frexp(x.astype(np.float64))[1].astype(np.int64)
 
 
+def _lanes(width: int):
+    """Of 32 numbers of ``width`` bits packed in ``width`` words: place,
+    word and shift of each, and whether it runs on into the next word."""
+    for k in range(32):
+        word, shift = divmod(k * width, 32)
+        yield k, word, np.uint32(shift), shift + width > 32
+
+
+def pack(values: np.ndarray, width: int) -> np.ndarray:
+    """Rows of numbers (a multiple of 32) as rows of packed bytes."""
+    lanes = values.reshape(len(values), -1, 32)
+    out = np.zeros((*lanes.shape[:2], width), "<u4")
+    low = np.uint32((1 << width) - 1)
+    for k, word, shift, runs_on in _lanes(width):
+        value = lanes[:, :, k] & low
+        out[:, :, word] |= value << shift
+        if runs_on:
+            out[:, :, word + 1] |= value >> (np.uint32(32) - shift)
+    return out.reshape(len(values), -1).view(np.uint8)
+
+
+def unpack(raw: np.ndarray, width: int) -> np.ndarray:
+    """The inverse of ``pack``."""
+    words = np.ascontiguousarray(raw).view("<u4").reshape(len(raw), -1, width)
+    out = np.empty((*words.shape[:2], 32), np.uint32)
+    low = np.uint32((1 << width) - 1)
+    for k, word, shift, runs_on in _lanes(width):
+        value = words[:, :, word] >> shift
+        if runs_on:
+            value = value | words[:, :, word + 1] << (np.uint32(32) - shift)
+        out[:, :, k] = value & low
+    return out.reshape(len(raw), -1)
+
+
 def encode_segment(ids: list[int | None], lengths: np.ndarray, tokens: np.ndarray, start: int, percentile: float = 0.9) -> bytes:
     """One segment's bytes; ``tokens`` are the documents' ids on end."""
     n_blocks = -(-len(tokens) // BLOCK)
@@ -49,9 +83,7 @@ def encode_segment(ids: list[int | None], lengths: np.ndarray, tokens: np.ndarra
     for width in np.unique(widths):
         if width:
             own = np.flatnonzero(widths == width)
-            bits = (rest[own][:, :, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-            rows = np.packbits(bits.astype(np.uint8).reshape(len(own), -1), axis=1, bitorder="little")
-            for k, row in zip(own.tolist(), rows, strict=True):
+            for k, row in zip(own.tolist(), pack(rest[own], int(width)), strict=True):
                 packed[k] = row.tobytes()
     block_of, position = np.nonzero(over)
     high = (rest[block_of, position] >> widths.astype(np.uint32)[block_of]).astype("<u4")
@@ -108,8 +140,7 @@ class Segment:
             if width:
                 own = np.flatnonzero(widths == width)
                 raw = self.data[self.starts[lo + own][:, None] + np.arange(width * (self.block // 8))]
-                bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(own), self.block, width)
-                out[own] = bits @ (np.uint32(1) << np.arange(width, dtype=np.uint32))
+                out[own] = unpack(raw, int(width))
         for k in np.flatnonzero(self.exceptions[lo:hi]).tolist():
             n, at = int(self.exceptions[lo + k]), int(self.starts[lo + k] + widths[k] * (self.block // 8))
             position = self.data[at : at + 2 * n].view("<u2")

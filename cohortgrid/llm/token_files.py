@@ -9,9 +9,9 @@ store that Spark can write takes them and commits are atomic.
 
 from __future__ import annotations
 
-import struct
 import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +27,7 @@ from cohortgrid.llm.recent import Recent
 from cohortgrid.llm.token_counts import byte_symbols
 
 SEGMENT_TOKENS = 1 << 16
-KNOWN_PIECES = 200_000
+KNOWN_PIECES = 400_000
 SEGMENTS = "shard int, seq int, n_tokens long, payload binary"
 _TAIL = b".,!?;:|*&$%#"
 
@@ -53,19 +53,22 @@ class Encoder:
         self.known = Recent(KNOWN_PIECES)
 
     def _encode(self, pieces: list[bytes]) -> None:
-        rest = []
+        rest, young, tokenize = [], self.known.young, self.model.tokenize
         for piece in pieces:
-            text = piece.decode("utf-8", "replace")
-            if text.isalpha() and text == text.lower() and (text.isascii() or unicodedata.is_normalized("NFC", text)):
-                symbols = text if text.isascii() else piece.decode("latin-1").translate(self.alphabet)
-                self.known.young[piece] = struct.pack(f"<{len(ids := [t.id for t in self.model.tokenize(symbols)])}I", *ids)
+            if piece.isalpha() and piece.islower():
+                symbols = piece.decode()
             else:
-                rest.append((piece, text))
+                text = piece.decode("utf-8", "replace")
+                if not (text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)):
+                    rest.append((piece, text))
+                    continue
+                symbols = piece.decode("latin-1").translate(self.alphabet)
+            young[piece] = array("I", [t.id for t in tokenize(symbols)]).tobytes()
         for lo in range(0, len(rest), 512):
             some = rest[lo : lo + 512]
             found = self.library.encode_batch_fast([text for _, text in some], add_special_tokens=False)
             for (piece, _), e in zip(some, found, strict=True):
-                self.known.young[piece] = struct.pack(f"<{len(e.ids)}I", *e.ids)
+                young[piece] = array("I", e.ids).tobytes()
 
     def _learn(self, pieces: set[bytes]) -> None:
         whole, cut = set(), []
