@@ -115,6 +115,36 @@ def test_shift_twelve_wins_and_zero_is_identity(spark):
     assert rows(out.cells) == rows(m0.cells)
 
 
+def test_shift_keeps_a_row_whose_cells_all_move_out(spark):
+    m = _m(spark, [("p", "diarrhea", 30, "Yes"), ("p", "epic_med", 0, "No"), ("p", "refill", -6, "Yes")])
+    out = sh.shift_matrix(m, sh.detect_shift(m.cells))
+    w = {r["variable"]: r for r in mx.to_wide(out, by_variable=True).collect()}
+    assert sorted(w) == ["diarrhea", "epic_med", "refill"]
+    assert all(w["diarrhea"][c] is None for c in m.spec.columns) and w["epic_med"]["6_months"] == "No"
+
+
+def test_extend_keeps_cells_that_no_reply_covers(spark):
+    m = _m(spark, [("p", "diarrhea", -12, "No"), ("p", "diarrhea", -6, "Yes"), ("p", "diarrhea", 0, "No")])
+    prior = spark.createDataFrame(
+        [("i", "n", d(2023, 3, 1), '[{"phenotype": "Diarrhea", "present": "Yes", "severity_level": "3"}]')],
+        "patient_id string, note_id string, contact_date date, prior_phenotypes string",
+    )
+    mapping = spark.createDataFrame([("i", "p")], "patient_id string, mrn string")
+    cells = {r["time_bucket"]: r["cell"] for r in mx.extend_matrix(m, prior, mapping).cells.collect()}
+    assert cells == {-12: "Yes (Lvl 3)", -6: "Yes", 0: "No"}
+    assert mx.extend_matrix(m, prior.limit(0), mapping).cells.count() == 3
+
+
+def test_buckets_of_three_months(spark):
+    spec = MatrixSpec(3, -9, 12, 9)
+    assert spec.pre_baseline == [-9, -6, -3]
+    df = spark.createDataFrame([(k, d(2024, 1, 1) - dt.timedelta(days=x), d(2024, 1, 1)) for k, x in enumerate((1, 80, 95, 200, 260, 300, -5))], "k int, note_time date, enrollment_start_date date")
+    got = {r["k"]: r["time_bucket"] for r in mx.bucket_pre_baseline(df, spec=spec).collect()}
+    assert got == {0: -3, 1: -3, 2: -6, 3: -9, 4: -9}
+    cells = spark.createDataFrame([("p", "refill", -9, "Yes"), ("p", "refill", -3, "Yes"), ("q", "refill", -3, "Yes (Lvl 1)"), ("r", "refill", 0, "Yes")], "mrn string, variable string, time_bucket int, cell string")
+    assert {r["mrn"]: r["bucket_shift"] for r in sh.detect_shift(cells, spec=spec).collect()} == {"p": 9, "q": 3, "r": 0}
+
+
 def test_numeric_severity_option(spark):
     df = spark.createDataFrame(
         [("m", d(2023, 1, 1), None, 0, "Yes", "4"), ("m", d(2023, 1, 1), None, 0, "Yes", "N/A")],

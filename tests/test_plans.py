@@ -4,7 +4,10 @@ import re
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from cohortgrid.operators import verdicts as vd
+from cohortgrid.plans import registry as rg
+from cohortgrid.plans.oracle import oracle_sql
+from cohortgrid.plans.registry import queries
 from conftest import SF_SMALL
 
 
@@ -22,10 +25,26 @@ def test_every_query_has_an_oracle():
     assert set(queries()) == set(oracle_sql())
 
 
-def test_mention_filter_pushdown(spark):
-    plan = _plan(queries()["mention_filter"](spark, SF_SMALL))
-    assert "PushedFilters" in plan and "documents.parquet" in plan
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+def test_scans_read_only_what_a_query_needs(spark):
+    plan = _plan(queries()["date_envelope"](spark, SF_SMALL))
+    assert re.search(r"ReadSchema: struct<c_custkey:bigint>", plan) and "c_name" not in plan
+    plan = _plan(queries()["cohort_resolve"](spark, SF_SMALL))
+    assert re.search(r"PushedFilters: \[[^\]]*Not\(EqualTo\(c_mktsegment,AUTOMOBILE\)\)", plan)
+
+
+def test_replies_are_parsed_once(spark):
+    replies = rg.inputs(spark, SF_SMALL).llm_outputs
+    parsed = _plan(vd.merge_verdicts(vd.parse_llm_outputs(replies)))
+    assert parsed.count("from_json") == 3, "one for each reply column"
+    for key in ("observation_date_strict", "enrollment_rollup", "positive_only", "entry_dedup", "bucket_pre_baseline"):
+        assert "from_json" not in _plan(queries()[key](spark, SF_SMALL)), key
+
+
+def test_observations_are_hash_aggregated(spark):
+    plan = _plan(queries()["bucket_rollup"](spark, SF_SMALL))
+    below = plan[plan.rindex("SortAggregate") :] if "SortAggregate" in plan else plan
+    assert "HashAggregate" in below, "only the counted rows are sorted"
+    assert not re.search(r"SortAggregate\([^)]*note_id", plan)
 
 
 @pytest.mark.parametrize("key", ["first_mention_anchor", "enrollment_rollup", "bucket_rollup", "provider_attribution", "entry_dedup"])

@@ -16,6 +16,8 @@ def test_write_study(spark):
     assert sorted(r["variable"] for r in summary) == ["diarrhea", "epic_med", "refill"]
     m2 = spark.read.parquet(paths["stage2_matrix"])
     assert m2.filter("mrn = 'SUMMARY'").count() == 1
+    patients = [{r["mrn"] for r in spark.read.parquet(paths[f"stage{k}_matrix"]).select("mrn").collect()} for k in (2, 4, 5, 6)]
+    assert patients[0] == patients[1] == patients[2] == patients[3] and len(patients[0]) > 1
 
 
 def test_rollup_before_date_filter_option(spark):
