@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgrid.llm.components import connected_components
-from cohortgrid.llm.storage import written
+from cohortgrid.llm.storage import kept, scratch, written
 
 BUCKET_ROWS, BLOCK_ROWS = 256, 1024
 
@@ -135,19 +135,7 @@ def _verify(cosine: float):
     return run
 
 
-def embedding_dedup(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.999, seed: int = 42, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """One row per input row: (id, n_links, component_id, kept).
-
-    Two rows link when the cosine of their vectors, in double precision,
-    is at least ``cosine``; no pair below it is linked, and a pair at it is
-    found with probability ``recall``. ``n_links`` counts other rows linked
-    directly, equal vectors included; ``component_id`` is the smallest id
-    reachable by links, itself included; ``kept`` marks rows whose id is
-    that. Vectors that are null, empty or zero or hold null or non-finite
-    components link with nothing, and vectors of different length never
-    link. A null id is larger than any other; repeated rows link with each
-    other. Other columns are ignored; an empty table gives no rows.
-    """
+def _dedup(vectors: DataFrame, cosine: float, recall: float, seed: int, id_col: str, vector_col: str) -> DataFrame:
     narrow = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     usable = F.coalesce(finite & F.exists("vector", lambda x: x != 0), F.lit(False))
@@ -183,3 +171,20 @@ def embedding_dedup(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.9
     out = rows.join(verdict.withColumn("usable", F.lit(True)), ["usable", "vector"], "left")
     component = F.when(F.col("usable"), F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def embedding_dedup(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.999, seed: int = 42, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+    """One row per input row: (id, n_links, component_id, kept).
+
+    Two rows link when the cosine of their vectors, in double precision,
+    is at least ``cosine``; no pair below it is linked, and a pair at it is
+    found with probability ``recall``. ``n_links`` counts other rows linked
+    directly, equal vectors included; ``component_id`` is the smallest id
+    reachable by links, itself included; ``kept`` marks rows whose id is
+    that. Vectors that are null, empty or zero or hold null or non-finite
+    components link with nothing, and vectors of different length never
+    link. A null id is larger than any other; repeated rows link with each
+    other. Other columns are ignored; an empty table gives no rows.
+    """
+    with scratch(vectors.sparkSession):
+        return kept(_dedup(vectors, cosine, recall, seed, id_col, vector_col), "embedding-result")

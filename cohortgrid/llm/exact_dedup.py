@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortgrid.llm.storage import written
+from cohortgrid.llm.storage import kept, scratch, written
 
 _TO_SPACE = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 _SPACES = re.compile(rb"  +")
@@ -140,15 +140,7 @@ def spill_buckets(records: DataFrame, bucket_bytes: int, max_level: int = 16) ->
     return pending
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 64 << 20, table_bytes: int = 32 << 20) -> DataFrame:
-    """One row per input row: (id, keep_id, group_size, kept, text_sha256).
-
-    Texts are equal when identical after white-space folding. Of equal
-    texts the row with the smallest id stays; a null id counts as larger
-    than any other, and of rows with the same id exactly one stays. A null
-    text is empty, and empty texts form a group like any other. Other
-    columns are ignored, an empty table gives no rows.
-    """
+def _dedup(docs: DataFrame, id_col: str, text_col: str, bucket_bytes: int, table_bytes: int) -> DataFrame:
     spark = docs.sparkSession
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     records = written(narrow.mapInArrow(_fold(table_bytes), RECORDS), "exact-records")
@@ -169,3 +161,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.col("uid") == F.col("first.uid")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = 64 << 20, table_bytes: int = 32 << 20) -> DataFrame:
+    """One row per input row: (id, keep_id, group_size, kept, text_sha256).
+
+    Texts are equal when identical after white-space folding. Of equal
+    texts the row with the smallest id stays; a null id counts as larger
+    than any other, and of rows with the same id exactly one stays. A null
+    text is empty, and empty texts form a group like any other. Other
+    columns are ignored, an empty table gives no rows.
+    """
+    with scratch(docs.sparkSession):
+        return kept(_dedup(docs, id_col, text_col, bucket_bytes, table_bytes), "exact-result")

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cohortgrid.llm.arrays import LOWER, mix, row_slices, span_hashes, utf8, words
 from cohortgrid.llm.components import connected_components
-from cohortgrid.llm.storage import written
+from cohortgrid.llm.storage import kept, scratch, written
 
 CHUNK_TOKENS, CHUNK_DOCS = 1 << 21, 60_000
 BUCKET_TOKENS = 1 << 20
@@ -98,15 +98,13 @@ def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], sums: list[int],
         hot_tokens, hot_doc = tokens[common], doc[common]
         tokens, doc = tokens[~common], doc[~common]
         shift = np.uint64(64 - bucket_bits)
-        bounds = np.arange(1 << bucket_bits, dtype=np.uint64) << shift
         for values, other, kind in ((tokens, doc, _POSTINGS), (frequent, n_frequent.astype("<u4"), _COUNTS)):
-            cuts = np.r_[np.searchsorted(values, bounds), len(values)].tolist()
-            for bucket in range(1 << bucket_bits):
-                lo, hi = cuts[bucket], cuts[bucket + 1]
-                if hi > lo:
-                    # The top byte follows from the bucket.
-                    packed = np.ascontiguousarray(values[lo:hi].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
-                    rows.append((bucket, kind, chunk, packed, other[lo:hi].tobytes(), None))
+            bucket = values >> shift
+            cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]).tolist() if len(values) else []
+            for lo, hi in zip(cuts, [*cuts[1:], len(values)], strict=False):
+                # The top byte follows from the bucket.
+                packed = np.ascontiguousarray(values[lo:hi].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
+                rows.append((int(bucket[lo]), kind, chunk, packed, other[lo:hi].tobytes(), None))
     else:
         hot_tokens, hot_doc = tokens, doc
     directory = np.array([0 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids], np.uint8).tobytes()
@@ -389,24 +387,11 @@ def _links(live: DataFrame, percent: int) -> DataFrame:
     return within.union(written(across, "ngram-across"))
 
 
-def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: (id, n_shingles, component_id, kept,
-    text_crc32); ``kept`` marks one row of each component, that of the
-    smallest id, and the checksum of its text tells rows of an id apart.
-
-    Words are runs of other than ASCII white space, A-Z lower-cased. Two
-    documents link when 100 * common >= percent * union of their sets of
-    distinct word n-grams (64-bit hashes); ``component_id`` is the smallest
-    id reachable by links. A text of fewer than n words has one shingle; a
-    null text or one without words has none and links with nothing, so its
-    component is its own id. A null id is larger than any other; repeated
-    rows link like other copies. Other columns are ignored, an empty table
-    gives no rows.
-    """
+def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # A shingle has about a word of its own: some six bytes of text.
     volume = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(20, max(8, math.ceil(math.log2(max(1, volume / 6 / BUCKET_TOKENS)))))
+    bits = min(22, max(8, math.ceil(math.log2(max(1, volume / 6 / BUCKET_TOKENS)))))
     flow = narrow.mapInArrow(_post(n, bits), _FLOW).repartition("key").sortWithinPartitions("key")
     back = flow.mapInArrow(_frequencies(bits), _FLOW).repartition("chunk").sortWithinPartitions("chunk")
     survey = written(back.mapInArrow(_survey(percent), _SURVEY), "ngram-survey")
@@ -421,3 +406,21 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     of_rep = label.select("rep", "component").join(named, "component").select("rep", "first")
     out = survey.select("uid", "id", "n", "rep", "crc").join(of_rep, "rep")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("first.id").alias("component_id"), (F.col("uid") == F.col("first.uid")).alias("kept"), F.col("crc").alias("text_crc32"))
+
+
+def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: (id, n_shingles, component_id, kept,
+    text_crc32); ``kept`` marks one row of each component, that of the
+    smallest id, and the checksum of its text tells rows of an id apart.
+
+    Words are runs of other than ASCII white space, A-Z lower-cased. Two
+    documents link when 100 * common >= percent * union of their sets of
+    distinct word n-grams (64-bit hashes); ``component_id`` is the smallest
+    id reachable by links. A text of fewer than n words has one shingle; a
+    null text or one without words has none and links with nothing, so its
+    component is its own id. A null id is larger than any other; repeated
+    rows link like other copies. Other columns are ignored, an empty table
+    gives no rows.
+    """
+    with scratch(docs.sparkSession):
+        return kept(_join(docs, n, percent, id_col, text_col), "ngram-result")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortgrid.llm.storage import written
+from cohortgrid.llm.storage import kept, scratch, written
 
 # The base patterns (kind, pattern, least length of the value).
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -99,21 +99,7 @@ def _count_of(kind: int) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
 
 
-def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: (id, n_assign, n_access, n_hex, base_sha256,
-    spans, n_live, n_copied).
-
-    ``base_sha256`` digests the base spans whatever the frequencies say.
-    ``spans`` lists the base spans and the added ones: mixed tokens outside
-    base spans that at most ``max_owners`` owners hold. ``n_live`` counts
-    listed candidates with at most ``max_owners`` owners, ``n_copied`` the
-    listed ones with more.
-
-    A null text is empty, and a text without candidates has counts of 0 and
-    empty lists. Ids may be null or repeated: rows are kept apart. Other
-    columns are ignored; an empty table gives no rows. Assignments keep
-    their span from keyword to value; their hash is the value's.
-    """
+def _scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int, id_col: str, text_col: str) -> DataFrame:
     base = written(_candidates(docs, id_col, text_col, owner, repository), "secret-candidates")
     spans = _spans(base)
     salt = F.pmod(F.xxhash64("uid"), F.lit(SALTS))
@@ -143,3 +129,22 @@ def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners:
         F.coalesce("spans", F.lit("")).alias("spans"),
         *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_copied")),
     )
+
+
+def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: (id, n_assign, n_access, n_hex, base_sha256,
+    spans, n_live, n_copied).
+
+    ``base_sha256`` digests the base spans whatever the frequencies say.
+    ``spans`` lists the base spans and the added ones: mixed tokens outside
+    base spans that at most ``max_owners`` owners hold. ``n_live`` counts
+    listed candidates with at most ``max_owners`` owners, ``n_copied`` the
+    listed ones with more.
+
+    A null text is empty, and a text without candidates has counts of 0 and
+    empty lists. Ids may be null or repeated: rows are kept apart. Other
+    columns are ignored; an empty table gives no rows. Assignments keep
+    their span from keyword to value; their hash is the value's.
+    """
+    with scratch(docs.sparkSession):
+        return kept(_scan(docs, owner, repository, max_owners, id_col, text_col), "secret-result")
