@@ -37,7 +37,7 @@ NEGATIONS = "not no never nobody none isn't aren't wasn't don't doesn't didn't n
 REPORTS = "said says say wrote writes called calls quoted claims reportedly sagte schrieb meinte dit écrit déclare dijo escribió".split()
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, END = range(7)
-SCOPE = 3  # words that a negation or a target reaches
+SCOPE = 4  # words that a negation or a target reaches
 STEM_LENGTHS = range(3, 13)
 _CLAUSE_END = re.compile(r"[.,;:!?|)\]]\W*$")
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
