@@ -7,49 +7,54 @@ come back as a table joined on (note_id, stage).
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.status import is_positive
+from ..spec import DEFAULT_KEYWORDS
+from .extraction import passage
 
 # Short task headers per stage (instruction wording is supplied by the user
 # of the library; these defaults only name the task).
 STAGE_HEADERS = {
     "summarizer": "Return only the passages of this note about the study drug, verbatim.",
-    "extractor": "Return the phenotype findings of this note as a JSON array.",
+    "extractor": "Return the phenotype findings of these passages as a JSON array.",
     "validator": "Validate the extracted findings against this note; return a JSON array.",
     "enrollment": "Return what this note states about starting or stopping the study drug as JSON.",
+    "prior_events": "Return the chronic or recurrent phenotype findings of this note as a JSON array.",
 }
 
 
-def requests(notes: DataFrame, answered: DataFrame | None = None, headers: Mapping[str, str] = STAGE_HEADERS) -> DataFrame:
+def requests(
+    notes: DataFrame,
+    responses: DataFrame,
+    headers: Mapping[str, str] = STAGE_HEADERS,
+    keywords: Iterable[str] = DEFAULT_KEYWORDS,
+) -> DataFrame:
     """(note_id, stage, request_text) for every note with text and
-    every stage, minus the (note_id, stage) pairs already answered. The
-    stage list is a literal array exploded per note (no cross join)."""
-    stages = F.array(*[F.struct(F.lit(k).alias("stage"), F.lit(v).alias("header")) for k, v in headers.items()])
-    n = notes.filter(F.col("note_text").isNotNull()).select(
-        F.col("note_id").cast("string").alias("note_id"), "note_text", F.inline(stages)
-    )
-    if answered is not None:
-        n = n.join(answered.select("note_id", "stage"), ["note_id", "stage"], "left_anti")
-    return n.select("note_id", "stage", F.concat(F.col("header"), F.lit("\n\n"), F.col("note_text")).alias("request_text"))
-
-
-def answered_pairs(replies: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """(note_id, stage) for every non-null reply; ``columns`` maps stage ->
-    reply column."""
-    arr = F.array(*[F.struct(F.lit(s).alias("stage"), F.col(c).alias("reply")) for s, c in columns.items()])
-    x = replies.select(F.col("note_id").cast("string").alias("note_id"), F.inline(arr))
-    return x.filter(F.col("reply").isNotNull()).select("note_id", "stage").distinct()
-
-
-def attach_responses(requests_df: DataFrame, responses: DataFrame) -> DataFrame:
-    """Requests with the model's response, joined back on (note_id,
-    stage); unanswered requests keep a null response."""
-    r = responses.select(F.col("note_id").cast("string").alias("note_id"), "stage", "response")
-    return requests_df.join(r, ["note_id", "stage"], "left")
+    every stage that has no response yet. The extractor reads the note's
+    passages about the drug, the validator the note and the extraction to
+    validate (so its request waits for that response), the others the note.
+    ``responses`` is (note_id, stage, response); a null one is no answer."""
+    given = responses.filter(F.col("response").isNotNull())
+    extraction = given.filter(F.col("stage") == "extractor").groupBy("note_id").agg(F.max("response").alias("extraction"))
+    n = notes.filter(F.col("note_text").isNotNull()).select(F.col("note_id").cast("string").alias("note_id"), "note_text")
+    n = n.join(extraction, "note_id", "left")
+    both = F.concat(F.lit("ORIGINAL_NOTE:\n"), F.col("note_text"), F.lit("\n\nEXTRACTION:\n"), F.col("extraction"))
+    body = {"extractor": passage("note_text", keywords), "validator": both}
+    rows = F.array(*[F.struct(F.lit(k).alias("stage"), F.lit(v).alias("header"), body.get(k, F.col("note_text")).alias("body")) for k, v in headers.items()])
+    out = n.select("note_id", F.inline(rows)).filter(F.col("body").isNotNull())
+    out = out.join(given.select("note_id", "stage"), ["note_id", "stage"], "left_anti")
+    return out.select("note_id", "stage", F.concat(F.col("header"), F.lit("\n\n"), F.col("body")).alias("request_text"))
+
+
+def attach_responses(notes: DataFrame, responses: DataFrame, stages: Iterable[str] = tuple(STAGE_HEADERS)) -> DataFrame:
+    """Each note's responses as one column per stage; a stage without
+    a response is null, a repeated one takes the greatest text."""
+    wide = responses.groupBy("note_id").agg(*[F.max(F.when(F.col("stage") == s, F.col("response"))).alias(s) for s in stages])
+    return notes.select(F.col("note_id").cast("string").alias("note_id")).join(wide, "note_id", "left")
 
 
 def agreement(cells: DataFrame, annotations: DataFrame) -> DataFrame:

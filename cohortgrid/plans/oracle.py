@@ -659,19 +659,32 @@ SQL["entry_dedup"] = _with(
 )
 STAGES = {
     "summarizer": "Return only the passages of this note about the study drug, verbatim.",
-    "extractor": "Return the phenotype findings of this note as a JSON array.",
+    "extractor": "Return the phenotype findings of these passages as a JSON array.",
     "validator": "Validate the extracted findings against this note; return a JSON array.",
     "enrollment": "Return what this note states about starting or stopping the study drug as JSON.",
+    "prior_events": "Return the chronic or recurrent phenotype findings of this note as a JSON array.",
 }
+D["chunks"] = f"select note_id, note_text, cast(split_part(note_id, '_', 1) as bigint) as doc from ({chunk_select('v_clinical', CHUNK_COLS)})"
+D["resp"] = " union all ".join(
+    f"select note_id, '{stage}' as stage, case when {rule} and doc % 7 > 0 then '[{{\"phenotype\": \"Diarrhea\", \"evidence_text\": \"' || note_id || '\"}}]' end as response from chunks"
+    for stage, rule in (("extractor", "doc % 3 > 0"), ("validator", "doc % 4 = 0"), ("enrollment", "doc % 5 = 0"))
+)
+_drug = "list_filter(list_filter(list_transform(regexp_extract_all(note_text, '[^.!?]+[.!?]*'), lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> ''), lambda s: contains(lower(s), 'daybue') or contains(lower(s), 'trofinetide'))"
+D["asked"] = (
+    f"select note_id, 'extractor' as stage, case when len({_drug}) = 0 then 'No Daybue-related information found' else array_to_string({_drug}, ' ') end as body from chunks "
+    "union all select c.note_id, 'validator', 'ORIGINAL_NOTE:' || chr(10) || note_text || chr(10) || chr(10) || 'EXTRACTION:' || chr(10) || response "
+    "from chunks c join resp r on c.note_id = r.note_id and r.stage = 'extractor' where response is not null "
+    + " ".join(f"union all select note_id, '{k}', note_text from chunks" for k in ("summarizer", "enrollment", "prior_events"))
+)
 SQL["llm_requests"] = _with(
-    ["v_notes", "v_llm"],
-    "select c.note_id, s.stage, s.header || chr(10) || chr(10) || c.note_text as request_text from "
-    f"({chunk_select('v_notes', CHUNK_COLS)}) c cross join (values "
-    + ", ".join(f"({q(k)}, {q(v)})" for k, v in STAGES.items())
-    + ") s(stage, header) where c.note_text is not null and not exists (select 1 from ("
-    "select note_id, 'extractor' as stage from v_llm where extracted_llm is not null union all "
-    "select note_id, 'validator' from v_llm where val_llm is not null union all "
-    "select note_id, 'enrollment' from v_llm where enrollment is not null) a where a.note_id = c.note_id and a.stage = s.stage)",
+    ["asked", "resp"],
+    "select a.note_id, a.stage, case a.stage " + " ".join(f"when {q(k)} then {q(v)}" for k, v in STAGES.items())
+    + " end || chr(10) || chr(10) || body as request_text from asked a where body is not null and not exists ("
+    "select 1 from resp r where r.note_id = a.note_id and r.stage = a.stage and r.response is not null)",
+)
+SQL["llm_responses"] = _with(
+    ["chunks", "resp"],
+    "select note_id, " + ", ".join(f"(select max(response) from resp r where r.note_id = c.note_id and r.stage = '{k}') as {k}" for k in STAGES) + " from chunks c",
 )
 SQL["annotation_agreement"] = _with(
     ["oxf", "oxb"],

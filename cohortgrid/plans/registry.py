@@ -491,10 +491,14 @@ def q_relative_time(i, t):
     return c.select("note_id", ex.relative_time("note_text").alias("time_description"))
 
 
-def q_llm_requests(i):
-    chunks = nt.chunk_text(i.notes, MENTION.max_chars)
-    answered = rq.answered_pairs(i.llm_outputs, {"extractor": "extracted_llm", "validator": "val_llm", "enrollment": "enrollment"})
-    return rq.requests(chunks, answered)
+def q_llm_requests(i, t):
+    chunks = nt.chunk_text(fx.clinical_notes(t), MENTION.max_chars)
+    return rq.requests(chunks, fx.note_responses(chunks))
+
+
+def q_llm_responses(i, t):
+    chunks = nt.chunk_text(fx.clinical_notes(t), MENTION.max_chars)
+    return rq.attach_responses(chunks, fx.note_responses(chunks))
 
 
 def q_annotation_agreement(i):
@@ -516,6 +520,8 @@ _WITH_TABLES = {
     "status_rules": q_status_rules,
     "chronicity_rules": q_chronicity_rules,
     "relative_time": q_relative_time,
+    "llm_requests": q_llm_requests,
+    "llm_responses": q_llm_responses,
 }
 
 _PLAIN = {
@@ -570,7 +576,6 @@ _PLAIN = {
     "response_contract": q_response_contract,
     "positive_only": q_positive_only,
     "entry_dedup": q_entry_dedup,
-    "llm_requests": q_llm_requests,
     "annotation_agreement": q_annotation_agreement,
 }
 
