@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cohortgrid.llm import quality_classifier, toxicity
 from cohortgrid.llm.logistic import fit, predict, sigmoid
-from conftest import DOCUMENTS, odd_rows, prose
+from llm.conftest import DOCUMENTS, odd_rows, prose
 
 LABELS = "doc_id long, quality int, toxic int"
 

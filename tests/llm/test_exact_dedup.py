@@ -2,7 +2,7 @@ import hashlib
 import re
 
 import cohortgrid.llm.exact_dedup as ed
-from conftest import odd_rows
+from llm.conftest import odd_rows
 
 
 def brute_force(rows):

@@ -4,7 +4,7 @@ import pytest
 
 import cohortgrid.llm.ngram_join as nj
 from cohortgrid.llm.components import connected_components
-from conftest import DOCUMENTS, odd_rows, prose
+from llm.conftest import DOCUMENTS, odd_rows, prose
 
 
 def brute_force(rows):

@@ -2,10 +2,10 @@ import re
 
 import corpus_pipeline as cp
 import pytest
-from test_ngram_join import brute_force as families
+from llm.test_ngram_join import brute_force as families
 
 from cohortgrid.llm.queries import oracle_sql, queries
-from conftest import odd_rows
+from llm.conftest import odd_rows
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -4,7 +4,7 @@ import re
 from pyspark.sql import functions as F
 
 from cohortgrid.llm.secret_scan import secret_scan
-from conftest import DOCUMENTS, odd_rows
+from llm.conftest import DOCUMENTS, odd_rows
 
 ASSIGN = re.compile(r"""(?a:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 MIXED = "Zz9" + "aB3" * 8

@@ -5,7 +5,7 @@ import public_tokenizers
 from sentencepiece import SentencePieceProcessor
 
 from cohortgrid.llm.sentencepiece_viterbi import Encoder, decode, decode_ids, encode
-from conftest import odd_rows, prose
+from llm.conftest import odd_rows, prose
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 

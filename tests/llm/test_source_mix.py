@@ -3,7 +3,7 @@ import math
 from collections import Counter
 
 from cohortgrid.llm.source_mix import mix_sources, repetition_rates, source_sizes
-from conftest import CLASHING, DOCUMENTS, odd_rows, prose
+from llm.conftest import CLASHING, DOCUMENTS, odd_rows, prose
 
 
 def poisson(u, rate):

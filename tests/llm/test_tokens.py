@@ -10,7 +10,7 @@ from cohortgrid.llm.pfor import Segment, encode_segment, pack, unpack
 from cohortgrid.llm.recent import Recent
 from cohortgrid.llm.token_counts import Counter, token_counts
 from cohortgrid.llm.token_files import Encoder, read_token_files, read_tokens, write_token_files
-from conftest import odd_rows
+from llm.conftest import odd_rows
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 PARTS = ["a", "b", " ", "  ", "\n", "\t", "\x0b", "\x1c", " ", " ", "\x85", "é", "é", "İ", "K", "'s", "'ll", "’s", "1", "23", "½", "<|endoftext|>", "<|EndOfText|>", "<|startoftext|>", "...", "!?", "«", "a.", "<", "漢字", "😀", "‍", "aaaa", "----", "Σ", "ς", "<|", " '", "\u0085 ", "\r\n"]
