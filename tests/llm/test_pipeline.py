@@ -32,7 +32,11 @@ def test_stages_on_empty_and_odd_tables(spark, odd, no_documents, name):
     stage = dict(cp.STAGES)[name]
     assert stage(spark, no_documents, SMALL).count() == 0
     out = stage(spark, odd, SMALL)
-    assert out.count() <= 3 * len(odd_rows())
+    rows = out.count()
+    if name == "mix":  # small sources repeat often: their rows grow, not the corpus' size
+        assert {r["doc_id"] for r in out.collect()} <= {r[0] for r in odd_rows()}
+    else:
+        assert rows == len(odd_rows()) if name == "tokens" else rows <= len(odd_rows())
     if name != cp.STAGES[-1][0]:
         assert out.columns == cp.COLUMNS
 
