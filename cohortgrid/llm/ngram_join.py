@@ -11,11 +11,9 @@
    clusters. In a cluster a pair is verified only if it also shares prefix
    tokens under every other order and its sizes allow a link.
 
-Only links that connect are kept, so a group of near copies costs about
-its size: in a cluster, documents already reached are not compared again.
-Clusters over the block size are split in blocks with common leaders;
-documents outside a cluster's largest component are then compared with all
-of its blocks, so no link between components is lost.
+Equal shingle sets are folded first, weighted by their rows. Clusters over
+the block size are compared in pairs of blocks, every pair of documents
+once; only counts of links and connecting edges leave a task.
 """
 
 from __future__ import annotations
@@ -33,12 +31,14 @@ from pyspark.sql import functions as F
 
 from cohortgrid.llm.arrays import LOWER, mix, row_slices, span_hashes, utf8, words
 from cohortgrid.llm.components import connected_components
+from cohortgrid.llm.embedding_dedup import _forest
 from cohortgrid.llm.storage import kept, scratch, written
 
 CHUNK_TOKENS, CHUNK_DOCS = 1 << 21, 60_000
 BUCKET_TOKENS = 1 << 20
 FREQUENT = 64
-BLOCK_DOCS, BLOCK_TOKENS, LEADERS = 1024, 1 << 22, 16
+BLOCK_DOCS, BLOCK_TOKENS = 1024, 1 << 21
+DENSE_SHARE, DENSE_TOKENS, SPARSE_PAIRS = 64, 1024, 1 << 19
 ORDER_SEEDS = (0x51ED270B, 0xC2B2AE35)
 
 _FLOW = "key long, kind int, chunk long, a binary, b binary, c binary"
@@ -199,12 +199,13 @@ def prefixes(tokens: np.ndarray, frequency: np.ndarray, length: int) -> list[np.
     return out
 
 
-_SURVEY = "uid long, id long, n long, rep long, crc long, shared binary, prefix array<long>, others binary, n_prefix int"
+_SURVEY = "uid long, id long, n long, rep long, crc long, shared binary, prefix array<long>, others binary, digest binary"
 
 
 def _survey(percent: int):
     """Per document of a chunk: its set size, and for those that can still
-    have a link the shared tokens and the prefixes."""
+    have a link the shared tokens and the prefixes; where all tokens are
+    shared, so that other chunks may hold the same set, also its digest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (chunk,), rows in _by_key(batches, "chunk"):
@@ -241,112 +242,100 @@ def _survey(percent: int):
                 need = -(-percent * int(sizes[k]) // 100)
                 alive = rep[k] == k and sizes[k] and hi - lo >= need
                 kept = prefixes(token[lo:hi], often[lo:hi], int(hi - lo) - need + 1) if alive else None
-                row = (chunk << 16 | k, None if no_id[k] else int(ids[k]), int(sizes[k]), chunk << 16 | int(rep[k]), int(sums[k]), token[lo:hi].tobytes() if alive else None, kept[0].view(np.int64).tolist() if alive else None, b"".join(p.tobytes() for p in kept[1:]) if alive else None, len(kept[0]) if alive else None)
+                digest = hashlib.blake2b(np.sort(token[lo:hi]).tobytes(), digest_size=16).digest() if alive and hi - lo == sizes[k] else None
+                row = (chunk << 16 | k, None if no_id[k] else int(ids[k]), int(sizes[k]), chunk << 16 | int(rep[k]), int(sums[k]), token[lo:hi].tobytes() if alive else None, kept[0].view(np.int64).tolist() if alive else None, b"".join(p.tobytes() for p in kept[1:]) if alive else None, digest)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.int32()]
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["uid", "id", "n", "rep", "crc", "shared", "prefix", "others", "n_prefix"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["uid", "id", "n", "rep", "crc", "shared", "prefix", "others", "digest"])
 
     return run
 
 
-class _Ragged:
-    """Rows of local token numbers on end."""
-
-    def __init__(self, rows: list[np.ndarray]) -> None:
-        self.ends = np.cumsum([len(r) for r in rows])
-        self.starts = self.ends - [len(r) for r in rows]
-        self.data = np.concatenate(rows)
-
-    def row(self, k: int) -> np.ndarray:
-        return self.data[self.starts[k] : self.ends[k]]
-
-    def hits(self, marked: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Per row how many of its tokens are marked."""
-        sizes = self.ends[rows] - self.starts[rows]
-        ends = np.cumsum(sizes)
-        at = np.repeat(self.starts[rows] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
-        running = np.r_[0, np.cumsum(marked[self.data[at]])]
-        return running[ends] - running[ends - sizes]
-
-
-class Verifier:
-    """Documents of a block, ready for comparisons with one of them."""
-
-    def __init__(self, rows: list[dict], percent: int) -> None:
-        self.percent = percent
-        self.n = np.array([r["n"] for r in rows], np.int64)
-        shared = [np.frombuffer(r["shared"], np.uint64) for r in rows]
-        vocabulary, local = np.unique(np.concatenate(shared), return_inverse=True)
-        self.shared = _Ragged(np.split(local, np.cumsum([len(s) for s in shared])[:-1]))
-        self.prefixes = []
-        for order in range(1 + len(ORDER_SEEDS)):
-            own = [np.array(r["prefix"], np.int64).view(np.uint64) if order == 0 else np.frombuffer(r["others"], np.uint64).reshape(len(ORDER_SEEDS), -1)[order - 1] for r in rows]
-            self.prefixes.append(_Ragged([np.searchsorted(vocabulary, p) for p in own]))
-        self.marked = np.zeros(len(vocabulary), bool)
-
-    def _hits(self, ragged: _Ragged, k: int, others: np.ndarray) -> np.ndarray:
-        self.marked[ragged.row(k)] = True
-        out = ragged.hits(self.marked, others)
-        self.marked[ragged.row(k)] = False
-        return out
-
-    def linked(self, k: int, others: np.ndarray) -> np.ndarray:
-        """Those of ``others`` that document k is linked with."""
-        small, large = np.minimum(self.n[k], self.n[others]), np.maximum(self.n[k], self.n[others])
-        others = others[100 * small >= self.percent * large]
-        for order in self.prefixes:
-            if len(others):
-                others = others[self._hits(order, k, others) > 0]
-        if not len(others):
-            return others
-        common = self._hits(self.shared, k, others)
-        return others[100 * common >= self.percent * (self.n[k] + self.n[others] - common)]
-
-
-def _spanning(percent: int):
-    """Links that connect the documents of each block: from every document
-    reached, only documents not reached yet are compared."""
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_key(batches, "cluster", "block"):
-            rows = list({r["uid"]: r for r in rows}.values())
-            block = Verifier(rows, percent)
-            left, a, b = np.arange(len(rows)), [], []
-            while len(left) > 1:
-                reached, left = [left[0]], left[1:]
-                while reached and len(left):
-                    k = reached.pop()
-                    found = block.linked(k, left)
-                    if len(found):
-                        a += [rows[k]["uid"]] * len(found)
-                        b += [rows[j]["uid"] for j in found]
-                        reached += found.tolist()
-                        left = np.setdiff1d(left, found, assume_unique=True)
-            if a:
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return run
 
+def _by_token(rows: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """The distinct tokens of some sets, where each starts and in how many
+    rows it is, and the rows on end."""
+    tokens = np.concatenate(rows)
+    order = np.argsort(tokens, kind="stable")
+    return *np.unique(tokens[order], return_index=True, return_counts=True), np.repeat(np.arange(len(rows)), [len(r) for r in rows])[order]
+
+
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each set of ``left`` has in common with each of
+    ``right``: tokens of many rows by matrix products, others by pairs."""
+    out = np.zeros((len(left), len(right)), np.int64)
+    known, start, size, row = _by_token(left)
+    known_r, start_r, size_r, row_r = _by_token(right)
+    _, at, at_r = np.intersect1d(known, known_r, assume_unique=True, return_indices=True)
+    start, size, start_r, size_r = start[at], size[at], start_r[at_r], size_r[at_r]
+    pairs = size * size_r
+    dense = np.flatnonzero(pairs * DENSE_SHARE >= out.size)
+    for lo in range(0, len(dense), DENSE_TOKENS):
+        own = dense[lo : lo + DENSE_TOKENS]
+        x, y = (np.zeros((n, len(own)), np.float32) for n in out.shape)
+        x[row[_ranges(start[own], size[own])], np.repeat(np.arange(len(own)), size[own])] = 1
+        y[row_r[_ranges(start_r[own], size_r[own])], np.repeat(np.arange(len(own)), size_r[own])] = 1
+        out += (x @ y.T).astype(np.int64)
+    sparse = np.flatnonzero(pairs * DENSE_SHARE < out.size)
+    for own in np.split(sparse, np.flatnonzero(np.diff(np.cumsum(pairs[sparse]) // SPARSE_PAIRS)) + 1):
+        if len(own):
+            k = _ranges(np.zeros(len(own), np.int64), pairs[own])
+            wide = np.repeat(size_r[own], pairs[own])
+            i = row[np.repeat(start[own], pairs[own]) + k // wide]
+            j = row_r[np.repeat(start_r[own], pairs[own]) + k % wide]
+            out += np.bincount(i * len(right) + j, minlength=out.size).reshape(out.shape)
+    return out
 
-def _across(percent: int):
-    """Links of the documents outside the largest component (``asks``)
-    with documents of other components."""
 
+def _compare(rows: list[dict], percent: int) -> pa.RecordBatch | None:
+    """One pair of blocks: per document the weight of the documents that it
+    is linked with here, and connecting edges."""
+    within = rows[0]["left"] == rows[0]["right"]
+    side = np.array([r["side"] for r in rows])
+    own, other = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if within else 1))
+    if not len(own) or not len(other):
+        return None
+    n = np.array([r["n"] for r in rows], np.int64)
+    close = 100 * np.minimum.outer(n[own], n[other]) >= percent * np.maximum.outer(n[own], n[other])
+    if within:  # each pair once
+        close &= np.triu(np.ones_like(close), 1)
+    for order in range(len(ORDER_SEEDS)):
+        some, some_other = np.flatnonzero(close.any(axis=1)), np.flatnonzero(close.any(axis=0))
+        own, other, close = own[some], other[some_other], close[np.ix_(some, some_other)]
+        if not len(own):
+            return None
+        first = [np.frombuffer(r["others"], np.uint64).reshape(len(ORDER_SEEDS), -1)[order] for r in rows]
+        close &= common_counts([first[k] for k in own], [first[k] for k in other]) > 0
+    some, some_other = np.flatnonzero(close.any(axis=1)), np.flatnonzero(close.any(axis=0))
+    own, other, close = own[some], other[some_other], close[np.ix_(some, some_other)]
+    if not len(own):
+        return None
+    shared = [np.frombuffer(r["shared"], np.uint64) for r in rows]
+    common = common_counts([shared[k] for k in own], [shared[k] for k in other])
+    i, j = np.nonzero(close & (100 * common >= percent * (np.add.outer(n[own], n[other]) - common)))
+    if not len(i):
+        return None
+    i, j = own[i], other[j]
+    uid, weight = (np.array([r[c] for r in rows], np.int64) for c in ("uid", "weight"))
+    links = np.zeros(len(rows), np.int64)
+    np.add.at(links, i, weight[j])
+    np.add.at(links, j, weight[i])
+    at = np.flatnonzero(links)
+    a, b = _forest(len(rows), i, j)
+    none, gone = [None] * len(a), [None] * len(at)
+    return pa.record_batch([pa.array(x, pa.int64()) for x in ([*uid[at].tolist(), *none], [*links[at].tolist(), *none], [*gone, *uid[a].tolist()], [*gone, *uid[b].tolist()])], ["uid", "links", "a", "b"])
+
+
+def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_key(batches, "cluster", "block", "ask_block"):
-            rows = list({r["uid"]: r for r in sorted(rows, key=lambda r: r["asks"])}.values())
-            block = Verifier(rows, percent)
-            label = np.array([r["component"] for r in rows])
-            a, b = [], []
-            for k in np.flatnonzero([r["asks"] for r in rows]).tolist():
-                for j in block.linked(k, np.flatnonzero(label != label[k])).tolist():
-                    if label[j] != label[k]:
-                        a.append(rows[k]["uid"])
-                        b.append(rows[j]["uid"])
-                        label[label == label[j]] = label[k]
-            if a:
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        for _, rows in _by_key(batches, "cluster", "left", "right"):
+            if len(rows) > 1 and (out := _compare(rows, percent)):
+                yield out
 
     return run
 
@@ -355,36 +344,23 @@ def _numbered(df: DataFrame, n_blocks: str) -> F.Column:
     return F.pmod(F.xxhash64("uid"), F.col(n_blocks))
 
 
-def _links(live: DataFrame, percent: int) -> DataFrame:
-    """Edges (a, b) between documents that connect what links connect."""
+def _links(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (uid, links) of the documents' links by pair of blocks, and
+    edges (a, b) that connect what links connect; ``sets`` (gid, weight)
+    names one document of each distinct set."""
     posts = written(live.select("uid", F.explode("prefix").alias("token")), "ngram-prefix")
     groups = written(posts.groupBy("token").agg(F.min("uid").alias("first"), F.count("*").alias("docs")).filter("docs > 1").select("token", "first"), "ngram-tokens")
     clusters = connected_components(posts.join(groups, "token").select("uid", "first").distinct(), "uid", "first", "ngram-clusters")
-    placed = written(clusters.select(F.col("node").alias("uid"), F.col("component").alias("cluster")).join(live, "uid"), "ngram-placed")
+    single = clusters.select(F.col("node").alias("uid"), F.col("component").alias("cluster")).join(sets.select(F.col("gid").alias("uid"), "weight"), "uid")
+    placed = written(single.join(live.select("uid", "n", "shared", "others"), "uid"), "ngram-placed")
     by_docs, by_tokens = F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum(F.length("shared")) / (8 * BLOCK_TOKENS))
-    blocks = written(placed.groupBy("cluster").agg(F.greatest(by_docs, by_tokens).cast("long").alias("n_blocks")), "ngram-blocks")
-    dealt = placed.join(blocks, "cluster").withColumn("block", _numbered(placed, "n_blocks"))
-    large = dealt.filter("n_blocks > 1")
-    leader = large.groupBy("cluster", F.pmod(F.xxhash64("uid"), F.lit(LEADERS)).alias("slot")).agg(F.min("uid").alias("uid")).select("uid")
-    leaders = large.join(leader, "uid", "left_semi").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    work = dealt.unionByName(leaders).select("cluster", "block", "uid", "n", "shared", "prefix", "others")
-    within = written(work.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "uid").mapInArrow(_spanning(percent), "a long, b long"), "ngram-links")
-    if large.isEmpty():
-        return within
-    reached = connected_components(within, "a", "b", "ngram-reached")
-    labelled = written(large.select("cluster", "uid", "n_blocks", "block").join(reached.withColumnRenamed("node", "uid"), "uid", "left").withColumn("component", F.coalesce("component", "uid")), "ngram-labelled")
-    sizes = labelled.groupBy("cluster", "component").agg(F.count("*").alias("docs"))
-    largest = sizes.groupBy("cluster").agg(F.max_by("component", F.struct("docs", "component")).alias("largest"), F.sum("docs").alias("docs"), F.max("docs").alias("top"))
-    asks = labelled.join(largest.filter("docs > top"), "cluster").filter("component != largest")
-    ask_blocks = asks.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_DOCS).cast("long").alias("ask_blocks"))
-    asking = asks.join(ask_blocks, "cluster").withColumn("ask_block", _numbered(asks, "ask_blocks"))
-    asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
-    asked = labelled.join(ask_blocks, "cluster").withColumn("ask_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ask_blocks") - 1)))
-    keys = ["cluster", "block", "ask_block", "uid", "component"]
-    pairs = asking.select(*keys, F.lit(True).alias("asks")).union(asked.select(*keys, F.lit(False).alias("asks")))
-    work = pairs.join(live.select("uid", "n", "shared", "prefix", "others"), "uid")
-    across = work.repartition("cluster", "block", "ask_block").sortWithinPartitions("cluster", "block", "ask_block", "uid").mapInArrow(_across(percent), "a long, b long")
-    return within.union(written(across, "ngram-across"))
+    blocks = written(placed.groupBy("cluster").agg(F.count("*").alias("docs"), F.greatest(by_docs, by_tokens).cast("long").alias("n_blocks")).filter("docs > 1").select("cluster", "n_blocks"), "ngram-blocks")
+    dealt = placed.join(blocks, "cluster").withColumn("own", _numbered(placed, "n_blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1)))
+    dealt = dealt.withColumn("left", F.least("own", "other")).withColumn("right", F.greatest("own", "other")).withColumn("side", (F.col("own") > F.col("other")).cast("int"))
+    block = ["cluster", "left", "right"]
+    work = dealt.select(*block, "side", "uid", "weight", "n", "shared", "others").repartition(*block).sortWithinPartitions(*block, "uid")
+    return written(work.mapInArrow(_verify(percent), "uid long, links long, a long, b long"), "ngram-links")
 
 
 def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
@@ -395,28 +371,40 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) ->
     flow = narrow.mapInArrow(_post(n, bits), _FLOW).repartition("key").sortWithinPartitions("key")
     back = flow.mapInArrow(_frequencies(bits), _FLOW).repartition("chunk").sortWithinPartitions("chunk")
     survey = written(back.mapInArrow(_survey(percent), _SURVEY), "ngram-survey")
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("uid"))).alias("first")
+    per_rep = written(survey.groupBy("rep").agg(first, F.count("*").alias("weight"), F.min("digest").alias("digest")), "ngram-reps")
+    # Equal sets of several chunks. A document without a digest is alone, and
+    # stays out of the join, where all nulls would meet in one task.
+    copies, alone = per_rep.filter(F.col("digest").isNotNull()), per_rep.filter(F.col("digest").isNull())
+    equal = copies.join(copies.groupBy("digest").agg(F.min("rep").alias("gid")), "digest").select("rep", "gid", "first", "weight")
+    of_rep = written(equal.union(alone.select("rep", F.col("rep").alias("gid"), "first", "weight")), "ngram-equal")
+    sets = written(of_rep.groupBy("gid").agg(F.min("first").alias("first"), F.sum("weight").alias("weight")), "ngram-sets")
+
     live = survey.filter(F.col("shared").isNotNull()).select("uid", "n", "shared", "prefix", "others")
-    components = connected_components(_links(live, percent), "a", "b", "ngram-components")
+    found = _links(live, sets, percent)
+    links = found.filter(F.col("uid").isNotNull()).groupBy(F.col("uid").alias("gid")).agg(F.sum("links").alias("links"))
+    components = connected_components(found.filter(F.col("a").isNotNull()), "a", "b", "ngram-components")
 
-    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("uid")))
-    per_rep = survey.groupBy("rep").agg(first.alias("first"))
-    label = per_rep.join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    label = sets.join(links, "gid", "left").join(components.withColumnRenamed("node", "gid"), "gid", "left")
+    label = label.select("gid", "first", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "gid").alias("component"))
     label = written(label, "ngram-labels")
     named = written(label.groupBy("component").agg(F.min("first").alias("first")), "ngram-names")
-    of_rep = label.select("rep", "component").join(named, "component").select("rep", "first")
-    out = survey.select("uid", "id", "n", "rep", "crc").join(of_rep, "rep")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("first.id").alias("component_id"), (F.col("uid") == F.col("first.uid")).alias("kept"), F.col("crc").alias("text_crc32"))
+    named_sets = label.select("gid", "n_links", "component").join(named, "component").select("gid", "n_links", "first")
+    verdict = written(of_rep.select("rep", "gid").join(named_sets, "gid").select("rep", "n_links", "first"), "ngram-verdict")
+    out = survey.select("uid", "id", "n", "rep", "crc").join(verdict, "rep")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("first.id").alias("component_id"), (F.col("uid") == F.col("first.uid")).alias("kept"), F.col("crc").alias("text_crc32"), "n_links")
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: (id, n_shingles, component_id, kept,
-    text_crc32); ``kept`` marks one row of each component, that of the
+    text_crc32, n_links); ``kept`` marks one row of each component, that of the
     smallest id, and the checksum of its text tells rows of an id apart.
 
     Words are runs of other than ASCII white space, A-Z lower-cased. Two
     documents link when 100 * common >= percent * union of their sets of
     distinct word n-grams (64-bit hashes); ``component_id`` is the smallest
-    id reachable by links. A text of fewer than n words has one shingle; a
+    id reachable by links; ``n_links`` counts other rows linked directly,
+    equal ones included. A text of fewer than n words has one shingle; a
     null text or one without words has none and links with nothing, so its
     component is its own id. A null id is larger than any other; repeated
     rows link like other copies. Other columns are ignored, an empty table

@@ -70,6 +70,32 @@ def test_families(spark, monkeypatch, block):
     check(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCUMENTS).repartition(3), rows)
 
 
+def link_counts(rows):
+    sets = [set(zip(*(w[k:] for k in range(5)), strict=False)) for w in ((t or "").lower().split() for _, t in rows)]
+    return [sum(a != b and 100 * len(x & y) >= 80 * len(x | y) for b, y in enumerate(sets)) for a, x in enumerate(sets)]
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_links_are_counted(spark, monkeypatch, block):
+    """A chain and a clique differ in links; copies count with their rows."""
+    monkeypatch.setattr(nj, "BLOCK_DOCS", block)
+    rows = family_rows()
+    rows = [(k, t) for k, (_, t) in enumerate(rows + rows[::9] + rows[::9])]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCUMENTS).repartition(3)
+    got = {r["doc_id"]: r["n_links"] for r in nj.ngram_jaccard_join(df).collect()}
+    want = link_counts(rows)
+    assert [got[k] for k in range(len(rows))] == want and len(set(want)) > 5
+
+
+def test_common_counts():
+    """By matrix products and by pairs, equal to set intersections."""
+    import numpy as np
+
+    r = np.random.default_rng(3)
+    left, right = ([np.unique(r.integers(0, 60, 30) if k % 2 else r.integers(0, 5000, 80)).astype(np.uint64) for k in range(n)] for n in (90, 70))
+    assert (nj.common_counts(left, right) == [[len(np.intersect1d(a, b)) for b in right] for a in left]).all()
+
+
 def test_components(spark):
     r = random.Random(1)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(220)] + [(5, 5), (None, 3)]
