@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,7 +71,7 @@ def _flow_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(key, pa.int64()), pa.array(kind, pa.int32()), pa.array(chunk, pa.int64()), *(pa.array(x, pa.binary()) for x in (a, b, c))], ["key", "kind", "chunk", "a", "b", "c"])
 
 
-def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], sums: list[int], bucket_bits: int) -> list[tuple]:
+def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], sums: list[bytes], bucket_bits: int) -> list[tuple]:
     """A chunk's postings by bucket, and its directory. Documents with the
     same set as an earlier one of the chunk point to it and post nothing.
     Tokens of FREQUENT or more documents of the chunk post one count; their
@@ -107,8 +106,8 @@ def _chunk_rows(chunk: int, ids: list, sets: list[np.ndarray], sums: list[int],
                 rows.append((int(bucket[lo]), kind, chunk, packed, other[lo:hi].tobytes(), None))
     else:
         hot_tokens, hot_doc = tokens, doc
-    directory = np.array([0 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids], np.uint8).tobytes()
-    rows.append((-1 - chunk, _DIRECTORY, chunk, directory, sizes.astype("<u4").tobytes() + rep.astype("<u4").tobytes() + np.array(sums, "<u4").tobytes(), hot_tokens.astype("<u8").tobytes() + hot_doc.tobytes()))
+    directory = np.array([0 if i is None else i for i in ids], "<i8").tobytes() + np.array([i is None for i in ids], np.uint8).tobytes() + b"".join(sums)
+    rows.append((-1 - chunk, _DIRECTORY, chunk, directory, sizes.astype("<u4").tobytes() + rep.astype("<u4").tobytes(), hot_tokens.astype("<u8").tobytes() + hot_doc.tobytes()))
     return rows
 
 
@@ -117,7 +116,7 @@ def _post(n: int, bucket_bits: int):
         chunk = TaskContext.get().partitionId() << 24
         ids: list = []
         sets: list[np.ndarray] = []
-        sums: list[int] = []
+        sums: list[bytes] = []
         held = 0
         for batch in batches:
             data, offsets = utf8(batch.column(1))
@@ -127,7 +126,7 @@ def _post(n: int, bucket_bits: int):
                 for k, one in enumerate(found, lo):
                     ids.append(all_ids[k])
                     sets.append(one)
-                    sums.append(zlib.crc32(data[offsets[k] : offsets[k + 1]]))
+                    sums.append(hashlib.sha256(data[offsets[k] : offsets[k + 1]]).digest())
                     held += len(one)
                     if held >= CHUNK_TOKENS or len(ids) >= CHUNK_DOCS:
                         yield _flow_batch(_chunk_rows(chunk, ids, sets, sums, bucket_bits))
@@ -199,7 +198,7 @@ def prefixes(tokens: np.ndarray, frequency: np.ndarray, length: int) -> list[np.
     return out
 
 
-_SURVEY = "uid long, id long, n long, rep long, crc long, shared binary, prefix array<long>, others binary, digest binary"
+_SURVEY = "uid long, id long, n long, rep long, sha256 binary, shared binary, prefix array<long>, others binary, digest binary"
 
 
 def _survey(percent: int):
@@ -210,10 +209,11 @@ def _survey(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (chunk,), rows in _by_key(batches, "chunk"):
             directory = next(r for r in rows if r["kind"] == _DIRECTORY)
-            n_docs = len(directory["a"]) // 9
+            n_docs = len(directory["a"]) // 41
             ids = np.frombuffer(directory["a"], "<i8", n_docs)
-            no_id = np.frombuffer(directory["a"], np.uint8, offset=8 * n_docs).astype(bool)
-            sizes, rep, sums = np.frombuffer(directory["b"], "<u4").astype(np.int64).reshape(3, n_docs)
+            no_id = np.frombuffer(directory["a"], np.uint8, n_docs, 8 * n_docs).astype(bool)
+            sums = directory["a"][9 * n_docs :]
+            sizes, rep = np.frombuffer(directory["b"], "<u4").astype(np.int64).reshape(2, n_docs)
             hot_n = len(directory["c"]) // 10
             hot_tokens = np.frombuffer(directory["c"], "<u8", hot_n)
             hot_doc = np.frombuffer(directory["c"], "<u2", offset=8 * hot_n)
@@ -243,11 +243,11 @@ def _survey(percent: int):
                 alive = rep[k] == k and sizes[k] and hi - lo >= need
                 kept = prefixes(token[lo:hi], often[lo:hi], int(hi - lo) - need + 1) if alive else None
                 digest = hashlib.blake2b(np.sort(token[lo:hi]).tobytes(), digest_size=16).digest() if alive and hi - lo == sizes[k] else None
-                row = (chunk << 16 | k, None if no_id[k] else int(ids[k]), int(sizes[k]), chunk << 16 | int(rep[k]), int(sums[k]), token[lo:hi].tobytes() if alive else None, kept[0].view(np.int64).tolist() if alive else None, b"".join(p.tobytes() for p in kept[1:]) if alive else None, digest)
+                row = (chunk << 16 | k, None if no_id[k] else int(ids[k]), int(sizes[k]), chunk << 16 | int(rep[k]), sums[32 * k : 32 * k + 32], token[lo:hi].tobytes() if alive else None, kept[0].view(np.int64).tolist() if alive else None, b"".join(p.tobytes() for p in kept[1:]) if alive else None, digest)
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
-            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["uid", "id", "n", "rep", "crc", "shared", "prefix", "others", "digest"])
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.binary(), pa.binary()]
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], ["uid", "id", "n", "rep", "sha256", "shared", "prefix", "others", "digest"])
 
     return run
 
@@ -391,14 +391,14 @@ def _join(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) ->
     named = written(label.groupBy("component").agg(F.min("first").alias("first")), "ngram-names")
     named_sets = label.select("gid", "n_links", "component").join(named, "component").select("gid", "n_links", "first")
     verdict = written(of_rep.select("rep", "gid").join(named_sets, "gid").select("rep", "n_links", "first"), "ngram-verdict")
-    out = survey.select("uid", "id", "n", "rep", "crc").join(verdict, "rep")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("first.id").alias("component_id"), (F.col("uid") == F.col("first.uid")).alias("kept"), F.col("crc").alias("text_crc32"), "n_links")
+    out = survey.select("uid", "id", "n", "rep", "sha256").join(verdict, "rep")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("first.id").alias("component_id"), (F.col("uid") == F.col("first.uid")).alias("kept"), F.lower(F.hex("sha256")).alias("text_sha256"), "n_links")
 
 
 def ngram_jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: (id, n_shingles, component_id, kept,
-    text_crc32, n_links); ``kept`` marks one row of each component, that of the
-    smallest id, and the checksum of its text tells rows of an id apart.
+    text_sha256, n_links); ``kept`` marks one row of each component, that of the
+    smallest id, and the digest of its text tells rows of an id apart.
 
     Words are runs of other than ASCII white space, A-Z lower-cased. Two
     documents link when 100 * common >= percent * union of their sets of

@@ -46,8 +46,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays."""
-    kept = ngram_jaccard_join(docs).filter("kept").select("doc_id", F.col("text_crc32").alias("text_key"))
-    return _rows_of(docs, F.crc32(F.coalesce("text", F.lit(""))), kept)
+    kept = ngram_jaccard_join(docs).filter("kept").select("doc_id", F.col("text_sha256").alias("text_key"))
+    return _rows_of(docs, F.sha2(F.coalesce("text", F.lit("")), 256), kept)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
+import hashlib
 import re
+import zlib
 
 import corpus_pipeline as cp
 import pytest
 from llm.test_ngram_join import brute_force as families
 
 from cohortgrid.llm.queries import oracle_sql, queries
-from llm.conftest import odd_rows
+from llm.conftest import DOCUMENTS, odd_rows
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -27,6 +29,18 @@ def test_near_stage_keeps_one_row_of_each_family(spark, odd):
     assert len({k for k in kept if k[0] is not None}) == len([k for k in kept if k[0] is not None])
 
 
+def test_near_stage_tells_texts_of_one_checksum_apart(spark):
+    seen, pair = {}, None
+    for k in range(400_000):
+        text = hashlib.md5(str(k).encode()).hexdigest()
+        if (other := seen.setdefault(zlib.crc32(text.encode()), text)) != text:
+            pair = (other, text)
+            break
+    for doc_id in (None, 7):
+        docs = spark.createDataFrame([(doc_id, t, "en", "a", 1) for t in pair], DOCUMENTS)
+        assert {r["text"] for r in cp.near_copies(spark, docs, SMALL).collect()} == set(pair)
+
+
 @pytest.mark.parametrize("name", [n for n, _ in cp.STAGES])
 def test_stages_on_empty_and_odd_tables(spark, odd, no_documents, name):
     stage = dict(cp.STAGES)[name]
