@@ -55,3 +55,10 @@ def labelled_sample(labels: DataFrame, label_col: str, max_rows: int, id_col: st
         rows = rows.filter(only(F.col("id")))
     rows = rows.groupBy("id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
     return rows.orderBy(F.xxhash64("id"), "id").limit(max_rows)
+
+
+def one_per_id(rows: DataFrame) -> DataFrame:
+    """Of the rows of each ``id`` the one with the least hash, so that a
+    sample bounded in ids is bounded in rows too."""
+    rest = [c for c in rows.columns if c != "id"]
+    return rows.groupBy("id").agg(F.min(F.struct(F.xxhash64(*rest).alias("order"), *rest)).alias("one")).select("id", *(f"one.{c}" for c in rest))

@@ -7,7 +7,7 @@ views' logits are then calibrated together on labelled rows that no view
 was trained on, and all documents are scored.
 
 Training reads a bounded sample (``max_labelled`` labelled rows and
-``max_pool`` unlabelled ones, by a hash of the id); scoring covers every
+``max_pool`` unlabelled ones, by a hash of the id, one row of each id); scoring covers every
 row in one pass without a shuffle.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortgrid.llm.arrays import row_slices, span_hashes, utf8, words
-from cohortgrid.llm.logistic import fit, labelled_sample, predict, sigmoid
+from cohortgrid.llm.logistic import fit, labelled_sample, one_per_id, predict, sigmoid
 
 META_BINS = 64
 
@@ -164,11 +164,11 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", meta_c
     labelled = labelled_sample(labels, label_col, max_labelled, id_col)
     ids = docs.select(F.col(id_col).cast("long").alias("id")).filter("id is not null")
     pool = ids.join(labels.select(F.col(id_col).cast("long").alias("id")), "id", "left_anti").distinct().orderBy(F.xxhash64("id"), "id").limit(max_pool)
-    # The sample's size is bounded by its two limits.
+    # The sample's ids are bounded by its two limits, its rows by one for each id.
     sample = labelled.unionByName(pool.select("id", F.lit(-1).alias("label")))
     rows = docs.select(*_inputs(docs, text_col, meta_cols), F.col(id_col).cast("long").alias("id")).join(F.broadcast(sample), "id")
     rows = rows.select("text_in", *(f"meta_{k}" for k in range(len(meta_cols))), "id", "label")
-    got = rows.mapInArrow(_feature_batches(len(meta_cols), None), "id long, label int, features array<double>").toArrow()
+    got = one_per_id(rows.mapInArrow(_feature_batches(len(meta_cols), None), "id long, label int, features array<double>")).toArrow()
     id_, label = (got.column(k).to_numpy().astype(np.int64) for k in (0, 1))
     n_text = len(TEXT_FEATURES)
     features = got.column(2).combine_chunks().flatten().to_numpy().reshape(len(id_), n_text + META_BINS) if len(id_) else np.zeros((0, n_text + META_BINS))

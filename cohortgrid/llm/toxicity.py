@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortgrid.llm.arrays import row_slices, utf8
-from cohortgrid.llm.logistic import fit, labelled_sample, predict, sigmoid
+from cohortgrid.llm.logistic import fit, labelled_sample, one_per_id, predict, sigmoid
 from cohortgrid.llm.ngram_join import shingle_sets
 from cohortgrid.llm.recent import Recent
 
@@ -224,10 +224,10 @@ class Model:
 
 def train(docs: DataFrame, labels: DataFrame, only, label_col: str = "toxic", max_labelled: int = 20_000, max_stems: int = 2_000, chance: float = 0.01, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from at most ``max_labelled`` labelled rows for whose id
-    ``only`` holds. Without labels the fixed words and prior weights hold."""
+    ``only`` holds, one row of each id. Without labels the fixed words and prior weights hold."""
     sample = labelled_sample(labels, label_col, max_labelled, id_col, only)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.join(F.broadcast(sample), "id")  # bounded by max_labelled
+    rows = one_per_id(rows.join(F.broadcast(sample), "id"))  # bounded by max_labelled
     stems = dict.fromkeys(INSULTS, 1.0) | learn_stems(rows, max_stems, chance)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

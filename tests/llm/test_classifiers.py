@@ -65,6 +65,17 @@ def test_quality_of_odd_rows(spark, odd, no_documents, tables):
         assert all(r["accepted"] for r in quality_classifier.score(odd, unlabelled).collect())
 
 
+def test_training_reads_one_row_of_each_id(spark, tables, monkeypatch):
+    docs, labels, _ = tables
+    many = spark.range(400).selectExpr("4L as doc_id", "concat('zorba ', id, ' text') as text", "'en' as lang", "'s' as source", "id as n_chars")
+    for module, name in ((quality_classifier, "co_train"), (toxicity, "fit")):
+        seen, real = [], getattr(module, name)
+        monkeypatch.setattr(module, name, lambda x, *a, seen=seen, real=real, **b: seen.append(len(x)) or real(x, *a, **b))
+        args = (lambda id_: F.lit(True),) if module is toxicity else ()
+        module.train(docs.union(many), labels, *args)
+        assert seen == [900]
+
+
 def test_grammar_marks_targets_negation_and_reports():
     lexicon = toxicity.Lexicon({"idiot": 1.0})
 
