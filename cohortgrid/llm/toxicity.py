@@ -133,7 +133,7 @@ class Lexicon:
         return max((self.stems[word[:k]] for k in range(1, len(word) + 1) if word[:k] in self.stems), default=0.0)
 
     def codes(self, piece: str) -> tuple:
-        """() for a plain word, else its marks, hits first."""
+        """() for a plain word, else its marks in the order of the text."""
         out = []
         for m in _WORD.finditer(piece):
             word = m.group().replace("’", "'")
@@ -155,7 +155,7 @@ class Lexicon:
         plain = ((OTHER, 0.0),)
         for row, pieces in enumerate(split):
             codes = [young[p] for p in pieces]
-            if any(c and c[0][0] in (INSULT, THREAT) for c in codes):
+            if any(m[0] in (INSULT, THREAT) for c in codes for m in c):
                 out[row] = clause_events([x for c in codes for x in (c or plain)])
         return out
 

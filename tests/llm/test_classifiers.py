@@ -94,6 +94,13 @@ def test_grammar_marks_targets_negation_and_reports():
     assert lexicon.features(["", "x"]).sum() == 0
 
 
+def test_grammar_reads_hits_inside_a_piece():
+    lexicon = toxicity.Lexicon({"idiot": 1.0, "stupid": 1.0})
+    for text, event in (("you-idiot", (1, 1, 0, 0)), ("not/stupid", (1, 0, 1, 0)), ('said:"kill', (2, 0, 0, 1))):
+        x = lexicon.features([text])[0]
+        assert {e for e, v in zip(toxicity.EVENTS, x, strict=False) if v > 0} == {event}
+
+
 def test_toxicity_on_held_out_rows(tables):
     docs, labels, truth = tables
     model = toxicity.train(docs, labels, lambda id_: id_ % 3 != 1)
