@@ -82,12 +82,13 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, codes: n
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the runs of non-space bytes, and for each row
-    the index of its first word (one entry more than rows)."""
+    the index of its first word (one entry more than rows). ``space`` marks
+    the bytes that separate words."""
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+    inside = ~space[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     heads = offsets[:-1][offsets[:-1] < len(data)]
@@ -99,3 +100,21 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     starts = np.flatnonzero(first)
     ends = np.flatnonzero(last) + 1
     return starts, ends, np.searchsorted(starts, offsets)
+
+
+def packed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """The byte spans (ascending, not empty, not overlapping) as an Arrow
+    array."""
+    edge = np.zeros(len(data) + 1, np.int8)
+    edge[starts] = 1
+    edge[ends] -= 1
+    inside = np.cumsum(edge[:-1], dtype=np.int8).view(bool)
+    offsets = np.zeros(len(starts) + 1, np.int64)
+    np.cumsum(ends - starts, out=offsets[1:])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))])
+
+
+def span_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, pa.LargeBinaryArray]:
+    """Equal spans get equal numbers; also the distinct spans by number."""
+    coded = packed(data, starts, ends).dictionary_encode()
+    return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
