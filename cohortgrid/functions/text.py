@@ -1,4 +1,4 @@
-"""Column functions over text: fenced JSON, verdict words, matching forms.
+"""Column functions over text: fenced JSON, verdict words, match forms.
 
 All return ``Column`` built from Spark built-ins, so they stay inside
 whole-stage codegen; none is a Python UDF.
@@ -56,14 +56,3 @@ def match_form(c: str | Column) -> Column:
     no_punct = F.regexp_replace(low, r"[^\p{L}\p{N}\s]", "")
     return F.trim(F.regexp_replace(no_punct, r"\s+", " "))
 
-
-# A sentence is a run of non-terminators with its terminators.
-SENTENCE_PATTERN = r"[^.!?]+[.!?]*"
-
-
-def sentences(c: str | Column) -> Column:
-    """Array of sentences of a text, each stripped of surrounding whitespace,
-    empty ones removed, in text order."""
-    parts = F.regexp_extract_all(_c(c), F.lit(SENTENCE_PATTERN), 0)
-    stripped = F.transform(parts, lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
-    return F.filter(stripped, lambda s: s != "")

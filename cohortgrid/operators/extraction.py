@@ -13,7 +13,9 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import match_form, normalize_verdict, sentences
+from ..functions.quotes import quote_span
+from ..functions.segments import SPAN_TYPE, sentence_spans, sentences
+from ..functions.text import contains_any, match_form, normalize_verdict
 from ..spec import DEFAULT_KEYWORDS, ENTRY_SCHEMA, NO_PASSAGE
 from .verdicts import parse_payload
 
@@ -44,22 +46,21 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def passage_spans(text: str | Column, keywords: Iterable[str] = DEFAULT_KEYWORDS) -> Column:
+    """L1: the sentences that mention a keyword, as (start, end, text) spans
+    of the note in order; a note without a keyword is not cut at all."""
+    words = [k.lower() for k in keywords]
+    hit = F.when(contains_any(text, words), sentence_spans(text, lambda s: contains_any(s, words)))
+    return F.coalesce(hit, F.when(_c(text).isNotNull(), F.array().cast(SPAN_TYPE)))
+
+
 def passage(text: str | Column, keywords: Iterable[str] = DEFAULT_KEYWORDS, none_text: str = NO_PASSAGE) -> Column:
     """L1: the sentences that mention a keyword, verbatim, in order, joined
     by one space; ``none_text`` when none does; null text stays null."""
-    kws = [k.lower() for k in keywords]
-
-    def hit(s: Column) -> Column:
-        low = F.lower(s)
-        out = low.contains(kws[0])
-        for k in kws[1:]:
-            out = out | low.contains(k)
-        return out
-
-    kept = F.filter(sentences(text), hit)
-    return F.when(_c(text).isNull(), F.lit(None).cast("string")).when(F.size(kept) == 0, F.lit(none_text)).otherwise(
-        F.array_join(kept, " ")
-    )
+    words = [k.lower() for k in keywords]
+    kept = F.when(contains_any(text, words), F.filter(sentences(text), lambda s: contains_any(s, words)))
+    joined = F.array_join(kept, " ")
+    return F.when(_c(text).isNull(), F.lit(None).cast("string")).when(F.coalesce(joined, F.lit("")) == "", F.lit(none_text)).otherwise(joined)
 
 
 def normalize_date(c: str | Column, formats: Iterable[str] = DATE_INPUT_FORMATS) -> Column:
@@ -101,6 +102,25 @@ def evidence_grounding(entries: DataFrame, notes: DataFrame, quote_col: str = "e
     return j.withColumn("grounded", grounded_quote(quote_col, "__form", text_is_form=True)).drop("__form")
 
 
+def evidence_spans(entries: DataFrame, notes: DataFrame, quote_col: str = "evidence_text") -> DataFrame:
+    """L3: every entry with ``grounded`` and where its quote stands in the
+    note: ``quote_start``, ``quote_end`` (code points, the end exclusive) and
+    ``quote_text``, the note's own words; null where it does not occur. Only
+    notes that an entry cites are read, and each is brought to match form
+    once."""
+    cited = notes.join(entries.select("note_id"), "note_id", "left_semi")
+    n = cited.select("note_id", F.col("note_text").alias("__text"), match_form("note_text").alias("__form"))
+    j = entries.join(n, "note_id", "left").withColumn("__span", quote_span(quote_col, "__text", "__form"))
+    return j.withColumns(
+        {
+            "grounded": F.col("__span").isNotNull(),
+            "quote_start": F.col("__span.start"),
+            "quote_end": F.col("__span.end"),
+            "quote_text": F.col("__span.text"),
+        }
+    ).drop("__text", "__form", "__span")
+
+
 def response_contract(replies: DataFrame, cols: Iterable[str] = ("extracted_llm", "val_llm")) -> DataFrame:
     """L2: per reply column: replies, unparsable replies, entries, and the
     entries breaking each rule (verdict, severity, M/D/YY date). One

@@ -152,7 +152,7 @@ V["v_notes"] = (
 )
 _P = fx.CLINICAL_PHRASES
 V["v_clinical"] = (
-    "select patient_id, note_id, concat_ws(' ', "
+    "select patient_id, note_id, concat_ws(chr(10), "
     f"{pick('cast(note_id as bigint) % ' + str(len(_P)), _P)}, note_text, "
     f"{pick('(cast(note_id as bigint) // ' + str(len(_P)) + ') % ' + str(len(_P)), _P)}) as note_text, "
     "contact_date, note_type_ip from v_notes"
@@ -669,7 +669,30 @@ D["resp"] = " union all ".join(
     f"select note_id, '{stage}' as stage, case when {rule} and doc % 7 > 0 then '[{{\"phenotype\": \"Diarrhea\", \"evidence_text\": \"' || note_id || '\"}}]' end as response from chunks"
     for stage, rule in (("extractor", "doc % 3 > 0"), ("validator", "doc % 4 = 0"), ("enrollment", "doc % 5 = 0"))
 )
-_drug = "list_filter(list_filter(list_transform(regexp_extract_all(note_text, '[^.!?]+[.!?]*'), lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> ''), lambda s: contains(lower(s), 'daybue') or contains(lower(s), 'trofinetide'))"
+
+
+def sentence_list(x: str) -> str:
+    """The tiles of a text by marking and splitting: full stops that end no
+    sentence are set aside, marks are put behind what ends one."""
+    letter = "(^|[^\\p{L}])"
+    out = x
+    for _ in range(2):
+        out = f"regexp_replace({out}, '{letter}(Dr|Mr|Mrs|Ms|Prof|St|vs|e\\.g|i\\.e|approx|Pt|[A-Z])\\.', '\\1\\2' || chr(2), 'g')"
+    out = f"regexp_replace({out}, '(^|\\n)([ \\t\\r\\f]{{0,8}}\\d{{1,3}})\\.', '\\1\\2' || chr(2), 'g')"
+    short = "a\\.m|p\\.m|etc|No|b\\.i\\.d|t\\.i\\.d|q\\.d|mg|mL|wk|wks|mo|mos|yr|yrs|Jan|Feb|Mar|Apr|Jun|Jul|Aug|Sep|Sept|Oct|Nov|Dec"
+    for _ in range(2):
+        out = f"regexp_replace({out}, '{letter}({short})\\.([ \\t\\n\\r\\f]+[\\p{{Ll}}\\d])', '\\1\\2' || chr(2) || '\\3', 'g')"
+    out = f"""regexp_replace({out}, '([.!?]+["'')\\]]*)([ \\t\\n\\r\\f])', '\\1' || chr(1) || '\\2', 'g')"""
+    out = f"regexp_replace({out}, '\\n([ \\t\\r\\f]*\\n)', chr(1) || chr(10) || '\\1', 'g')"
+    out = f"regexp_replace({out}, '\\n([ \\t\\n\\r\\f]*)([^\\p{{Ll}}\\d \\t\\n\\r\\f]|\\d{{1,3}}[.)\\x02][ \\t\\n\\r\\f])', chr(1) || chr(10) || '\\1\\2', 'g')"
+    return f"list_transform(string_split({out}, chr(1)), lambda s: replace(s, chr(2), '.'))"
+
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[ \\t\\n\\r\\f]+|[ \\t\\n\\r\\f]+$', '', 'g')"
+
+
+_drug = f"list_filter(list_transform({sentence_list('note_text')}, lambda s: {_strip('s')}), lambda s: contains(lower(s), 'daybue') or contains(lower(s), 'trofinetide'))"
 D["asked"] = (
     f"select note_id, 'extractor' as stage, case when len({_drug}) = 0 then 'No Daybue-related information found' else array_to_string({_drug}, ' ') end as body from chunks "
     "union all select c.note_id, 'validator', 'ORIGINAL_NOTE:' || chr(10) || note_text || chr(10) || chr(10) || 'EXTRACTION:' || chr(10) || response "
@@ -694,12 +717,76 @@ SQL["annotation_agreement"] = _with(
 )
 
 # L rules over clinical notes ------------------------------------------------
-SENT = "list_filter(list_transform(regexp_extract_all(note_text, '[^.!?]+[.!?]*'), lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> '')"
+# What each sentence of the fixture notes says, read and written down by hand:
+# phrase, its sentences, and for each what is so of it. A date is of the start
+# or the end; ``mention`` is a stated one of the patient, with the word for its
+# kind and its date.
+SAID = (
+    (0, "Started Daybue on 2/15/24 and tolerating it well.", dict(drug=1, start=1, start_date="2/15/24")),
+    (1, "Mother reports loose stool in diaper since starting trofinetide.", dict(drug=1, start=1, mention=1, severity=1, relative="since starting trofinetide")),
+    (2, "Watery stool in diaper for the past 3 months, much better this week.", dict(mention=1, kind="prolonged", severity=2, intensity="high", relative="for the past 3 months")),
+    (3, "Daybue was stopped due to diarrhea on February 15, 2024.", dict(drug=1, stop=1, stop_date="2/15/24", mention=1, mention_date="2/15/24")),
+    (4, "Will start Daybue next month; prior authorization submitted.", dict(drug=1, planned=1)),
+    (5, "Insurance denied trofinetide.", dict(drug=1, denied=1)),
+    (6, "Chronic diarrhea with watery stool on clothes, workup for malabsorption.", dict(mention=1, kind="chronic", severity=3)),
+    (7, "Patient passed away in Feb 2024.", dict(gone=1)),
+    (8, "Had one episode of diarrhea after eating, resolved same day.", dict()),
+    (9, "Call if you develop diarrhea.", dict()),
+    (10, "Slight improvement in hand use on trofinetide, seen 12/5/2023.", dict(drug=1, start=1, intensity="low")),
+    (11, "Recurrent diarrhea with watery stool outside clothes, dramatically worse.", dict(mention=1, kind="recurrent", severity=4, intensity="high")),
+    (12, "Patient has not started Daybue.", dict(drug=1, planned=1)),
+    (13, "Family decided to hold off on Daybue.", dict(drug=1, planned=1)),
+    (14, "Started Daybue 0.5 mL on 2/15/24.", dict(drug=1, start=1, start_date="2/15/24")),
+    (15, "Dose of Daybue is 3.5 mg.", dict(drug=1)),
+    (15, "Seen by Dr. Smith on 2.15.24 for daybue.", dict(drug=1)),
+    (16, "Her cousin started Daybue in Mar 2023.", dict(drug=1)),
+    (17, "Patient started Daybue on 3/1/24 but discontinued it in June 2024.", dict(drug=1, start=1, start_date="3/1/24", stop=1, stop_date="6/1/24")),
+    (18, "Insurance denied Daybue at first.", dict(drug=1, denied=1)),
+    (18, "She has been taking trofinetide since 5/6/24.", dict(drug=1, start=1, start_date="5/6/24")),
+    (19, "Denies diarrhea.", dict()),
+    (19, "No loose stool since starting trofinetide.", dict(drug=1, start=1, relative="since starting trofinetide")),
+    (20, "Sister had chronic diarrhea.", dict()),
+    (21, "1. Continue Daybue 20 mL b.i.d. as tolerated.", dict(drug=1, start=1)),
+    (21, "2. Call if watery stool on clothes recurs.", dict(severity=3)),
+    (22, "Diarrhea today, watery stool in diaper at 5 p.m. after lunch.", dict(mention=1, severity=2)),
+    (23, "Persistent loose stool in diaper for several weeks despite loperamide.", dict(mention=1, kind="persistent", severity=1, relative="for several weeks")),
+)
+_FLAGS = ("drug", "start", "stop", "denied", "planned", "gone", "mention", "severity")
+_TEXTS = ("start_date", "stop_date", "kind", "mention_date", "intensity", "relative")
+D["said"] = (
+    "select * from (values "
+    + ", ".join(
+        f"({p}, {i}, {q(text)}, {', '.join(str(so.get(f, 0)) for f in _FLAGS)}, {', '.join(q(so[t]) if t in so else 'null::varchar' for t in _TEXTS)})"
+        for i, (p, text, so) in enumerate(SAID)
+    )
+    + f") as t(p, i, said, {', '.join(_FLAGS)}, {', '.join(_TEXTS)})"
+)
+_N = len(fx.CLINICAL_PHRASES)
+# The phrase before the document (part 0) and the one behind it (part 1), and where it begins.
+D["ends"] = (
+    f"select v.patient_id, v.note_id, v.contact_date, v.note_text, part, cast(case part when 0 then cast(v.note_id as bigint) else cast(v.note_id as bigint) // {_N} end % {_N} as integer) as p, "
+    "case part when 0 then 0 else length(v.note_text) end as edge from v_clinical v cross join (values (0), (1)) as t(part)"
+)
+D["note_said"] = (
+    "select e.patient_id, e.note_id, e.contact_date, e.part * 1000 + s.i as ord, s.*, "
+    f"case e.part when 0 then 0 else e.edge - length({pick('e.p', fx.CLINICAL_PHRASES)}) end + instr({pick('e.p', fx.CLINICAL_PHRASES)}, s.said) - 1 as s_start "
+    "from ends e join said s on e.p = s.p"
+)
 SQL["passage_extract"] = _with(
-    ["v_clinical"],
-    "select note_id, case when note_text is null then null when len(k) = 0 then 'No Daybue-related information found' "
-    "else array_to_string(k, ' ') end as passage from (select note_id, note_text, "
-    f"list_filter({SENT}, lambda s: contains(lower(s), 'daybue') or contains(lower(s), 'trofinetide')) as k from v_clinical)",
+    ["note_said"],
+    "select v.note_id, coalesce(p, 'No Daybue-related information found') as passage from v_clinical v left join "
+    "(select note_id, string_agg(said, ' ' order by ord) as p from note_said where drug = 1 group by note_id) d on v.note_id = d.note_id",
+)
+SQL["passage_spans"] = _with(
+    ["note_said"], 'select note_id, s_start as "start", s_start + length(said) as "end", said as passage from note_said where drug = 1'
+)
+D["tiles"] = f"select note_id, {sentence_list('note_text')} as ts from v_clinical"
+SQL["sentence_spans"] = _with(
+    ["tiles"],
+    'select note_id, cast(s as integer) as "start", cast(s + length(t) as integer) as "end", t as sentence from ('
+    f"select note_id, o + length(raw) - length(regexp_replace(raw, '^[ \\t\\n\\r\\f]+', '')) as s, {_strip('raw')} as t from ("
+    "select note_id, raw, sum(length(raw)) over (partition by note_id order by k) - length(raw) as o from ("
+    "select note_id, unnest(ts) as raw, unnest(range(len(ts))) as k from tiles))) where regexp_matches(t, '[\\p{L}\\p{N}]')",
 )
 _n = len(fx.CLINICAL_PHRASES)
 SQL["evidence_grounding"] = _with(
@@ -711,66 +798,89 @@ SQL["evidence_grounding"] = _with(
     f"else {pick('(cast(note_id as bigint) + 5) % ' + str(_n), fx.CLINICAL_PHRASES)} end as evidence_text from v_clinical)",
 )
 
+# Quotes against notes sign by sign: what both forms keep, and where it stands.
+D["quoted"] = (
+    "select note_id, note_text, case when cast(note_id as bigint) % 2 = 0 then "
+    f"upper(regexp_replace({pick('cast(note_id as bigint) % ' + str(_n), fx.CLINICAL_PHRASES)}, '[.,;]', '', 'g')) "
+    f"else {pick('(cast(note_id as bigint) + 5) % ' + str(_n), fx.CLINICAL_PHRASES)} end as evidence_text from v_clinical"
+)
+D["signs"] = "select note_id, unnest(string_split(note_text, '')) as c, unnest(range(length(note_text))) as i from v_clinical"
+D["held"] = (
+    "select note_id, i, case when regexp_matches(c, '\\s') then ' ' else lower(c) end as c from signs where regexp_matches(c, '[\\p{L}\\p{N}\\s]')"
+)
+D["folded"] = (
+    "select note_id, string_agg(c, '' order by i) as form, list(i order by i) as idx from ("
+    "select *, lag(c) over (partition by note_id order by i) as before from held) where c <> ' ' or (before is not null and before <> ' ') group by note_id"
+)
+D["found"] = f"select q.note_id, note_text, evidence_text, {_mf('evidence_text')} as form_q, instr(form, {_mf('evidence_text')}) as pos, idx from quoted q join folded f on q.note_id = f.note_id"
+SQL["evidence_spans"] = _with(
+    ["found"],
+    "select note_id, evidence_text, pos > 0 as grounded, quote_start, quote_end, note_text[quote_start + 1 : quote_end] as quote_text from ("
+    "select *, cast(case when pos > 0 then idx[pos] end as integer) as quote_start, cast(case when pos > 0 then idx[pos + length(form_q) - 1] + 1 end as integer) as quote_end from found)",
+)
 
-def _rules(x: str, rules, default: str) -> str:
-    return "case " + " ".join(f"when regexp_matches({x}, {q(p)}) then {q(lab)}" for lab, p in rules) + f" else {q(default)} end"
 
 
 def _rule_sql():
     from ..operators import extraction as ex
-    from ..operators import rules as ru
 
-    # Stated again here by hand, sentence by sentence.
-    sents = "list_filter(list_transform(regexp_extract_all(note_text, '[^.!?]+[.!?]*'), lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> '')"
-    D["sents"] = f"select *, coalesce({sents}, []::varchar[]) as ss from v_clinical"
-
-    def has(source: str, *patterns: str) -> str:
-        test = " and ".join(f"regexp_matches(s, {q('(?i)' + p)})" for p in patterns)
-        return f"len(list_filter({source}, lambda s: {test})) > 0"
+    def best(column: str, order: str) -> str:
+        return f"(select {column} from note_said s where s.note_id = v.note_id and {column} is not null order by {order} limit 1)"
 
     SQL["severity_rules"] = _with(
-        ["sents"],
-        f"select note_id, case when {has('ss', 'watery.*outside (of )?(the )?clothes')} then '4' when {has('ss', 'watery.*on (the )?clothes')} then '3' "
-        f"when {has('ss', 'watery.*diaper')} then '2' when {has('ss', 'loose.*diaper')} then '1' else 'N/A' end as severity_level from sents",
+        ["note_said"],
+        "select v.note_id, case when l > 0 then cast(l as varchar) else 'N/A' end as severity_level from v_clinical v "
+        "join (select note_id, max(severity) as l from note_said group by note_id) s on v.note_id = s.note_id",
+    )
+    SQL["intensity_rules"] = _with(
+        ["note_said"],
+        "select v.note_id, case l when 3 then 'high' when 2 then 'moderate' when 1 then 'low' else 'N/A' end as intensity from v_clinical v "
+        "join (select note_id, max(case intensity when 'high' then 3 when 'moderate' then 2 when 'low' then 1 else 0 end) as l from note_said group by note_id) s on v.note_id = s.note_id",
     )
-    SQL["intensity_rules"] = _with(["v_clinical"], f"select note_id, {_rules('note_text', ru.INTENSITY_RULES, 'N/A')} as intensity from v_clinical")
-    D["drug"] = "select *, list_filter(ss, lambda s: contains(lower(s), 'daybue') or contains(lower(s), 'trofinetide')) as ds from sents"
-    plan = "\\bwill start\\b|\\bplan(s|ned|ning)? (to start|on starting)\\b|\\bdiscussed\\b|prior auth"
-    pick_one = lambda source, p, but="": f"list_filter({source}, lambda s: regexp_matches(s, {q('(?i)(' + p + ')')}){but})[1]"
+    first = lambda what, flag: f"arg_min({what}, ord) filter ({flag})"
     D["rec"] = (
-        f"select *, {pick_one('ss', 'passed away|\\bdied\\b|terminally ill|prolonged hospitalization|palliative care')} as gone, "
-        f"{pick_one('ds', '\\b(started|starting|on|taking|tolerating)\\b|dose increased|titrat', f' and not regexp_matches(s, {q("(?i)(" + plan + ")")})')} as st, "
-        f"{pick_one('ds', 'discontinued|\\bstopped\\b|no longer on')} as en, {pick_one('ds', '\\bdenied\\b|\\brejected\\b')} as de, {pick_one('ds', plan)} as pl_ from drug"
+        f"select patient_id, note_id, {first('said', 'gone = 1')} as gone, {first('said', 'start = 1')} as st, {first('said', 'stop = 1')} as en, {first('said', 'denied = 1')} as de, "
+        f"{first('said', 'planned = 1')} as pl_, {first('said', 'drug = 1')} as dr, {first('start_date', 'start_date is not null')} as confirmed_start_date, "
+        f"{first('stop_date', 'stop_date is not null')} as confirmed_end_date from note_said group by patient_id, note_id"
     )
-    day = lambda c: _normdate(f"nullif(regexp_extract({c}, {q(ex.DATE_MENTION_PATTERN)}, 0), '')")
-    SQL["status_rules"] = _with(
-        ["rec"],
-        "select note_id, enrollment_status, confirmed_start, confirmed_start_date, confirmed_end, confirmed_end_date, "
-        "case when gone is not null or confirmed_start_date is not null or confirmed_end_date is not null then 'high' "
-        "when confirmed_start or confirmed_end then 'medium' else 'low' end as confidence, evidence_text from ("
-        "select note_id, gone, case when gone is not null then 'deceased_or_ineligible' when st is not null then 'confirmed_start' when en is not null then 'confirmed_end' "
-        "when de is not null then 'denied' when pl_ is not null then 'planned_only' when len(ds) > 0 then 'ambiguous' else 'no_mention' end as enrollment_status, "
-        f"st is not null as confirmed_start, {day('st')} as confirmed_start_date, en is not null as confirmed_end, {day('en')} as confirmed_end_date, "
-        "coalesce(gone, st, en, de, pl_, ds[1]) as evidence_text from rec)",
+    D["record"] = (
+        "select patient_id, note_id, case when gone is not null then 'deceased_or_ineligible' when st is not null then 'confirmed_start' when en is not null then 'confirmed_end' "
+        "when de is not null then 'denied' when pl_ is not null then 'planned_only' when dr is not null then 'ambiguous' else 'no_mention' end as enrollment_status, "
+        "st is not null as confirmed_start, confirmed_start_date, en is not null as confirmed_end, confirmed_end_date, "
+        "case when gone is not null or confirmed_start_date is not null or confirmed_end_date is not null then 'high' when st is not null or en is not null then 'medium' else 'low' end as confidence, "
+        "coalesce(gone, st, en, de, pl_, dr) as evidence_text from rec"
     )
-    D["ment"] = (
-        "select *, list_filter(ss, lambda s: regexp_matches(s, '(?i)(diarrh|loose stool|watery stool)') and not "
-        "regexp_matches(s, '(?i)(one episode|single episode|resolved same day|if you develop)')) as ms from sents"
+    SQL["status_rules"] = _with(
+        ["record"], "select note_id, enrollment_status, confirmed_start, confirmed_start_date, confirmed_end, confirmed_end_date, confidence, evidence_text from record"
     )
-    chronic = (
-        "chronic|persistent|ongoing|recurrent|continued|long-standing|longstanding|for several (days|weeks|months)"
-        "|for the (past|last) \\d+ (weeks?|months?|years?)|problem list|malabsorption|\\bibd\\b|celiac|workup"
+    SQL["enrollment_from_notes"] = _with(
+        ["record"],
+        "select *, any_confirmed_start and not any_ineligible as enrolled from (select patient_id as mrn, bool_or(confirmed_start) as any_confirmed_start, "
+        "bool_or(enrollment_status = 'deceased_or_ineligible') as any_ineligible, "
+        f"cast(min(case when confirmed_start then {mdyy('confirmed_start_date')} end) as varchar) as enrollment_start_date, "
+        f"cast(max(case when confirmed_end then {mdyy('confirmed_end_date')} end) as varchar) as enrollment_end_date from record group by patient_id)",
     )
     SQL["chronicity_rules"] = _with(
-        ["ment"],
+        ["note_said"],
         "select patient_id, mention_notes, mention_dates, chronic_notes, chronic_notes > 0 or mention_dates >= 2 as qualifies from ("
-        "select patient_id, count(*) filter (len(ms) > 0) as mention_notes, count(distinct case when len(ms) > 0 then contact_date end) as mention_dates, "
-        f"count(*) filter ({has('ms', chronic)}) as chronic_notes from ment group by patient_id)",
+        "select v.patient_id, count(distinct case when mention = 1 then v.note_id end) as mention_notes, count(distinct case when mention = 1 then v.contact_date end) as mention_dates, "
+        "count(distinct case when kind is not null then v.note_id end) as chronic_notes from v_clinical v join note_said s on v.note_id = s.note_id group by v.patient_id)",
     )
-    SQL["relative_time"] = _with(
-        ["v_clinical"],
-        f"select note_id, nullif(regexp_extract(note_text, {q(ex.RELATIVE_TIME_PATTERN)}, 0), '') as time_description from v_clinical",
+    D["mdates"] = f"select *, coalesce({mdyy('mention_date')}, contact_date) as d from note_said where mention = 1"
+    # Episodes without windows over gaps: a date opens one if no other mention stands in the 30 days before it.
+    D["mdays"] = "select distinct patient_id, d from mdates"
+    D["opens"] = "select a.patient_id, a.d from mdays a where not exists (select 1 from mdays b where b.patient_id = a.patient_id and b.d < a.d and a.d - b.d <= 30)"
+    D["inep"] = "select m.patient_id, m.d, (select count(*) from opens o where o.patient_id = m.patient_id and o.d <= m.d) as episode from mdays m"
+    SQL["chronic_entries"] = _with(
+        ["mdates", "inep"],
+        'select m.patient_id, m.note_id, cast(s_start as integer) as "start", cast(s_start + length(said) as integer) as "end", said as evidence_text, mention_date as time, '
+        "case when mention_date is null then relative end as time_description, case when severity > 0 then cast(severity as varchar) else 'N/A' end as severity_level, "
+        "cast(e.episode as integer) as episode, (select count(*) from inep x where x.patient_id = m.patient_id and x.episode = e.episode) as episode_dates, "
+        "coalesce(kind, case when (select max(episode) from inep x where x.patient_id = m.patient_id) > 1 then 'recurrent' "
+        "when (select count(*) from inep x where x.patient_id = m.patient_id) > 1 then 'persistent' end) as chronicity_indicator "
+        "from mdates m join inep e on m.patient_id = e.patient_id and m.d = e.d",
     )
+    SQL["relative_time"] = _with(["note_said"], f"select note_id, {best('relative', 'ord')} as time_description from v_clinical v")
     SQL["date_grounding"] = _with(
         ["v_clinical"],
         f"select note_id, time, case when list_contains(list_filter(list_transform(regexp_extract_all(note_text, {q(ex.DATE_MENTION_PATTERN)}), "

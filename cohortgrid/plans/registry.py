@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.segments import sentence_spans
 from ..functions.status import format_status
 from ..functions.text import clean_llm_json, contains_any
 from ..operators import coverage as cov
@@ -408,6 +409,16 @@ def q_passage_extract(i, t):
     return c.select("note_id", ex.passage("note_text").alias("passage"))
 
 
+def q_passage_spans(i, t):
+    c = fx.clinical_notes(t).select("note_id", F.inline(ex.passage_spans("note_text")))
+    return c.withColumnRenamed("text", "passage")
+
+
+def q_sentence_spans(i, t):
+    c = fx.clinical_notes(t).select("note_id", F.inline(sentence_spans("note_text")))
+    return c.withColumnRenamed("text", "sentence")
+
+
 def q_response_contract(i):
     return ex.response_contract(i.llm_outputs)
 
@@ -427,6 +438,10 @@ def q_evidence_grounding(i, t):
     return ex.evidence_grounding(_quotes(t), fx.clinical_notes(t))
 
 
+def q_evidence_spans(i, t):
+    return ex.evidence_spans(_quotes(t), fx.clinical_notes(t))
+
+
 def _entries(i):
     """The entries of both replies; a reply that is missing or can't be
     parsed has none."""
@@ -486,6 +501,14 @@ def q_chronicity_rules(i, t):
     return ru.chronicity(fx.clinical_notes(t))
 
 
+def q_enrollment_from_notes(i, t):
+    return ru.enrollment_from_notes(fx.clinical_notes(t))
+
+
+def q_chronic_entries(i, t):
+    return ru.chronic_entries(fx.clinical_notes(t))
+
+
 def q_relative_time(i, t):
     c = fx.clinical_notes(t)
     return c.select("note_id", ex.relative_time("note_text").alias("time_description"))
@@ -512,6 +535,11 @@ def q_annotation_agreement(i):
 
 _WITH_TABLES = {
     "passage_extract": q_passage_extract,
+    "passage_spans": q_passage_spans,
+    "sentence_spans": q_sentence_spans,
+    "evidence_spans": q_evidence_spans,
+    "enrollment_from_notes": q_enrollment_from_notes,
+    "chronic_entries": q_chronic_entries,
     "evidence_grounding": q_evidence_grounding,
     "severity_rules": q_severity_rules,
     "intensity_rules": q_intensity_rules,

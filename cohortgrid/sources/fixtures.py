@@ -38,6 +38,18 @@ CLINICAL_PHRASES = (
     "Call if you develop diarrhea.",
     "Slight improvement in hand use on trofinetide, seen 12/5/2023.",
     "Recurrent diarrhea with watery stool outside clothes, dramatically worse.",
+    "Patient has not started Daybue.",
+    "Family decided to hold off on Daybue.",
+    "Started Daybue 0.5 mL on 2/15/24.",
+    "Dose of Daybue is 3.5 mg. Seen by Dr. Smith on 2.15.24 for daybue.",
+    "Her cousin started Daybue in Mar 2023.",
+    "Patient started Daybue on 3/1/24 but discontinued it in June 2024.",
+    "Insurance denied Daybue at first. She has been taking trofinetide since 5/6/24.",
+    "Denies diarrhea. No loose stool since starting trofinetide.",
+    "Sister had chronic diarrhea.",
+    "1. Continue Daybue 20 mL b.i.d. as tolerated.\n2. Call if watery stool on clothes recurs.",
+    "Diarrhea today, watery stool in diaper at 5 p.m. after lunch.",
+    "Persistent loose stool in diaper for several weeks despite loperamide.",
 )
 
 
@@ -87,14 +99,15 @@ def notes(t: Tables) -> DataFrame:
 
 
 def clinical_notes(t: Tables) -> DataFrame:
-    """Notes with two clinical sentences around the full document text."""
+    """Notes with clinical sentences around the full document text, each on
+    lines of their own."""
     n = notes(t)
     doc = F.col("note_id").cast("long")
     return n.select(
         "patient_id",
         "note_id",
         F.concat_ws(
-            " ",
+            "\n",
             _pick(doc % len(CLINICAL_PHRASES), CLINICAL_PHRASES),
             F.col("note_text"),
             _pick(F.floor(doc / len(CLINICAL_PHRASES)) % len(CLINICAL_PHRASES), CLINICAL_PHRASES),
