@@ -4,11 +4,12 @@ A stripe is a prefix with an associative counter of the words that follow
 it. Tasks build the stripes of their own texts and merge them before the
 shuffle; after it, stripes of one prefix are merged elementwise. One
 structure then gives the extensions (a counter's entries are the counts of
-the prefix and its next word), the prefix totals (an entry without a next
-word) and the subsumption maxima (the greatest entry of a phrase's own
-stripe, and of the stripes whose extension ends in it).
+the prefix and its next word; those of the empty prefix are the words), the
+prefix totals (the entry without a next word, and the counter above) and
+the subsumption maxima (the greatest entry of a phrase's own stripe, and of
+the stripes whose extension ends in it).
 
-Prefixes grow from one word to three in as many passes. A phrase can occur
+Prefixes grow from none to three words in as many passes. A phrase can occur
 ``least`` times only if both phrases that it consists of but for its last
 and its first word do, so each pass leaves out what a Bloom filter of the
 phrases found before says is rarer. The filter has a bounded size; where it
@@ -36,16 +37,21 @@ GAP = BREAK.copy()
 GAP[list(b" \t")] = True
 
 MAX_WORDS = 4
-#: A prefix's stripe is dealt out over this many parts, by next word.
-PARTS = {1: 64, 2: 16, 3: 4}
+#: A hot prefix's stripe is dealt out over this many parts, by next word.
+PARTS = 256
+#: A prefix is hot with more than this share of all words; there are at most
+#: this many of them.
+HOT_PREFIXES = 1000
 #: Bytes of text whose stripes are merged in a task.
 SLICE = 8 << 20
-#: Bits of the largest filter (16 MB), and bits per phrase before that.
-MAX_FILTER_BITS, BITS_PER_PHRASE = 1 << 27, 16
+#: Bits of the largest filter (16 MB), and bits per phrase before that. Tasks
+#: hand it on in blocks.
+MAX_FILTER_BITS, BITS_PER_PHRASE, BLOCKS = 1 << 27, 16, 64
 SALTS = 32
 RANK_SALTS = 64
 
-_STRIPE = "lang string, prefix string, part int, nexts array<string>, counts array<long>"
+# Next words and their counts, each joined by spaces.
+_STRIPE = "lang string, prefix string, part int, nexts string, counts string"
 
 
 class Slice:
@@ -99,53 +105,73 @@ def _all_set(cells: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+def phrase_hashes(lang: pa.Array, phrase: pa.Array, n_words: int) -> np.ndarray:
+    """The hashes of phrases of ``n_words`` words."""
+    parts = pc.split_pattern(phrase.cast(pa.large_string()), " ").flatten()
+    lang, spelled = _string_hashes(lang), _string_hashes(parts).reshape(-1, n_words)
+    return phrase_hash([phrase_hash([lang, spelled[:, k]]) for k in range(n_words)])
+
+
 def phrase_filter(phrases: DataFrame, n_words: int) -> np.ndarray:
     """A Bloom filter, as 64-bit cells, of (lang, phrase) rows whose phrases
     have ``n_words`` words; at most ``MAX_FILTER_BITS`` reach the driver."""
     n = phrases.count()
     n_bits = 1 << max(12, min(MAX_FILTER_BITS, BITS_PER_PHRASE * max(n, 1)).bit_length() - 1)
+    schema = "block int, cells binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def blocks(cells: np.ndarray, of: list[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.array([c.tobytes() for c in cells], pa.binary())], names=["block", "cells"])
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(n_bits // 64, np.uint64)
         for batch in batches:
-            if not len(batch):
-                continue
-            parts = pc.split_pattern(batch.column(1).cast(pa.large_string()), " ").flatten()
-            lang = _string_hashes(batch.column(0))
-            spelled = _string_hashes(parts).reshape(-1, n_words)
-            at = _bits(phrase_hash([phrase_hash([lang, spelled[:, k]]) for k in range(n_words)]), n_bits).ravel()
-            at = np.unique(at)
+            at = np.unique(_bits(phrase_hashes(batch.column(0), batch.column(1), n_words), n_bits))
             cell, first = np.unique(at >> np.uint64(6), return_index=True)
-            bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
-            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), pa.array(bits.view(np.int64))], names=["cell", "bits"])
-
-    rows = phrases.select("lang", "phrase").mapInArrow(run, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
-    cells = np.zeros(n_bits // 64, np.uint64)
-    cells[rows.column("cell").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return cells
-
-
-def _first_stripes(s: Slice) -> pa.RecordBatch:
-    """Stripes of single words with the words' totals, and for each lang the
-    empty prefix with the number of its words."""
-    a, b, n = s.number[:-1][s.joined], s.number[1:][s.joined], max(len(s.word), 1)
-    pairs, counts = np.unique(a * n + b, return_counts=True)
-    totals = np.bincount(s.number, minlength=len(s.word))
-    per_lang = np.bincount(s.lang_of[s.number], minlength=len(s.lang)) if len(s.number) else np.zeros(len(s.lang), np.int64)
-    known = np.arange(len(s.word))
-    # Prefix numbers: words, then one for the empty prefix of each lang.
-    prefix = np.concatenate([pairs // n, known, len(s.word) + np.arange(len(s.lang))])
-    follow = np.concatenate([pairs % n, np.full(len(known) + len(s.lang), -1)])
-    spelled = pa.concat_arrays([s.word, pa.array([""] * len(s.lang), pa.large_string())])
-    lang_of = np.concatenate([s.lang_of, np.arange(len(s.lang))])
-    return _stripe_rows(s, prefix, follow, np.concatenate([counts, totals, per_lang]), spelled, lang_of, PARTS[1])
-
-
-def _longer_stripes(s: Slice, cells: np.ndarray, width: int) -> pa.RecordBatch:
+            if len(at):
+                cells[cell] |= np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
+        yield blocks(cells.reshape(BLOCKS, -1), list(range(BLOCKS)))
+
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, cells in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own_cells = np.frombuffer(cells.as_buffer(), np.uint64)
+                found[block] = found[block] | own_cells if block in found else own_cells
+        yield blocks(np.array(list(found.values())), list(found))
+
+    merged_blocks = phrases.select("lang", "phrase").mapInArrow(own, schema).repartition(BLOCKS, "block").mapInArrow(both, schema).toArrow()
+    cells = np.zeros((BLOCKS, n_bits // 64 // BLOCKS), np.uint64)
+    for block, held in zip(merged_blocks.column("block").to_pylist(), merged_blocks.column("cells").to_pylist(), strict=True):
+        cells[block] = np.frombuffer(held, np.uint64)
+    return cells.ravel()
+
+
+def hot_prefixes(phrases: DataFrame, n_words: int, total: int) -> np.ndarray:
+    """Hashes of the prefixes (lang, phrase, f) with more than their share of
+    ``total`` words; by their counts they are at most ``HOT_PREFIXES`` (and
+    langs)."""
+    rows = phrases.filter(F.col("f").cast("decimal(38, 0)") * HOT_PREFIXES > total).select("lang", "phrase").toArrow()
+    return phrase_hashes(rows.column("lang").combine_chunks(), rows.column("phrase").combine_chunks(), n_words) if len(rows) else np.zeros(0, np.uint64)
+
+
+def _word_stripes(s: Slice) -> pa.RecordBatch:
+    """The empty prefix's stripe for each lang, dealt out, with its total as
+    the entry of the empty next word."""
+    counts = np.bincount(s.number, minlength=len(s.word))
+    totals = np.bincount(s.lang_of[s.number], minlength=len(s.lang)) if len(s.number) else np.zeros(len(s.lang), np.int64)
+    langs = np.arange(len(s.lang))
+    prefix = np.concatenate([s.lang_of, langs])
+    follow = np.concatenate([np.arange(len(s.word)), np.full(len(langs), -1)])
+    spelled = pa.array([""] * len(langs), pa.large_string())
+    return _stripe_rows(s, prefix, follow, np.concatenate([counts, totals]), spelled, langs, np.ones(len(langs), bool))
+
+
+def _longer_stripes(s: Slice, cells: np.ndarray, hot: np.ndarray, width: int) -> pa.RecordBatch:
     """Stripes of prefixes of ``width`` words whose words, and whose last
     words with the next, both pass the filter."""
-    last = len(s.number) - width + 1
+    last, n = len(s.number) - width + 1, max(len(s.word), 1)
     if last < 2:
-        return _stripe_rows(s, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), s.word[:0], s.lang_of[:0], PARTS[width])
+        return _stripe_rows(s, np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), s.word[:0], s.lang_of[:0], np.zeros(0, bool))
     whole = np.ones(last, bool)
     for k in range(width - 1):
         whole &= s.joined[k : k + last]
@@ -153,35 +179,37 @@ def _longer_stripes(s: Slice, cells: np.ndarray, width: int) -> pa.RecordBatch:
     at = at[_all_set(cells, phrase_hash([s.hash[s.number[at + k]] for k in range(width)]))]
     passed = np.zeros(last, bool)
     passed[at] = True
-    at = np.flatnonzero(passed[:-1] & passed[1:])
+    at = np.flatnonzero(passed[:-1] & passed[1:] & s.joined[: last - 1])
     key = s.number[at]
     for k in range(1, width):
-        key = np.unique(key * max(len(s.word), 1) + s.number[at + k], return_inverse=True)[1].astype(np.int64)
-    _, first = np.unique(key, return_index=True)
-    n = max(len(s.word), 1)
-    pairs, counts = np.unique(key * n + s.number[at + width], return_counts=True)
+        key = np.unique(key * n + s.number[at + k], return_inverse=True)[1].astype(np.int64)
+    key, first, prefix = np.unique(key, return_index=True, return_inverse=True)
+    pairs, counts = np.unique(prefix.astype(np.int64) * n + s.number[at + width], return_counts=True)
     sample = at[first]
     columns = [pc.take(s.word, pa.array(s.number[sample + k])) for k in range(width)]
     spelled = pc.binary_join_element_wise(*columns, pa.scalar(" ", pa.large_string())) if width > 1 else columns[0]
-    return _stripe_rows(s, pairs // n, pairs % n, counts, spelled, s.lang_of[s.number[sample]], PARTS[width])
+    is_hot = np.isin(phrase_hash([s.hash[s.number[sample + k]] for k in range(width)]), hot)
+    return _stripe_rows(s, pairs // n, pairs % n, counts, spelled, s.lang_of[s.number[sample]], is_hot)
 
 
-def _stripe_rows(s: Slice, prefix: np.ndarray, follow: np.ndarray, count: np.ndarray, spelled: pa.Array, lang_of: np.ndarray, parts: int) -> pa.RecordBatch:
-    """One row per prefix and part; ``follow`` -1 is no next word."""
+def _stripe_rows(s: Slice, prefix: np.ndarray, follow: np.ndarray, count: np.ndarray, spelled: pa.Array, lang_of: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+    """One row per prefix, or per part of a hot one; ``follow`` -1 is no next
+    word."""
     part = np.zeros(len(follow), np.int64)
-    part[follow >= 0] = (s.hash[follow[follow >= 0]] >> np.uint64(40)).astype(np.int64) % parts
+    dealt = (follow >= 0) & hot[prefix]
+    part[dealt] = (s.hash[follow[dealt]] >> np.uint64(40)).astype(np.int64) % PARTS
     order = np.lexsort((follow, part, prefix))
     prefix, part, follow, count = prefix[order], part[order], follow[order], count[order]
     head = np.flatnonzero(np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (part[1:] != part[:-1])])[: len(prefix)])
     bounds = pa.array(np.append(head, len(prefix)).astype(np.int32))
-    nexts = pc.take(s.word, pa.array(follow, mask=follow < 0)).cast(pa.string())
+    nexts = pc.fill_null(pc.take(s.word, pa.array(follow, mask=follow < 0)), "").cast(pa.string())
     return pa.RecordBatch.from_arrays(
         [
             pc.take(s.lang, pa.array(lang_of[prefix[head]])).cast(pa.string()),
             pc.take(spelled, pa.array(prefix[head])).cast(pa.string()),
             pa.array(part[head].astype(np.int32)),
-            pa.ListArray.from_arrays(bounds, nexts),
-            pa.ListArray.from_arrays(bounds, pa.array(count.astype(np.int64))),
+            pc.binary_join(pa.ListArray.from_arrays(bounds, nexts), " "),
+            pc.binary_join(pa.ListArray.from_arrays(bounds, pa.array(count.astype(np.int64)).cast(pa.string())), " "),
         ],
         names=["lang", "prefix", "part", "nexts", "counts"],
     )
@@ -203,14 +231,14 @@ def stripes(docs: DataFrame, of_slice: Callable[[Slice], pa.RecordBatch]) -> Dat
 
 
 def merged(found: DataFrame, least: int) -> DataFrame:
-    """Stripes merged elementwise: (lang, phrase, f) of every extension and
-    prefix total of at least ``least``, and of the empty phrase. The stripes
-    are shuffled whole; a prefix that a third of all rows share is dealt out
-    over its parts."""
+    """Stripes merged elementwise: (lang, phrase, f) of every extension of at
+    least ``least``, and of the empty phrase. The stripes are shuffled whole;
+    a hot prefix is dealt out over its parts."""
     dealt = found.repartition("lang", "prefix", "part")
-    entries = dealt.select("lang", "prefix", "part", F.explode(F.arrays_zip("nexts", "counts")).alias("e"))
-    summed = entries.groupBy("lang", "prefix", "part", F.col("e.nexts").alias("next")).agg(F.sum("e.counts").alias("f"))
-    phrase = F.when(F.col("prefix") == "", F.lit("")).when(F.col("next").isNull(), F.col("prefix")).otherwise(F.concat_ws(" ", "prefix", "next"))
+    pairs = F.arrays_zip(F.split("nexts", " ").alias("next"), F.split("counts", " ").alias("n"))
+    entries = dealt.select("lang", "prefix", "part", F.explode(pairs).alias("e"))
+    summed = entries.groupBy("lang", "prefix", "part", F.col("e.next").alias("next")).agg(F.sum(F.col("e.n").cast("long")).alias("f"))
+    phrase = F.when(F.col("prefix") == "", F.col("next")).otherwise(F.concat_ws(" ", "prefix", "next"))
     return summed.select("lang", phrase.alias("phrase"), "f").filter((F.col("f") >= least) | (F.col("phrase") == ""))
 
 
@@ -218,19 +246,20 @@ def frequent_phrases(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]
     """(lang, phrase, n_words, f) of all phrases of one to four words with
     f >= ``least``, and (lang, n), the words of each lang. ``docs``: (lang,
     text)."""
-    n_words = F.size(F.split("phrase", " ")).alias("n_words")
-    singles = written(merged(stripes(docs, _first_stripes), least), "phrases-1")
-    found = singles.filter("phrase != ''").select("lang", "phrase", n_words, "f")
-    level = found.filter("n_words = 2")
-    for width in range(2, MAX_WORDS):
-        cells = phrase_filter(level, width)
-
-        def of_slice(s: Slice, cells: np.ndarray = cells, width: int = width) -> pa.RecordBatch:
-            return _longer_stripes(s, cells, width)
-
-        level = written(merged(stripes(docs, of_slice), least).select("lang", "phrase", n_words, "f"), f"phrases-{width}")
+    singles = written(merged(stripes(docs, _word_stripes), least), "phrases-1")
+    sizes = singles.filter("phrase = ''").select("lang", F.col("f").alias("n"))
+    total = int(sizes.agg(F.sum(F.col("n").cast("decimal(38, 0)"))).first()[0] or 0)
+    level = singles.filter("phrase != ''").select("lang", "phrase", F.lit(1).alias("n_words"), "f")
+    found = level
+    for width in range(1, MAX_WORDS):
+        cells, hot = phrase_filter(level, width), hot_prefixes(level, width, total)
+
+        def of_slice(s: Slice, cells: np.ndarray = cells, hot: np.ndarray = hot, width: int = width) -> pa.RecordBatch:
+            return _longer_stripes(s, cells, hot, width)
+
+        level = written(merged(stripes(docs, of_slice), least).select("lang", "phrase", F.lit(width + 1).alias("n_words"), "f"), f"phrases-{width + 1}")
         found = found.union(level)
-    return found, singles.filter("phrase = ''").select("lang", F.col("f").alias("n"))
+    return found, sizes
 
 
 def _not_subsumed(phrases: DataFrame, share: int) -> DataFrame:

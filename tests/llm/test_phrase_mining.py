@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from cohortgrid.llm import phrase_mining as pm
 from llm.conftest import DOCUMENTS, odd_rows
@@ -77,14 +78,18 @@ def test_full_filter_changes_nothing(spark, monkeypatch):
 
 def test_filter_holds_every_phrase(spark):
     rows = [("en", f"w{k} x{k % 7}") for k in range(3000)]
-    cells = pm.phrase_filter(spark.createDataFrame(rows, "lang string, phrase string"), 2)
-    lang = pm._string_hashes(pm.pa.array(["en"] * 6000))
-    at = [pm._string_hashes(pm.pa.array([p.format(k) for k, p in zip(range(6000), [c] * 6000)])) for c in ("w{0}",)][0]
-    second = pm._string_hashes(pm.pa.array([f"x{k % 7}" for k in range(6000)]))
-    found = pm._all_set(cells, pm.phrase_hash([pm.phrase_hash([lang, at]), pm.phrase_hash([lang, second])]))
+    cells = pm.phrase_filter(spark.createDataFrame(rows, "lang string, phrase string").repartition(5), 2)
+    phrases = pa.array([f"w{k} x{k % 7}" for k in range(6000)])
+    found = pm._all_set(cells, pm.phrase_hashes(pa.array(["en"] * 6000), phrases, 2))
     assert found[:3000].all() and found[3000:].mean() < 0.05
 
 
+def test_every_prefix_hot(spark, monkeypatch):
+    """Dealing stripes out over parts changes nothing."""
+    monkeypatch.setattr(pm, "hot_prefixes", lambda phrases, n_words, total: pm.phrase_hashes(*(c.combine_chunks() for c in phrases.select("lang", "phrase").toArrow().columns), n_words))
+    assert run(spark, corpus(), least=5) == brute_force(corpus(), 5)
+
+
 def test_large_counts_are_exact(spark):
     """Counts whose products pass 64 bits."""
     a = 5 * 10**18
