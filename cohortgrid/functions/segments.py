@@ -45,7 +45,9 @@ _LIST_NUMBER = r"(?<!(?:\A|\n)[ \t\r\f]{0,8}\d{1,3}\.)"
 _SHORT_FORM = rf"(?!(?<=(?<!\p{{L}})(?:{_any(SHORT_FORMS)})\.)[{SPACE}]++[\p{{Ll}}\d])"
 _STOP = rf"""(?:\.{_TITLE}{_LIST_NUMBER}|[!?])[.!?]*+["')\]]*+{_SHORT_FORM}(?:[{SPACE}]++|\z)"""
 _LINE = rf"\n(?:[ \t\r\f]*+\n|(?![{SPACE}]*+(?:\p{{Ll}}|\d(?!\d{{0,2}}[.)][{SPACE}]))))[{SPACE}]*+"
-PIECE_PATTERN = rf"(?s).*?(?:(?=[.!?\n])(?:{_STOP}|{_LINE})|\z)"
+_BOUNDARY = rf"(?:{_STOP}|{_LINE})"
+# Possessive loops, which the engine runs without recursion.
+PIECE_PATTERN = rf"(?:[^.!?\n]++|(?!{_BOUNDARY})[.!?\n])*+(?:{_BOUNDARY}|\z)"
 
 SPAN_TYPE = "array<struct<start:int,end:int,text:string>>"
 _BLOCK = 64

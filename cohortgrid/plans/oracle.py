@@ -720,7 +720,8 @@ SQL["annotation_agreement"] = _with(
 # What each sentence of the fixture notes says, read and written down by hand:
 # phrase, its sentences, and for each what is so of it. A date is of the start
 # or the end; ``mention`` is a stated one of the patient, with the word for its
-# kind and its date.
+# kind and its date; ``isolated`` is one that is no chronic mention; ``dates`` are
+# all that stand in it.
 SAID = (
     (0, "Started Daybue on 2/15/24 and tolerating it well.", dict(drug=1, start=1, start_date="2/15/24")),
     (1, "Mother reports loose stool in diaper since starting trofinetide.", dict(drug=1, start=1, mention=1, severity=1, relative="since starting trofinetide")),
@@ -730,7 +731,7 @@ SAID = (
     (5, "Insurance denied trofinetide.", dict(drug=1, denied=1)),
     (6, "Chronic diarrhea with watery stool on clothes, workup for malabsorption.", dict(mention=1, kind="chronic", severity=3)),
     (7, "Patient passed away in Feb 2024.", dict(gone=1)),
-    (8, "Had one episode of diarrhea after eating, resolved same day.", dict()),
+    (8, "Had one episode of diarrhea after eating, resolved same day.", dict(isolated=1)),
     (9, "Call if you develop diarrhea.", dict()),
     (10, "Slight improvement in hand use on trofinetide, seen 12/5/2023.", dict(drug=1, start=1, intensity="low")),
     (11, "Recurrent diarrhea with watery stool outside clothes, dramatically worse.", dict(mention=1, kind="recurrent", severity=4, intensity="high")),
@@ -751,8 +752,10 @@ SAID = (
     (22, "Diarrhea today, watery stool in diaper at 5 p.m. after lunch.", dict(mention=1, severity=2)),
     (23, "Persistent loose stool in diaper for several weeks despite loperamide.", dict(mention=1, kind="persistent", severity=1, relative="for several weeks")),
 )
-_FLAGS = ("drug", "start", "stop", "denied", "planned", "gone", "mention", "severity")
+_FLAGS = ("drug", "start", "stop", "denied", "planned", "gone", "mention", "isolated", "severity")
 _TEXTS = ("start_date", "stop_date", "kind", "mention_date", "intensity", "relative")
+# Sentences by phrase in which February 15, 2024 is written.
+FEB_15 = (0, 3, 14)
 D["said"] = (
     "select * from (values "
     + ", ".join(
@@ -780,6 +783,31 @@ SQL["passage_extract"] = _with(
 SQL["passage_spans"] = _with(
     ["note_said"], 'select note_id, s_start as "start", s_start + length(said) as "end", said as passage from note_said where drug = 1'
 )
+D["phrase"] = (
+    "select p, max(mention + isolated) > 0 as stated, case when max(severity) > 0 then cast(max(severity) as varchar) else 'N/A' end as level, "
+    f"rtrim({pick('p', fx.CLINICAL_PHRASES)}, '.') as words, p in {FEB_15} as has_date, p = 10 as hand_use from said group by p"
+)
+D["checks"] = (
+    "select n.note_id, n.doc, a.words as a_words, a.level as a_level, case when a.has_date and n.doc % 3 < 2 then '2/15/24' end as a_time, a.stated as a_ok, "
+    "c.words as c_words, c.level as c_level, c.stated as c_ok, c.p in (a.p, b.p) as c_found, b.words as b_words, b.hand_use as b_ok "
+    f"from (select note_id, cast(note_id as bigint) as doc from v_clinical) n join phrase a on a.p = n.doc % {_N} join phrase b on b.p = (n.doc // {_N}) % {_N} join phrase c on c.p = (n.doc + 5) % {_N}"
+)
+D["judged"] = (
+    "select *, c_found and c_ok and not (a_ok and a_time is null) as c_kept, a_ok and a_time is null as a_undated from checks"
+)
+SQL["validated_entries"] = _with(
+    ["judged"],
+    "select note_id, concat_ws('|', "
+    "case when a_ok then '0:fix:quote' || case when a_level <> '4' then '+severity' else '' end || case when doc % 3 < 2 and a_time is null then '+date' else '' end "
+    "|| case when doc % 3 = 1 and a_time is not null then '+date_format' else '' end else '0:remove:not_supported' end, "
+    "case when not c_found then '1:remove:quote_not_found' when not c_ok then '1:remove:not_supported' when not c_kept then '1:remove:duplicate' "
+    "else '1:fix:quote' || case when c_level <> 'N/A' then '+severity' else '' end || case when doc % 2 = 1 then '+date' else '' end end, "
+    "case when a_ok then '2:remove:duplicate' else '2:remove:not_supported' end, '3:remove:not_positive', "
+    "case when b_ok then '4:fix:quote+severity' else '4:remove:not_supported' end) as outcomes, "
+    "concat_ws('|', case when a_ok then concat_ws('~', 'Diarrhea', a_level, coalesce(a_time, '-'), a_words) end, "
+    "case when c_kept then concat_ws('~', 'Diarrhea', c_level, '-', c_words) end, "
+    "case when b_ok then concat_ws('~', 'Hand use', 'N/A', '-', b_words) end) as validated from judged",
+)
 D["tiles"] = f"select note_id, {sentence_list('note_text')} as ts from v_clinical"
 SQL["sentence_spans"] = _with(
     ["tiles"],

@@ -23,11 +23,12 @@ from ..operators import notes as nt
 from ..operators import requests as rq
 from ..operators import rules as ru
 from ..operators import shift as sh
+from ..operators import validator as va
 from ..operators import verdicts as vd
 from ..sources import fixtures as fx
 from ..sources.sinks import materialize
 from ..sources.tables import Tables
-from ..spec import ENTRY_SCHEMA, FULL_SPEC, STAGE2_SPEC, BaselineSpec, MentionSpec
+from ..spec import ENTRY_FIELDS, ENTRY_SCHEMA, FULL_SPEC, STAGE2_SPEC, BaselineSpec, MentionSpec
 from . import stages
 
 MENTION = MentionSpec(keywords=fx.FIXTURE_KEYWORDS, max_chars=fx.FIXTURE_MAX_CHARS)
@@ -442,6 +443,33 @@ def q_evidence_spans(i, t):
     return ex.evidence_spans(_quotes(t), fx.clinical_notes(t))
 
 
+def note_entries(t):
+    """Five entries for each clinical note: its first phrase shouted, another
+    phrase, the first again with another verdict word, the first denied, and
+    its last phrase for another phenotype."""
+    c = fx.clinical_notes(t)
+    doc, n = F.col("note_id").cast("long"), len(fx.CLINICAL_PHRASES)
+    phrase = lambda k: fx._pick(k % n, fx.CLINICAL_PHRASES)
+    shouted = F.upper(F.regexp_replace(phrase(doc), r"[.,;]", ""))
+    date = F.when(doc % 3 == 0, "2/15/24").when(doc % 3 == 1, "February 15, 2024")
+    rows = [
+        ("Diarrhea", F.lit("Yes"), "4", date, shouted),
+        ("Diarrhea", F.lit("YES"), "N/A", F.when(doc % 2 == 1, "soon"), phrase(doc + 5)),
+        ("Diarrhea", F.lit("true"), "4", date, shouted),
+        ("Diarrhea", F.lit("No"), "4", date, shouted),
+        ("Hand use", F.lit("Yes"), "low", F.lit(None), phrase(F.floor(doc / n))),
+    ]
+    entry = lambda r: F.struct(*(v.cast("string").alias(f) for f, v in zip(ENTRY_FIELDS, (F.lit(r[0]), r[1], F.lit(r[2]), r[3], r[4]), strict=True)))
+    return c.select("note_id", F.array(*map(entry, rows)).alias("entries"))
+
+
+def q_validated_entries(i, t):
+    done = va.validate_entries(note_entries(t), fx.clinical_notes(t))
+    said = lambda o: F.concat_ws(":", o["pos"].cast("string"), o["action"], F.array_join(o["reasons"], "+"))
+    kept = lambda e: F.concat_ws("~", e["phenotype"], e["severity_level"], F.coalesce(e["time"], F.lit("-")), e["evidence_text"])
+    return done.select("note_id", F.array_join(F.transform("outcomes", said), "|").alias("outcomes"), F.array_join(F.transform("validated", kept), "|").alias("validated"))
+
+
 def _entries(i):
     """The entries of both replies; a reply that is missing or can't be
     parsed has none."""
@@ -538,6 +566,7 @@ _WITH_TABLES = {
     "passage_spans": q_passage_spans,
     "sentence_spans": q_sentence_spans,
     "evidence_spans": q_evidence_spans,
+    "validated_entries": q_validated_entries,
     "enrollment_from_notes": q_enrollment_from_notes,
     "chronic_entries": q_chronic_entries,
     "evidence_grounding": q_evidence_grounding,
