@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import unicodedata
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,27 +21,71 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortgrid.llm.arrays import row_slices, utf8
+from cohortgrid.llm.arrays import LOWER, mix, row_slices, span_codes, span_hashes, utf8, words
 from cohortgrid.llm.pfor import Segment, encode_segment
-from cohortgrid.llm.recent import Recent
 from cohortgrid.llm.token_counts import byte_symbols
 
 SEGMENT_TOKENS = 1 << 16
-KNOWN_PIECES = 400_000
+SLICE = 4 << 20
+KNOWN_PIECES = 2_000_000
 SEGMENTS = "shard int, seq int, n_tokens long, payload binary"
-_TAIL = b".,!?;:|*&$%#"
+
+# A letter or digit and the ASCII punctuation behind it never share a token.
+_TAIL = np.zeros(256, bool)
+_TAIL[list(b".,!?;:|*&$%#")] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_CHECK_CODES = mix(np.arange(301, 557, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+
+
+class KnownPieces:
+    """Ids of the pieces met so far, in flat arrays: a piece is found by a
+    64-bit hash and a second, independent one. At ``limit`` pieces the table
+    starts over, so its memory is bounded."""
+
+    def __init__(self, limit: int = KNOWN_PIECES) -> None:
+        self.limit = limit
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slot of each piece, and whether it is known."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return slot, (self.keys[slot] == keys) & (self.checks[slot] == checks)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: list[list[int]]) -> None:
+        if len(self.keys) + len(keys) > self.limit:
+            self._clear()
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        total = int(sizes.sum())
+        if self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(self.used, total), np.uint32)])
+        self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
+        starts = self.used + np.cumsum(sizes) - sizes
+        self.used += total
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        self.keys, self.checks = np.insert(self.keys, at, keys[order]), np.insert(self.checks, at, checks[order])
+        self.starts, self.sizes = np.insert(self.starts, at, starts[order]), np.insert(self.sizes, at, sizes[order])
 
 
 class Encoder:
     """Ids of texts from a word-level tokenizers file.
 
     Such a file drops white space and never joins characters across it,
-    so a text's ids are those of its white-space pieces on end. Each
-    distinct piece is given to the library once and kept in a bounded
-    table; a piece's ASCII letters may be lower-cased before, as the file
-    does it too, unless the text may hold a special string. A piece of
-    letters only that normalisation would leave alone is one pre-token and
-    goes straight to the library's BPE model.
+    so a text's ids are those of its white-space pieces on end. The pieces of
+    a slice of texts are numbered by Arrow, each distinct one that is not yet
+    known goes to the library once, and the ids of all are gathered. ASCII
+    letters may be lower-cased before, as the file does it too, unless the
+    text may hold a special string. A piece of letters only that
+    normalisation would leave alone is one pre-token and goes straight to the
+    library's BPE model.
     """
 
     def __init__(self, path: str) -> None:
@@ -50,84 +94,124 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.alphabet = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
-        self.known = Recent(KNOWN_PIECES)
+        self.known = KnownPieces()
 
-    def _encode(self, pieces: list[bytes]) -> None:
-        rest, young, tokenize = [], self.known.young, self.model.tokenize
-        for piece in pieces:
+    def _encode(self, pieces: list[bytes]) -> list[list[int]]:
+        rest, tokenize = [], self.model.tokenize
+        out: list[list[int]] = [[]] * len(pieces)
+        for k, piece in enumerate(pieces):
             if piece.isalpha() and piece.islower():
                 symbols = piece.decode()
             else:
                 text = piece.decode("utf-8", "replace")
                 if not (text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)):
-                    rest.append((piece, text))
+                    rest.append((k, text))
                     continue
                 symbols = piece.decode("latin-1").translate(self.alphabet)
-            young[piece] = array("I", [t.id for t in tokenize(symbols)]).tobytes()
+            out[k] = [t.id for t in tokenize(symbols)]
         for lo in range(0, len(rest), 512):
             some = rest[lo : lo + 512]
             found = self.library.encode_batch_fast([text for _, text in some], add_special_tokens=False)
-            for (piece, _), e in zip(some, found, strict=True):
-                young[piece] = array("I", e.ids).tobytes()
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        whole, cut = set(), []
-        for p in self.known.missing(pieces):
-            core = p.rstrip(_TAIL)
-            # A letter or digit and ASCII punctuation never share a token.
-            if core != p and core[-1:].isalnum():
-                cut.append((p, core, p[len(core) :]))
-                whole.update(cut[-1][1:])
-            else:
-                whole.add(p)
-        young = self.known.young
-        self._encode([p for p in whole if p not in young])
-        for p, core, tail in cut:
-            young[p] = young[core] + young[tail]
+            for (k, _), e in zip(some, found, strict=True):
+                out[k] = e.ids
+        return out
+
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes as they are looked up, starts and ends of the pieces, and
+        the row of each."""
+        low = LOWER[data]
+        if b"<|" in data.tobytes():
+            for lo, hi in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                if b"<|" in data[lo:hi].tobytes():
+                    low[lo:hi] = data[lo:hi]
+        starts, ends, first = words(low, offsets)
+        row = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+        if not len(starts):
+            return low, starts, ends, row
+        # The last byte of each piece before its tail, if there is one.
+        body = np.where(_TAIL[low], -1, np.arange(len(low)))
+        core = np.maximum.accumulate(body)[ends - 1]
+        cut = np.flatnonzero((core >= starts) & (core < ends - 1) & _ALNUM[low[core]])
+        starts = np.insert(starts, cut + 1, core[cut] + 1)
+        ends = np.insert(ends, cut, core[cut] + 1)
+        row = np.insert(row, cut, row[cut])
+        return low, starts, ends, row
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rows on end, and how many each row has."""
+        n = len(offsets) - 1
+        low, starts, ends, row = self._pieces(data, offsets)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(n, np.int64)
+        code, distinct = span_codes(low, starts, ends)
+        size = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset : distinct.offset + len(distinct) + 1]
+        spelled = np.frombuffer(distinct.buffers()[2], np.uint8)[size[0] : size[-1]]
+        bounds = size - size[0]
+        keys = span_hashes(spelled, bounds[:-1], bounds[1:])
+        checks = span_hashes(spelled, bounds[:-1], bounds[1:], _CHECK_CODES)
+        new = np.flatnonzero(~self.known.find(keys, checks)[1])
+        if len(new):
+            if len(self.known.keys) + len(new) > self.known.limit:
+                new = np.arange(len(keys))  # the table starts over
+            self.known.add(keys[new], checks[new], self._encode(distinct.take(pa.array(new)).to_pylist()))
+        slot = self.known.find(keys, checks)[0]
+        first, length = self.known.starts[slot][code], self.known.sizes[slot][code]
+        at = np.cumsum(length)
+        ids = self.known.pool[np.arange(at[-1]) + np.repeat(first - (at - length), length)]
+        return ids, np.bincount(row, weights=length, minlength=n).astype(np.int64)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        split = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        self._learn(set().union(*split))
-        known = self.known.young
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in split]
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
+        ids, lengths = self.encode(data, offsets)
+        ends = np.cumsum(lengths)
+        return [ids[b - n : b].astype("<u4").tobytes() for b, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
 
 
 _encoders: dict[str, Encoder] = {}
 
 
 def _segments(path: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _encoders:
             _encoders[path] = Encoder(path)
-        encode = _encoders[path]
+        encoder = _encoders[path]
         shard, seq, start = TaskContext.get().partitionId(), 0, 0
-        ids: list[int | None] = []
-        coded: list[bytes] = []
+        waiting: list[tuple[list[int | None], np.ndarray, np.ndarray]] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal seq, start, held, ids, coded
-            lengths = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
-            payload = encode_segment(ids, lengths, np.frombuffer(b"".join(coded), "<u4"), start)
+            nonlocal seq, start, held, waiting
+            ids = [i for some, _, _ in waiting for i in some]
+            payload = encode_segment(ids, np.concatenate([n for _, n, _ in waiting]), np.concatenate([t for _, _, t in waiting]), start)
             row = pa.record_batch([pa.array([shard], pa.int32()), pa.array([seq], pa.int32()), pa.array([held], pa.int64()), pa.array([payload], pa.binary())], ["shard", "seq", "n_tokens", "payload"])
-            seq, start, held, ids, coded = seq + 1, start + held, 0, [], []
+            seq, start, held, waiting = seq + 1, start + held, 0, []
             return row
 
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             all_ids = batch.column(0).to_pylist()
-            for lo, hi in row_slices(offsets, 1 << 20):
-                texts = [data[a:b].tobytes() for a, b in zip(offsets[lo:hi], offsets[lo + 1 : hi + 1], strict=True)]
-                for doc_id, code in zip(all_ids[lo:hi], encode(texts), strict=True):
-                    ids.append(doc_id)
-                    coded.append(code + end)
-                    held += len(code) // 4 + 1
+            for lo, hi in row_slices(offsets, SLICE):
+                cut = offsets[lo : hi + 1]
+                found, lengths = encoder.encode(data[cut[0] : cut[-1]], cut - cut[0])
+                lengths = lengths + 1
+                ends = np.cumsum(lengths)
+                tokens = np.full(int(ends[-1]), end_id, np.uint32)
+                is_end = np.zeros(len(tokens), bool)
+                is_end[ends - 1] = True
+                tokens[~is_end] = found
+                # Whole documents until a segment is full.
+                at = 0
+                while at < hi - lo:
+                    before = int(ends[at - 1]) if at else 0
+                    to = min(int(np.searchsorted(ends, before + SEGMENT_TOKENS - held)) + 1, hi - lo)
+                    waiting.append((all_ids[lo + at : lo + to], lengths[at:to], tokens[before : int(ends[to - 1])]))
+                    held += int(ends[to - 1]) - before
+                    at = to
                     if held >= SEGMENT_TOKENS:
                         yield flush()
-        if ids:
+        if waiting:
             yield flush()
 
     return run
@@ -136,12 +220,14 @@ def _segments(path: str, end_id: int):
 def write_token_files(docs: DataFrame, tokenizer_path: str, out_path: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append ``end_id``, and write the segments to
     ``out_path`` in ascending id order (null ids first; rows with the same
-    id in the order of their texts). A null text is empty and holds only
-    the end id. Other columns are ignored; an empty table writes no rows.
+    id in the order of a hash of their texts, then of the texts, so that an id
+    that a third of all rows have is split over tasks). A null text is empty
+    and holds only the end id. Other columns are ignored; an empty table
+    writes no rows.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    ordered = narrow.repartitionByRange("id").sortWithinPartitions("id", "text")
-    ordered.mapInArrow(_segments(tokenizer_path, end_id), SEGMENTS).write.parquet(out_path)
+    ordered = narrow.withColumn("spread", F.xxhash64("text")).repartitionByRange("id", "spread").sortWithinPartitions("id", "spread", "text")
+    ordered.select("id", "text").mapInArrow(_segments(tokenizer_path, end_id), SEGMENTS).write.parquet(out_path)
 
 
 def _directory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

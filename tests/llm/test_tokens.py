@@ -9,7 +9,7 @@ from tokenizers import Tokenizer
 from cohortgrid.llm.pfor import Segment, encode_segment, pack, unpack
 from cohortgrid.llm.recent import Recent
 from cohortgrid.llm.token_counts import Counter, token_counts
-from cohortgrid.llm.token_files import Encoder, read_token_files, read_tokens, write_token_files
+from cohortgrid.llm.token_files import Encoder, KnownPieces, read_token_files, read_tokens, write_token_files
 from llm.conftest import odd_rows
 
 WORDS, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
@@ -52,7 +52,8 @@ def test_segment_round_trip(n):
 def test_token_files(spark, odd, no_documents, tmp_path):
     write_token_files(odd, WORDS, f"{tmp_path}/t")
     library = Tokenizer.from_file(WORDS)
-    rows = sorted(((r[0], r[1] or "") for r in odd_rows()), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    spread = {r["text"]: r["h"] for r in odd.selectExpr("coalesce(text, '') as text", "xxhash64(coalesce(text, '')) as h").collect()}
+    rows = sorted(((r[0], r[1] or "") for r in odd_rows()), key=lambda r: (r[0] is not None, r[0] or 0, spread[r[1]]))
     want, start = [], 0
     for doc_id, text in rows:
         ids = [*library.encode(text, add_special_tokens=False).ids, 2]
@@ -65,6 +66,33 @@ def test_token_files(spark, odd, no_documents, tmp_path):
     assert read_token_files(spark, f"{tmp_path}/none").count() == 0
 
 
+def test_small_table_of_pieces_starts_over():
+    encoder, texts = Encoder(WORDS), fuzz()
+    encoder.known = KnownPieces(40)
+    library = Tokenizer.from_file(WORDS)
+    for lo in range(0, 300, 7):
+        some = texts[lo : lo + 7]
+        want = [e.ids for e in library.encode_batch(some, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder([t.encode() for t in some])] == want
+
+
+def test_hot_id_is_split(spark, tmp_path):
+    """A third of all rows under one id, and as many without one."""
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, f"word{k} and {k * k}") for k in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_token_files(df, WORDS, f"{tmp_path}/hot")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    shards = spark.read.parquet(f"{tmp_path}/hot").groupBy("shard").agg({"n_tokens": "sum"}).collect()
+    assert len(shards) == 8 and max(r[1] for r in shards) < 2 * sum(r[1] for r in shards) / 8
+    got = sorted((r.start, r.n_tokens, r.doc_id) for r in read_token_files(spark, f"{tmp_path}/hot").collect())
+    assert all(a[0] + a[1] == b[0] for a, b in zip(got, got[1:])) and got[0][0] == 0
+    ids = [-1 if r[2] is None else r[2] for r in got]
+    assert ids == sorted(ids) and ids.count(7) == 1000
+
+
 def test_token_counts(odd, no_documents):
     library = Tokenizer.from_file(BYTES)
     texts = [(r[0], r[1] or "") for r in odd_rows()]
