@@ -42,6 +42,12 @@ def format_status(status: str | Column, severity: str | Column, missing: str | N
     return out.otherwise(fallback)
 
 
+def status_of(counts: dict[str, Column]) -> Column:
+    """The first status, in the given order, that something was counted
+    for; null without any."""
+    return F.coalesce(*(F.when(n > 0, F.lit(status)) for status, n in counts.items()))
+
+
 def is_positive(cell: str | Column) -> Column:
     """A matrix cell counts as positive when it starts with Yes."""
     return _c(cell).startswith("Yes")

@@ -10,6 +10,7 @@ product is ever formed.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +42,29 @@ def provider_names(providers: DataFrame, patients: DataFrame, default: str | Non
     )
 
 
+def matching_names(names: DataFrame, pattern: str = DEFAULT_DRUG_PATTERN, cols: Iterable[str] = NAME_COLUMNS) -> DataFrame:
+    """The distinct name tuples that match ``pattern`` in any column.
+    ``names`` is the drug dimension, or the event rows themselves."""
+    return names.select(*cols).distinct().filter(rlike_any(cols, pattern))
+
+
 def match_medication(
-    df: DataFrame, patients: DataFrame, pattern: str = DEFAULT_DRUG_PATTERN, cols: Iterable[str] = NAME_COLUMNS
+    df: DataFrame,
+    patients: DataFrame,
+    pattern: str = DEFAULT_DRUG_PATTERN,
+    cols: Iterable[str] = NAME_COLUMNS,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of matrix patients whose drug name matches in any column
-    (semi-join instead of a collected IN list)."""
-    d = df.withColumn("mrn", F.col("mrn").cast("string")).filter(rlike_any(cols, pattern))
+    (semi-joins instead of a collected IN list). With the drug dimension
+    ``names`` each distinct name is matched once and the event rows only meet
+    a semi-join on it; otherwise the pattern runs on every row."""
+    d = df.withColumn("mrn", F.col("mrn").cast("string"))
+    if names is None:
+        d = d.filter(rlike_any(cols, pattern))
+    else:
+        known = matching_names(names, pattern, cols).select(*(F.col(c).alias(f"__{c}") for c in cols))
+        d = d.join(known, reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"__{c}")) for c in cols)), "left_semi")
     return d.join(patients.select("mrn"), "mrn", "left_semi")
 
 
@@ -91,15 +109,19 @@ def interval_coverage(orders: DataFrame, patients: DataFrame, spec: MatrixSpec =
     )
 
 
-def admin_events(administered: DataFrame, patients: DataFrame, pattern: str = DEFAULT_DRUG_PATTERN) -> DataFrame:
-    m = match_medication(administered, patients, pattern)
+def admin_events(
+    administered: DataFrame, patients: DataFrame, pattern: str = DEFAULT_DRUG_PATTERN, names: DataFrame | None = None
+) -> DataFrame:
+    m = match_medication(administered, patients, pattern, names=names)
     return m.select("mrn", as_date("taken_time").alias("event_date"))
 
 
-def order_intervals(orders: DataFrame, patients: DataFrame, pattern: str = DEFAULT_DRUG_PATTERN) -> DataFrame:
+def order_intervals(
+    orders: DataFrame, patients: DataFrame, pattern: str = DEFAULT_DRUG_PATTERN, names: DataFrame | None = None
+) -> DataFrame:
     """Matched orders with dates and ``has_refill`` (integer refills > 0;
     non-numeric text counts as none)."""
-    m = match_medication(orders, patients, pattern)
+    m = match_medication(orders, patients, pattern, names=names)
     refills = F.col("refills").cast("string").try_cast("int")
     return m.select(
         "mrn",
@@ -115,14 +137,15 @@ def coverage_flags(
     orders: DataFrame,
     spec: MatrixSpec = FULL_SPEC,
     pattern: str = DEFAULT_DRUG_PATTERN,
+    names: DataFrame | None = None,
 ) -> DataFrame:
     """C30d: every (mrn, bucket) with ``epic_med`` = administration or order
     coverage and ``refill`` = coverage by orders with refills, as Yes/No
     cells in long form (mrn, variable, time_bucket, cell)."""
-    admin = point_coverage(admin_events(administered, patients, pattern), patients, spec).withColumns(
+    admin = point_coverage(admin_events(administered, patients, pattern, names), patients, spec).withColumns(
         {"__adm": F.lit(True), "__ord": F.lit(False), "__ref": F.lit(False)}
     )
-    iv = interval_coverage(order_intervals(orders, patients, pattern), patients, spec, ["has_refill"])
+    iv = interval_coverage(order_intervals(orders, patients, pattern, names), patients, spec, ["has_refill"])
     ordh = iv.select("mrn", "time_bucket", F.lit(False).alias("__adm"), F.lit(True).alias("__ord"), F.col("has_refill").alias("__ref"))
     hits = admin.unionByName(ordh).groupBy("mrn", "time_bucket").agg(
         F.bool_or("__adm").alias("admin_hit"), F.bool_or("__ord").alias("order_hit"), F.bool_or("__ref").alias("refill_hit")
@@ -146,10 +169,11 @@ def parallel_rows(
     administered: DataFrame,
     orders: DataFrame,
     pattern: str = DEFAULT_DRUG_PATTERN,
+    names: DataFrame | None = None,
 ) -> LongMatrix:
     """Symptom, medication and refill rows per patient (long form);
     ``wide_parallel`` adds each patient's ``note_author``."""
-    flags = coverage_flags(m.patients, administered, orders, m.spec, pattern)
+    flags = coverage_flags(m.patients, administered, orders, m.spec, pattern, names)
     return m.with_cells(m.cells.unionByName(flags))
 
 

@@ -54,6 +54,7 @@ class FixtureInputs:
         "administered": fx.administered_meds,
         "orders": fx.order_meds,
         "providers": fx.providers,
+        "drug_names": fx.drug_names,
     }
 
     def __init__(self, tables: Tables):
@@ -322,7 +323,7 @@ def _stage5(i):
 
 def _shifts(i):
     """Shifts need the refill rows only, not the other stages' cells."""
-    return sh.detect_shift(cov.coverage_flags(_patients(i), i.administered, i.orders, FULL_SPEC, PATTERN))
+    return sh.detect_shift(cov.coverage_flags(_patients(i), i.administered, i.orders, FULL_SPEC, PATTERN, i.drug_names))
 
 
 def q_provider_attribution(i):
@@ -330,7 +331,7 @@ def q_provider_attribution(i):
 
 
 def q_medication_match(i):
-    return cov.match_medication(i.administered, _patients(i), PATTERN)
+    return cov.match_medication(i.administered, _patients(i), PATTERN, names=i.drug_names)
 
 
 def q_bucket_windows(i):
@@ -339,27 +340,27 @@ def q_bucket_windows(i):
 
 def q_point_coverage(i):
     p = _patients(i)
-    return cov.point_coverage(cov.admin_events(i.administered, p, PATTERN), p, FULL_SPEC)
+    return cov.point_coverage(cov.admin_events(i.administered, p, PATTERN, i.drug_names), p, FULL_SPEC)
 
 
 def q_interval_coverage(i):
     p = _patients(i)
-    return cov.interval_coverage(cov.order_intervals(i.orders, p, PATTERN), p, FULL_SPEC).distinct()
+    return cov.interval_coverage(cov.order_intervals(i.orders, p, PATTERN, i.drug_names), p, FULL_SPEC).distinct()
 
 
 def q_refill_coverage(i):
     p = _patients(i)
-    o = cov.order_intervals(i.orders, p, PATTERN).filter("has_refill")
+    o = cov.order_intervals(i.orders, p, PATTERN, i.drug_names).filter("has_refill")
     return cov.interval_coverage(o, p, FULL_SPEC).distinct()
 
 
 def q_coverage_flags(i):
-    return cov.coverage_flags(_patients(i), i.administered, i.orders, FULL_SPEC, PATTERN)
+    return cov.coverage_flags(_patients(i), i.administered, i.orders, FULL_SPEC, PATTERN, i.drug_names)
 
 
 def q_coverage_matrix(i):
     p = _patients(i)
-    flags = cov.coverage_flags(p, i.administered, i.orders, FULL_SPEC, PATTERN)
+    flags = cov.coverage_flags(p, i.administered, i.orders, FULL_SPEC, PATTERN, i.drug_names)
     w = flags.groupBy("mrn", "variable").pivot("time_bucket", FULL_SPEC.buckets).agg(F.first("cell"))
     return w.select("mrn", "variable", *[F.col(f"`{b}`").alias(f"{b}_months") for b in FULL_SPEC.buckets])
 

@@ -64,6 +64,7 @@ class StudyInputs:
     administered: DataFrame
     orders: DataFrame
     providers: DataFrame
+    drug_names: DataFrame | None = None
 
 
 def stage1_mentions(i: StudyInputs, m: MentionSpec = MentionSpec()) -> DataFrame:
@@ -108,7 +109,7 @@ def stage2_long(
 
 
 def stage2_matrix(i: StudyInputs, spec: MatrixSpec = STAGE2_SPEC, from_replies: bool = False) -> DataFrame:
-    return present_matrix(to_wide(stage2_long(i, spec, from_replies)))
+    return stage4_matrix(stage2_long(i, spec, from_replies))
 
 
 def stage3_notes(i: StudyInputs, m: LongMatrix, b: BaselineSpec = BaselineSpec()) -> DataFrame:
@@ -122,11 +123,11 @@ def stage4_long(i: StudyInputs, m: LongMatrix, spec: MatrixSpec = FULL_SPEC) ->
 
 
 def stage4_matrix(m: LongMatrix) -> DataFrame:
-    return present_matrix(to_wide(m))
+    return present_matrix(to_wide(m), cells=m)
 
 
 def stage5_long(i: StudyInputs, m: LongMatrix, pattern: str) -> LongMatrix:
-    out = parallel_rows(m, i.administered, i.orders, pattern)
+    out = parallel_rows(m, i.administered, i.orders, pattern, i.drug_names)
     return out.with_cells(materialize(out.cells, "stage5_cells"))
 
 
@@ -135,7 +136,7 @@ def authors(i: StudyInputs, m: LongMatrix) -> DataFrame:
 
 
 def stage5_matrix(i: StudyInputs, m: LongMatrix) -> DataFrame:
-    return present_matrix(wide_parallel(m, authors(i, m)), by="variable")
+    return present_matrix(wide_parallel(m, authors(i, m)), by="variable", cells=m)
 
 
 def stage6_long(m: LongMatrix) -> LongMatrix:
@@ -144,7 +145,7 @@ def stage6_long(m: LongMatrix) -> LongMatrix:
 
 def stage6_matrix(i: StudyInputs, m: LongMatrix) -> DataFrame:
     corr = m.patients.select("mrn", F.col("correct_enrollment_date").cast("string").alias("correct_enrollment_date"))
-    return present_matrix(wide_parallel(m, authors(i, m), extra=corr), by="variable")
+    return present_matrix(wide_parallel(m, authors(i, m), extra=corr), by="variable", cells=m)
 
 
 @dataclass(frozen=True)
@@ -182,12 +183,12 @@ def write_study(
     mention: MentionSpec = MentionSpec(),
     baseline: BaselineSpec = BaselineSpec(),
 ) -> dict[str, str]:
-    """Run the six stages and write each output to its own new path under
-    ``out_dir`` (S2/S3: nothing is read and overwritten in place)."""
+    """Run the six stages and publish each output as a new version of its
+    own path under ``out_dir`` (S2/S3); returns the versions' folders."""
     study = run_study(i, pattern)
     outputs = {
         "stage1_notes": stage1_notes(i, mention),
-        "stage2_matrix": present_matrix(to_wide(study.stage2)),
+        "stage2_matrix": stage4_matrix(study.stage2),
         "stage3_notes": stage3_notes(i, study.stage2, baseline),
         "stage4_matrix": stage4_matrix(study.stage4),
         "stage5_matrix": stage5_matrix(i, study.stage5),
@@ -195,6 +196,5 @@ def write_study(
     }
     paths = {}
     for name in STAGE_OUTPUTS:
-        paths[name] = f"{out_dir.rstrip('/')}/{name}"
-        write_stage(outputs[name], paths[name])
+        paths[name] = write_stage(outputs[name], f"{out_dir.rstrip('/')}/{name}")
     return paths

@@ -253,6 +253,11 @@ def prior_outputs(t: Tables) -> DataFrame:
     )
 
 
+def drug_names(t: Tables) -> DataFrame:
+    """The drug dimension: the parts' names, types and brands."""
+    return t.part.select(F.col("p_name").alias("simple_generic"), F.col("p_type").alias("display_name"), F.col("p_brand").alias("description"))
+
+
 def administered_meds(t: Tables) -> DataFrame:
     """Administered medications: line items, part names as drugs."""
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_shipdate")
