@@ -709,11 +709,34 @@ SQL["llm_responses"] = _with(
     ["chunks", "resp"],
     "select note_id, " + ", ".join(f"(select max(response) from resp r where r.note_id = c.note_id and r.stage = '{k}') as {k}" for k in STAGES) + " from chunks c",
 )
+D["given"] = " union all ".join(
+    f"select note_id, cast(note_id as bigint) as doc, '{stage}' as stage, '[{{\"phenotype\": \"Diarrhea\", \"evidence_text\": \"' || note_id || '\"}}]' as response "
+    f"from v_clinical where {rule.replace('doc', 'cast(note_id as bigint)')} and cast(note_id as bigint) % 7 > 0"
+    for stage, rule in (("extractor", "doc % 3 > 0"), ("validator", "doc % 4 = 0"), ("enrollment", "doc % 5 = 0"))
+)
+D["ledger"] = " union all ".join(
+    f"select v.note_id, '{k}' as stage, sha256('{k}' || chr(10) || sha256({q(text)}) || chr(10) || sha256(note_text) || chr(10)"
+    + (" || sha256(g.response) || chr(10)) as request_id from v_clinical v join given g on v.note_id = g.note_id and g.stage = 'extractor'" if k == "validator" else ") as request_id from v_clinical v")
+    for k, text in STAGES.items()
+)
+SQL["request_ledger"] = _with(
+    ["ledger", "given"],
+    "select * from ledger l where not exists (select 1 from given g where g.note_id = l.note_id and g.stage = l.stage and g.doc % 3 > 0)",
+)
+D["om"] = "select distinct mrn, order_start_date as os, order_end_date as oe, refills from v_order_meds"
+D["days_given"] = "select distinct mrn, cast(taken_time as date) as given from v_admin"
+D["stays"] = "select * from (select mrn, given, lead(given) over (partition by mrn order by given) as until from days_given) where day(given) % 3 = 0"
+SQL["interval_overlaps"] = _with(
+    ["om", "stays"],
+    "select mrn, count(*) as pairs, cast(sum(least(coalesce(oe, until), coalesce(until, oe)) - greatest(os, given) + 1) as bigint) as days, "
+    "count(case when oe is null and until is null then 1 end) as open_pairs, cast(min(greatest(os, given)) as varchar) as first_overlap "
+    "from om join stays using (mrn) where os is not null and (oe is null or oe >= os) and (until is null or os <= until) and (oe is null or given <= oe) group by mrn",
+)
 SQL["annotation_agreement"] = _with(
     ["oxf", "oxb"],
-    "select count(*) as compared, count(case when starts_with(f.diarrhea_status_formatted, 'Yes') = (a.annotation = 'Yes') then 1 end) as matched from oxf f join "
+    "select *, round(matched * 100.0 / nullif(compared, 0), 1)::double as percent from (select count(*) as compared, count(case when starts_with(f.diarrhea_status_formatted, 'Yes') = (a.annotation = 'Yes') then 1 end) as matched from oxf f join "
     "(select mrn, time_bucket, max(case when severity_level = '1' then 'Yes' else 'No' end) as annotation from oxb group by mrn, time_bucket) a "
-    "on f.mrn = a.mrn and f.time_bucket = a.time_bucket where f.diarrhea_status_formatted is not null",
+    "on f.mrn = a.mrn and f.time_bucket = a.time_bucket where f.diarrhea_status_formatted is not null)",
 )
 
 # L rules over clinical notes ------------------------------------------------

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,7 @@ from ..operators import rules as ru
 from ..operators import shift as sh
 from ..operators import validator as va
 from ..operators import verdicts as vd
+from ..operators.intervals import interval_join
 from ..sources import fixtures as fx
 from ..sources.sinks import materialize
 from ..sources.tables import Tables
@@ -545,7 +547,31 @@ def q_relative_time(i, t):
 
 def q_llm_requests(i, t):
     chunks = nt.chunk_text(fx.clinical_notes(t), MENTION.max_chars)
-    return rq.requests(chunks, fx.note_responses(chunks))
+    return rq.requests(chunks, fx.note_responses(chunks)).select("note_id", "stage", "request_text")
+
+
+def q_request_ledger(i, t):
+    """The ledger after some answers: those of every third note were given
+    to an older instruction, and name no open request."""
+    notes = fx.clinical_notes(t)
+    given = fx.note_responses(notes)
+    ledger = rq.request_ledger(notes, given)
+    answers = ledger.join(given, ["note_id", "stage"])
+    old = F.when(F.col("note_id").cast("long") % 3 == 0, F.lit("older")).otherwise(F.col("request_id"))
+    answers = answers.select("note_id", "stage", old.alias("request_id"), "response")
+    return rq.open_requests(ledger, answers).select("note_id", "stage", "request_id")
+
+
+def q_interval_overlaps(i):
+    """Each order's interval against the patient's spans of two
+    administrations: free intervals, neither on a grid."""
+    orders = i.orders.select("mrn", "order_start_date", "order_end_date", "refills").distinct()
+    given = i.administered.select("mrn", F.col("taken_time").cast("date").alias("given")).distinct()
+    in_order = W.partitionBy("mrn").orderBy("given")
+    stays = given.withColumn("until", F.lead("given").over(in_order)).filter(F.dayofmonth("given") % 3 == 0)
+    pairs = interval_join(orders, stays, ["mrn"], ("order_start_date", "order_end_date"), ("given", "until"))
+    days = F.date_diff("overlap_end", "overlap_start") + 1
+    return pairs.groupBy("mrn").agg(F.count("*").alias("pairs"), F.sum(days).alias("days"), F.count_if(F.col("overlap_end").isNull()).alias("open_pairs"), F.min("overlap_start").alias("first_overlap"))
 
 
 def q_llm_responses(i, t):
@@ -580,6 +606,7 @@ _WITH_TABLES = {
     "relative_time": q_relative_time,
     "llm_requests": q_llm_requests,
     "llm_responses": q_llm_responses,
+    "request_ledger": q_request_ledger,
 }
 
 _PLAIN = {
@@ -622,6 +649,7 @@ _PLAIN = {
     "point_coverage": q_point_coverage,
     "interval_coverage": q_interval_coverage,
     "refill_coverage": q_refill_coverage,
+    "interval_overlaps": q_interval_overlaps,
     "coverage_flags": q_coverage_flags,
     "coverage_matrix": q_coverage_matrix,
     "parallel_rows": q_parallel_rows,

@@ -23,6 +23,7 @@ from ..operators.notes import (
     mention_filter,
     resolve_cohort,
     with_first_mention,
+    with_position,
 )
 from ..operators.shift import detect_shift, shift_matrix
 from ..operators.matrix import bucket_elapsed, bucket_rollup, rollup_to_long
@@ -77,7 +78,8 @@ def stage1_mentions(i: StudyInputs, m: MentionSpec = MentionSpec()) -> DataFrame
 
 def stage1_notes(i: StudyInputs, m: MentionSpec = MentionSpec()) -> DataFrame:
     """Stage 1: mentions -> first-mention anchor -> lookback -> dedup -> chunks."""
-    anchored = anchor_lookback(with_first_mention(stage1_mentions(i, m)), m.lookback_months)
+    # The written mentions' positions, taken before a join hides them.
+    anchored = anchor_lookback(with_first_mention(with_position(stage1_mentions(i, m))), m.lookback_months)
     return chunk_text(dedup_rows(anchored), m.max_chars)
 
 

@@ -21,21 +21,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.notes import chunk_text, mention_filter
-from ..sources.sinks import checkpoint_dir
+from ..sources.sinks import checkpoint_dir, publish, vacuum
 from ..spec import DEFAULT_KEYWORDS, DEFAULT_MAX_CHARS, DEFAULT_NOTE_FLOOR
 
 
-def mention_chunks(
-    notes: DataFrame,
-    cohort_ids: DataFrame,
-    keywords: Iterable[str] = DEFAULT_KEYWORDS,
-    floor: str | None = DEFAULT_NOTE_FLOOR,
-    max_chars: int = DEFAULT_MAX_CHARS,
-) -> DataFrame:
-    """Streaming-safe stage 1: cohort mention rows, chunked."""
-    return chunk_text(mention_filter(notes, cohort_ids, keywords, floor), max_chars)
-
-
 def first_mentions(mentions: DataFrame) -> DataFrame:
     """Per patient the earliest mention date (state: one row per mrn)."""
     return mentions.groupBy("mrn").agg(F.min("contact_date").alias("medication_start_date"))
@@ -60,7 +49,8 @@ def start_mention_stream(
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """Start two queries over a folder of note parquet files: chunked
     mention rows appended to ``chunks_path``, and the first-mention table
-    rewritten at ``anchors_path`` after every micro-batch."""
+    published as a new version of ``anchors_path`` after every micro-batch
+    (``sources.sinks.read_stage`` reads the latest; older ones go)."""
     notes = spark.readStream.schema(schema).parquet(source_dir)
     hits = mention_filter(notes, cohort_ids, keywords, floor)
     chunks = chunk_text(hits, max_chars)
@@ -76,7 +66,8 @@ def start_mention_stream(
     ).start()
 
     def write_anchors(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(anchors_path)
+        publish(batch, anchors_path)
+        vacuum(spark, anchors_path, keep=2)
 
     q2 = trig(
         first_mentions(hits)

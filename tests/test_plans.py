@@ -60,3 +60,29 @@ def test_no_cross_or_nested_loop_joins(spark):
     for key, fn in queries().items():
         plan = _plan(fn(spark, SF_SMALL))
         assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan), key
+
+
+@pytest.mark.parametrize("key", ["dedup_rows", "mention_notes", "baseline_notes"])
+def test_texts_are_not_shuffled(spark, key):
+    """Late materialisation: chosen and repeated rows are found by narrow
+    columns, and the scan of the texts meets broadcasts only."""
+    df = queries()[key](spark, SF_SMALL)
+    df.collect()
+    lines = _plan(df).split("\n")
+    for line, child in zip(lines, lines[1:]):
+        if re.search(r"Exchange \w+partitioning", line):
+            assert not re.search(r"\btext#|note_text", line + child), line + child
+    assert not any("SortAggregate" in line or "SortMergeJoin" in line for line in lines)
+
+
+def test_requests_shuffle_ids_before_texts(spark):
+    from cohortgrid.operators import requests as rq
+    from cohortgrid.sources import fixtures as fx
+    from cohortgrid.sources.tables import Tables
+
+    notes = fx.clinical_notes(Tables(spark, SF_SMALL))
+    given = fx.note_responses(notes)
+    ledger = rq.open_requests(rq.request_ledger(notes, given), given)
+    assert ledger.columns == ["note_id", "stage", "request_id"] or set(ledger.columns) == {"note_id", "stage", "request_id"}
+    for node in re.findall(r"Exchange[^\n]*", _plan(ledger)):
+        assert "note_text" not in node

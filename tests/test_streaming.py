@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortgrid.operators import notes as nt
 from cohortgrid.sources import fixtures as fx
+from cohortgrid.sources.sinks import read_stage
 from cohortgrid.sources.tables import Tables
 from cohortgrid.streaming.notes import start_mention_stream
 from conftest import SF_SMALL
@@ -30,6 +31,6 @@ def test_stream_matches_batch(spark):
     exp = nt.chunk_text(nt.mention_filter(notes, ids, fx.FIXTURE_KEYWORDS), fx.FIXTURE_MAX_CHARS)
     cols = ["patient_id", "note_id", "note_text", "mrn"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, exp.select(cols).collect()))
-    anchors = {r["mrn"]: r["medication_start_date"] for r in spark.read.parquet(os.path.join(root, "anchors")).collect()}
+    anchors = {r["mrn"]: r["medication_start_date"] for r in read_stage(spark, os.path.join(root, "anchors")).collect()}
     batch = {r["mrn"]: r["medication_start_date"] for r in nt.with_first_mention(nt.mention_filter(notes, ids, fx.FIXTURE_KEYWORDS)).select("mrn", "medication_start_date").distinct().collect()}
     assert anchors == batch
