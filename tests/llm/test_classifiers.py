@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortgrid.llm import quality_classifier, toxicity
-from cohortgrid.llm.logistic import fit, predict, sigmoid
+from cohortgrid.llm.logistic import fit, fit_values, predict, sigmoid
 from llm.conftest import DOCUMENTS, odd_rows, prose
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -42,6 +42,81 @@ def test_logistic_regression_finds_its_coefficients():
     assert predict(np.array([1.0, 2]), np.array([[3.0]])) == [5]
 
 
+def test_fit_of_values_equals_the_dense_fit():
+    r = np.random.default_rng(1)
+    at = np.c_[r.integers(0, 4, 900), 4 + r.integers(0, 30, 900)]
+    dense = np.zeros((900, 34))
+    dense[np.arange(900)[:, None], at] = 1
+    y = (r.random(900) < sigmoid(at[:, 0] - 1.5 + (at[:, 1] % 3))).astype(float)
+    assert np.abs(fit_values(at, y, 34) - fit(dense, y)).max() < 1e-3
+    assert (fit_values(np.zeros((0, 2), np.int64), np.zeros(0), 0) == [0]).all()
+
+
+def test_many_sources_keep_apart():
+    """A weight for each value, however many there are."""
+    values = quality_classifier.metadata_values([[f"site{k}" for k in range(5000)] * 4])
+    label = np.array([k % 2 for k in range(5000)] * 4)
+    model = quality_classifier.ValueModel.fitted(values, label)
+    assert ((model.logits(values) > 0) == label).all()
+    assert model.logits(quality_classifier.metadata_values([["unseen"]]))[0] == model.weights[-1]
+
+
+def feature_rows(n):
+    """Rows whose sureness grows with their number."""
+    r = np.random.default_rng(3)
+    return [(k, [float(k)] + [0.0] * (len(quality_classifier.TEXT_FEATURES) - 1), [int(r.integers(0, 50)), k % 9]) for k in range(n)]
+
+
+def brute_force_surest(rows, model, given, sure, per_round):
+    """The whole pool in memory."""
+    key, text, meta = np.array([r[0] for r in rows]), np.array([r[1] for r in rows]), np.array([r[2] for r in rows])
+    out = {}
+    for other, logits in zip((1, 0), model.views(text, meta), strict=True):
+        for value, p in ((1, sigmoid(logits)), (0, 1 - sigmoid(logits))):
+            able = [(-c, k) for c, k in zip(p.tolist(), key.tolist(), strict=True) if c >= sure and k not in given[other]]
+            out[other, value] = [k for _, k in sorted(able)[:per_round]]
+    return {k: v for k, v in out.items() if v}
+
+
+def test_surest_rows_of_a_pool_beyond_20000(spark):
+    """The deciding rows are the last of 30,000; ties go by key."""
+    rows = feature_rows(30_000)
+    n = len(quality_classifier.TEXT_FEATURES)
+    text = np.r_[0.001, np.zeros(n - 1), -12.0]
+    values = quality_classifier.ValueModel(np.arange(50), np.r_[np.linspace(-4, 4, 50), 0.0, 0.0])
+    model = quality_classifier.Model(np.zeros(n), np.ones(n), text, values, np.zeros(3), 0.5)
+    pool = spark.createDataFrame(rows, "key long, text array<double>, meta array<long>").repartition(6)
+    for given in ([np.zeros(0, np.int64)] * 2, [np.arange(29_900, 29_990), np.arange(29_950, 30_000)]):
+        for per_round in (7, 400):
+            got = quality_classifier.surest_rows(pool, model, given, 0.95, per_round)
+            assert {(o, v): k.tolist() for o, k, _, _, v in got} == brute_force_surest(rows, model, [set(g.tolist()) for g in given], 0.95, per_round)
+            assert all(t[:, 0].tolist() == [float(k) for k in keys] for _, keys, t, _, _ in got)
+    assert 29_999 in quality_classifier.surest_rows(pool, model, [np.zeros(0, np.int64)] * 2, 0.95, 7)[0][1]
+
+
+def test_training_equals_brute_force(spark, tables):
+    """The model of the distributed rounds is that of a pool in memory."""
+    docs, labels, _ = tables
+    some = labels.filter("doc_id < 300")
+    got = quality_classifier.train(docs, some, rounds=3, sure=0.8, per_round=40)
+    real, seen = quality_classifier.surest_rows, []
+
+    def in_memory(pool, model, given, sure, per_round):
+        rows = [(r.key, r.text, r.meta) for r in pool.collect()]
+        by_key = {r[0]: r for r in rows}
+        found = brute_force_surest(rows, model, [set(g.tolist()) for g in given], sure, per_round)
+        seen.append(sum(map(len, found.values())))
+        return [(o, np.array(ks), np.array([by_key[k][1] for k in ks]), np.array([by_key[k][2] for k in ks]), v) for (o, v), ks in found.items()]
+
+    quality_classifier.surest_rows = in_memory
+    try:
+        want = quality_classifier.train(docs, some, rounds=3, sure=0.8, per_round=40)
+    finally:
+        quality_classifier.surest_rows = real
+    assert len(seen) == 3 and min(seen) > 0
+    assert np.allclose(got.text, want.text) and np.allclose(got.meta.weights, want.meta.weights) and np.allclose(got.joint, want.joint)
+
+
 def test_quality_on_rows_without_labels(tables):
     docs, labels, truth = tables
     model = quality_classifier.train(docs, labels.filter("doc_id % 2 = 0"))
