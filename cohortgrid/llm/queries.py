@@ -130,22 +130,24 @@ _SECRETS = r"""
     kept as (
         select * from valued where length(v) >= least
         and (kind < 3 or (regexp_matches(v, '[a-z]') and regexp_matches(v, '[A-Z]') and regexp_matches(v, '[0-9]')))),
-    owners as (select v, count(distinct coalesce(source, chr(1))) as n_owners from kept group by v),
-    judged as (select k.*, n_owners from kept k join owners using (v)),
+    owners as (
+        select v, count(distinct coalesce(source, chr(1))) as n_owners, count(distinct (coalesce(source, chr(1)), coalesce(lang, chr(1)))) as n_repositories
+        from kept group by v),
+    judged as (select k.*, n_owners <= 1 and n_repositories <= 2 as live, n_owners <= 1 and n_repositories > 2 as spread from kept k join owners using (v)),
     listed as (
         select * from judged j where kind < 3
         union all
-        select * from judged j where kind = 3 and n_owners <= 1 and not exists (
+        select * from judged j where kind = 3 and live and not exists (
             select 1 from judged b where b.doc_id = j.doc_id and b.kind < 3 and b.s < j.e and j.s < b.e)),
     per_doc as (
         select doc_id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access, count(*) filter (kind = 2) as n_hex,
                string_agg(name || ':' || s || ':' || e, ',' order by s, kind) filter (kind < 3) as base,
                string_agg(name || ':' || s || ':' || e, ',' order by s, kind) as spans,
-               count(*) filter (n_owners <= 1) as n_live, count(*) filter (n_owners > 1) as n_copied
+               count(*) filter (live) as n_live, count(*) filter (not live) as n_copied, count(*) filter (spread) as n_spread
         from listed group by doc_id)
     select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
            sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans,
-           coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
+           coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied, coalesce(n_spread, 0) as n_spread
     from documents left join per_doc using (doc_id)"""
 
 _SEARCH = r"""
@@ -247,7 +249,7 @@ def oracle_sql() -> dict[str, str]:
             rates as (select source, case when size > 0 then sqrt(size) / sum(sqrt(size)) over () * sum(size) over () / size else 1.0 end as rate from sizes),
             terms as (select source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 40)::bigint + 1)) as k from rates),
             cdf as (select source, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) over (partition by source order by k) as c from terms),
-            drawn as (select *, ('0x' || substr(md5('0:' || doc_id), 1, 13))::bigint / 4503599627370496.0 as u from documents),
+            drawn as (select *, ('0x' || substr(md5('0:' || doc_id || ':' || md5(coalesce(text, ''))), 1, 13))::bigint / 4503599627370496.0 as u from documents),
             counts as (select doc_id, count(*) as n from drawn join cdf on drawn.source is not distinct from cdf.source and c <= u group by doc_id)
             select d.*, unnest(range(1, n + 1)) as mix_copy from documents d join counts using (doc_id)""",
         "op8_exact_dedup": r"""

@@ -99,19 +99,28 @@ def _count_of(kind: int) -> Column:
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
 
 
-def _scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int, id_col: str, text_col: str) -> DataFrame:
+def _clear(judged: DataFrame) -> Column:
+    """Whether a span overlaps no base span of its row: of the base spans
+    that start up to it none reaches it, and the next starts behind it."""
+    is_base = F.col("kind") < len(BASE_KINDS)
+    by_start = W.partitionBy("uid").orderBy("start")
+    reach = F.max(F.when(is_base, F.col("end"))).over(by_start.rangeBetween(W.unboundedPreceding, W.currentRow))
+    following = F.min(F.when(is_base, F.col("start"))).over(by_start.rangeBetween(1, W.unboundedFollowing))
+    return (F.coalesce(reach, F.col("start")) <= F.col("start")) & (F.coalesce(following, F.col("end")) >= F.col("end"))
+
+
+def _scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int, max_repositories: int, id_col: str, text_col: str) -> DataFrame:
     base = written(_candidates(docs, id_col, text_col, owner, repository), "secret-candidates")
     spans = _spans(base)
     salt = F.pmod(F.xxhash64("uid"), F.lit(SALTS))
-    frequency = ownership(spans).select("hash", "n_owners", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    frequency = ownership(spans).select("hash", "n_owners", "n_repositories", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
     judged = spans.withColumn("salt", salt).join(frequency, ["hash", "salt"])
-    span = F.struct("start", "kind", "end", (F.col("n_owners") <= max_owners).alias("live"))
-    per_doc = judged.groupBy("uid").agg(F.collect_list(span).alias("all"))
-    added = len(BASE_KINDS)
-    base_spans = F.filter("all", lambda s: s["kind"] < added)
-    clear = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    per_doc = per_doc.select("uid", "all", base_spans.alias("base"))
-    per_doc = per_doc.select("uid", "base", F.concat("base", F.filter("all", lambda s: (s["kind"] == added) & s["live"] & clear(s))).alias("listed"))
+    owned, spread = F.col("n_owners") <= max_owners, F.col("n_repositories") > max_repositories
+    judged = judged.select("uid", "start", "kind", "end", (owned & ~spread).alias("live"), (owned & spread).alias("spread"))
+    judged = judged.withColumn("listed", (F.col("kind") < len(BASE_KINDS)) | (F.col("live") & _clear(judged)))
+    listed = judged.filter("listed")
+    per_doc = listed.groupBy("uid").agg(F.collect_list(F.struct("start", "kind", "end", "live", "spread")).alias("listed"))
+    per_doc = per_doc.withColumn("base", F.filter("listed", lambda s: s["kind"] < len(BASE_KINDS)))
     per_doc = per_doc.select(
         "uid",
         *(_count_of(k).alias(f"n_{kind}") for k, (kind, _, _) in enumerate(BASE_KINDS)),
@@ -119,6 +128,7 @@ def _scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int, i
         _joined(F.col("listed")).alias("spans"),
         F.size(F.filter("listed", lambda s: s["live"])).cast("long").alias("n_live"),
         F.size(F.filter("listed", lambda s: ~s["live"])).cast("long").alias("n_copied"),
+        F.size(F.filter("listed", lambda s: s["spread"])).cast("long").alias("n_spread"),
     )
     counts = [f"n_{kind}" for kind, _, _ in BASE_KINDS]
     out = base.select("uid", "id").join(per_doc, "uid", "left")
@@ -127,19 +137,21 @@ def _scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int, i
         *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts),
         F.coalesce("base_sha256", F.sha2(F.lit(""), 256)).alias("base_sha256"),
         F.coalesce("spans", F.lit("")).alias("spans"),
-        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_copied")),
+        *(F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_live", "n_copied", "n_spread")),
     )
 
 
-def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int = 1, max_repositories: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: (id, n_assign, n_access, n_hex, base_sha256,
-    spans, n_live, n_copied).
+    spans, n_live, n_copied, n_spread).
 
-    ``base_sha256`` digests the base spans whatever the frequencies say.
-    ``spans`` lists the base spans and the added ones: mixed tokens outside
-    base spans that at most ``max_owners`` owners hold. ``n_live`` counts
-    listed candidates with at most ``max_owners`` owners, ``n_copied`` the
-    listed ones with more.
+    A candidate is live if at most ``max_owners`` owners hold its value, in
+    at most ``max_repositories`` of their repositories (a repository belongs
+    to its owner), else copied. ``base_sha256`` digests the base spans whatever
+    the frequencies say. ``spans`` lists the base spans and the added ones:
+    live mixed tokens outside base spans. ``n_live`` and ``n_copied`` count
+    the listed candidates of either kind, ``n_spread`` those copied ones that
+    few owners hold in too many repositories.
 
     A null text is empty, and a text without candidates has counts of 0 and
     empty lists. Ids may be null or repeated: rows are kept apart. Other
@@ -147,4 +159,4 @@ def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners:
     their span from keyword to value; their hash is the value's.
     """
     with scratch(docs.sparkSession):
-        return kept(_scan(docs, owner, repository, max_owners, id_col, text_col), "secret-result")
+        return kept(_scan(docs, owner, repository, max_owners, max_repositories, id_col, text_col), "secret-result")
