@@ -315,12 +315,12 @@ def _patients(i):
     return stages.stage2_long(i).patients
 
 
-def _stage4(i):
-    return stages.stage4_long(i, stages.stage2_long(i))
+def _stage4(i, write=True):
+    return stages.stage4_long(i, stages.stage2_long(i), write=write)
 
 
 def _stage5(i):
-    return stages.stage5_long(i, _stage4(i), PATTERN)
+    return stages.stage5_long(i, _stage4(i, write=False), PATTERN)
 
 
 def _shifts(i):

@@ -119,9 +119,11 @@ def stage3_notes(i: StudyInputs, m: LongMatrix, b: BaselineSpec = BaselineSpec()
     return baseline_notes(i.notes, m.patients, i.mapping, b.days, b.note_types, b.max_chars)
 
 
-def stage4_long(i: StudyInputs, m: LongMatrix, spec: MatrixSpec = FULL_SPEC) -> LongMatrix:
+def stage4_long(i: StudyInputs, m: LongMatrix, spec: MatrixSpec = FULL_SPEC, write: bool = True) -> LongMatrix:
+    """The extended matrix; its cells are written unless only one plan
+    (stage 5) goes on from them."""
     out = extend_matrix(m, i.prior_outputs, i.mapping, spec)
-    return out.with_cells(materialize(out.cells, "stage4_cells"))
+    return out.with_cells(materialize(out.cells, "stage4_cells")) if write else out
 
 
 def stage4_matrix(m: LongMatrix) -> DataFrame:

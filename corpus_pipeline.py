@@ -31,10 +31,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def _rows_of(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
     """The documents whose id (null or not) and text key are in ``kept``;
-    rows that agree in both are one. Both steps use one shuffle."""
+    rows that agree in both are one, the first by a hash of their other
+    columns. Both steps use one shuffle."""
     keyed = docs.select(*COLUMNS, key.alias("text_key"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id_key"))
     wanted = kept.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id_key"), "text_key")
-    return keyed.join(wanted, ["id_key", "text_key"], "left_semi").dropDuplicates(["id_key", "text_key"]).select(*COLUMNS)
+    rest = ("lang", "source", "n_chars")
+    first = F.min_by(F.struct(*COLUMNS), F.struct(F.xxhash64(*rest), *rest)).alias("row")
+    return keyed.join(wanted, ["id_key", "text_key"], "left_semi").groupBy("id_key", "text_key").agg(first).select("row.*")
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
