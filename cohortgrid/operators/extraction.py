@@ -123,25 +123,27 @@ def evidence_spans(entries: DataFrame, notes: DataFrame, quote_col: str = "evide
 
 def response_contract(replies: DataFrame, cols: Iterable[str] = ("extracted_llm", "val_llm")) -> DataFrame:
     """L2: per reply column: replies, unparsable replies, entries, and the
-    entries breaking each rule (verdict, severity, M/D/YY date). One
-    grouped aggregate over the stacked reply columns."""
-    stacked = replies.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("source"), F.col(c).alias("raw")) for c in cols])).alias("r")
-    ).select("r.*")
-    parsed = stacked.withColumn("__p", parse_payload("raw", ENTRY_SCHEMA))
-    e = parsed.select("source", "raw", "__p", F.posexplode_outer("__p").alias("pos", "e"))
-    has_e = F.col("e").isNotNull()
-    ok_time = F.col("e.time").isNull() | F.col("e.time").rlike(MDYY_PATTERN)
-    return e.groupBy("source").agg(
-        F.count_if(F.col("raw").isNotNull() & F.coalesce(F.col("pos") == 0, F.lit(True))).alias("replies"),
-        F.count_if(F.col("raw").isNotNull() & F.col("__p").isNull()).alias("unparsable"),
-        F.count_if(has_e).alias("entries"),
-        F.count_if(has_e & ~F.coalesce(F.col("e.present").isin(list(VERDICTS)), F.lit(False))).alias("bad_present"),
-        F.count_if(
-            has_e & ~F.coalesce(F.col("e.severity_level").isin(list(SEVERITIES)), F.lit(False))
-        ).alias("bad_severity"),
-        F.count_if(has_e & ~ok_time).alias("bad_time"),
-    )
+    entries breaking each rule (verdict, severity, M/D/YY date). One pass:
+    each reply is parsed once, its entries are counted in their array, and
+    one aggregate sums up all columns. An empty table gives no rows."""
+    cols = list(cols)
+    parsed = replies.select(*(c for k, name in enumerate(cols) for c in (F.col(name).isNotNull().alias(f"__has{k}"), parse_payload(name, ENTRY_SCHEMA).alias(f"__p{k}"))))
+    breaks = {
+        "bad_present": lambda e: ~F.coalesce(e["present"].isin(list(VERDICTS)), F.lit(False)),
+        "bad_severity": lambda e: ~F.coalesce(e["severity_level"].isin(list(SEVERITIES)), F.lit(False)),
+        "bad_time": lambda e: e["time"].isNotNull() & ~e["time"].rlike(MDYY_PATTERN),
+    }
+    counts = []
+    for k in range(len(cols)):
+        has, entries = F.col(f"__has{k}"), F.filter(f"__p{k}", lambda e: e.isNotNull())
+        total = lambda n: F.coalesce(F.sum(F.coalesce(n, F.lit(0)).cast("long")), F.lit(0))
+        own = {"replies": F.count_if(has), "unparsable": F.count_if(has & F.col(f"__p{k}").isNull()), "entries": total(F.size(entries))}
+        own |= {name: total(F.size(F.filter(entries, wrong))) for name, wrong in breaks.items()}
+        counts += [c.alias(f"{name}{k}") for name, c in own.items()]
+    summed = parsed.agg(F.count(F.lit(1)).alias("__rows"), *counts).filter("__rows > 0")
+    names = ("replies", "unparsable", "entries", *breaks)
+    rows = F.array(*(F.struct(F.lit(c).alias("source"), *(F.col(f"{name}{k}").alias(name) for name in names)) for k, c in enumerate(cols)))
+    return summed.select(F.inline(rows))
 
 
 def positive_only(entries: DataFrame) -> DataFrame:

@@ -36,6 +36,15 @@ def pick_entry(arr: str | Column, phenotype: str = "Diarrhea", match: str = "exa
     return F.get(hit, 0)
 
 
+def explode_entries(replies: DataFrame, cols: Iterable[str], schema: DataType, id_col: str = "note_id") -> DataFrame:
+    """C9, all entries instead of the first: (id, pos, the entry's fields),
+    numbered through the reply columns in their order. A reply that is missing
+    or can't be parsed has none and leaves the others."""
+    none = F.array().cast(schema)
+    lists = [F.coalesce(parse_payload(c, schema), none) for c in cols]
+    return replies.select(id_col, F.posexplode(F.concat(*lists)).alias("pos", "e")).select(id_col, "pos", "e.*")
+
+
 def parse_llm_outputs(raw: DataFrame, phenotype: str = "Diarrhea") -> DataFrame:
     """C7-C10 on the three reply columns: enrollment fields, and extractor /
     validator present, severity and time of the picked entry."""
@@ -75,10 +84,10 @@ def merge_verdicts(df: DataFrame) -> DataFrame:
 
 
 def merge_audit(merged: DataFrame) -> DataFrame:
-    """C11 audit: rows per (extractor, validator, merged) verdict."""
-    return merged.groupBy("extractor_present", "validator_present", "diarrhea_present").agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """C11 audit: rows per (extractor, validator, merged) verdict, sorted
+    (O2); the rows are as few as the verdicts."""
+    verdicts = ["extractor_present", "validator_present", "diarrhea_present"]
+    return merged.groupBy(*verdicts).agg(F.count(F.lit(1)).alias("n")).orderBy(*verdicts)
 
 
 def observation_date(df: DataFrame, time_col: str = "extractor_time", fallback: str | None = None) -> DataFrame:

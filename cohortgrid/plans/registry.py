@@ -474,12 +474,8 @@ def q_validated_entries(i, t):
 
 
 def _entries(i):
-    """The entries of both replies; a reply that is missing or can't be
-    parsed has none."""
-    none = F.array().cast(ENTRY_SCHEMA)
-    lists = [F.coalesce(vd.parse_payload(c, ENTRY_SCHEMA), none) for c in ("extracted_llm", "val_llm")]
-    both = materialize(i.llm_outputs.select("note_id", F.concat(*lists).alias("a")), "reply_entries")
-    return both.select("note_id", F.posexplode("a").alias("pos", "e")).select("note_id", "pos", "e.*")
+    """The entries of both replies, written once."""
+    return materialize(vd.explode_entries(i.llm_outputs, ("extracted_llm", "val_llm"), ENTRY_SCHEMA), "reply_entries")
 
 
 def q_positive_only(i):

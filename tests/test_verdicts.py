@@ -83,3 +83,35 @@ def test_enrollment_gate(spark):
     assert gate == {"a": (d(2023, 12, 1), d(2024, 6, 1))}
     audit = vd.enrollment_audit(r).collect()[0]
     assert (audit["total"], audit["enrolled"], audit["dropped"]) == (4, 1, 3)
+
+
+def test_explode_entries(spark):
+    from cohortgrid.operators.verdicts import explode_entries
+    from cohortgrid.spec import ENTRY_SCHEMA
+
+    one, two = '[{"phenotype": "A"}]', '```json\n[{"phenotype": "B", "time": "1/2/24"}, {"phenotype": "C"}]\n```'
+    df = spark.createDataFrame([("n", two, one), ("m", None, two), ("x", "no json", None), ("y", "[]", '{"phenotype": "D"}')], "note_id string, a string, b string")
+    got = sorted((r.note_id, r.pos, r.phenotype, r.time) for r in explode_entries(df, ("a", "b"), ENTRY_SCHEMA).collect())
+    assert got == [("m", 0, "B", "1/2/24"), ("m", 1, "C", None), ("n", 0, "B", "1/2/24"), ("n", 1, "C", None), ("n", 2, "A", None), ("y", 0, "D", None)]
+
+
+def test_audits_are_sorted(spark):
+    from cohortgrid.operators.matrix import bucket_audit
+    from cohortgrid.operators.verdicts import merge_audit
+
+    rows = [(a, b, a) for a in ("Yes", "No", None) for b in ("Yes", None, "No")] * 2
+    got = [tuple(r) for r in merge_audit(spark.createDataFrame(rows, "extractor_present string, validator_present string, diarrhea_present string")).collect()]
+    assert got == sorted(got, key=lambda r: tuple((x is not None, x) for x in r)) and {r[3] for r in got} == {2}
+    df = spark.createDataFrame([(f"{k}_months", s) for k in (12, -6, 6, 0) for s in ("Yes", "No")], "time_bucket_label string, diarrhea_status string")
+    assert [tuple(r)[:2] for r in bucket_audit(df).collect()] == [(f"{k}_months", s) for k in (-6, 0, 6, 12) for s in ("No", "Yes")]
+
+
+def test_contract_counts(spark):
+    from cohortgrid.operators.extraction import response_contract
+
+    good = '[{"present": "Yes", "severity_level": "1", "time": "1/2/24"}]'
+    bad = '[{"present": "yes", "severity_level": "5", "time": "1/2/2024"}, {"present": null, "severity_level": "N/A", "time": null}]'
+    df = spark.createDataFrame([(good, bad), ("no", None), (None, "[]")], "a string, b string")
+    got = {r.source: tuple(r)[1:] for r in response_contract(df, ("a", "b")).collect()}
+    assert got == {"a": (2, 1, 1, 0, 0, 0), "b": (2, 0, 2, 2, 1, 1)}
+    assert response_contract(df.limit(0), ("a", "b")).count() == 0
