@@ -804,7 +804,7 @@ SQL["passage_extract"] = _with(
     "(select note_id, string_agg(said, ' ' order by ord) as p from note_said where drug = 1 group by note_id) d on v.note_id = d.note_id",
 )
 SQL["passage_spans"] = _with(
-    ["note_said"], 'select note_id, s_start as "start", s_start + length(said) as "end", said as passage from note_said where drug = 1'
+    ["note_said"], 'select note_id, cast(s_start as integer) as "start", cast(s_start + length(said) as integer) as "end", said as passage from note_said where drug = 1'
 )
 D["phrase"] = (
     "select p, max(mention + isolated) > 0 as stated, case when max(severity) > 0 then cast(max(severity) as varchar) else 'N/A' end as level, "
