@@ -28,6 +28,7 @@ from cohortgrid.llm.arrays import row_slices, utf8
 from cohortgrid.llm.logistic import fit, labelled_sample, one_per_id, predict, sigmoid
 from cohortgrid.llm.ngram_join import shingle_sets
 from cohortgrid.llm.recent import Recent
+from cohortgrid.llm.storage import scratch, written
 
 # Seed words by class.
 INSULTS = "idiot moron stupid scum trash loser pathetic worthless disgusting".split()
@@ -91,12 +92,12 @@ def clause_events(codes: list[tuple[int, float]]) -> np.ndarray:
     with END marks, and the largest sum of one clause. A target after the
     hit in the same clause counts too."""
     total, largest = np.zeros(len(EVENTS)), 0.0
-    state, hits, target = 0, [], False
+    state, hits, aimed = 0, [], 0  # the first ``aimed`` hits have a target behind them
 
     def close() -> float:
         weight = 0.0
-        for (h, t, n, r), w in hits:
-            total[EVENT_OF[(h, max(t, int(target)), n, r)]] += w
+        for k, ((h, t, n, r), w) in enumerate(hits):
+            total[EVENT_OF[(h, max(t, int(k < aimed)), n, r)]] += w
             weight += w * (1 - 0.5 * n) * (1 - 0.5 * r)
         hits.clear()
         return weight
@@ -107,9 +108,9 @@ def clause_events(codes: list[tuple[int, float]]) -> np.ndarray:
         if output[0]:
             hits.append((output, w))
         elif c == TARGET:
-            target = target or bool(hits)
+            aimed = len(hits)
         elif c == END:
-            largest, target = max(largest, close()), False
+            largest, aimed = max(largest, close()), 0
     largest = max(largest, close())
     return np.r_[np.log1p(total), math.log1p(largest)]
 
@@ -225,9 +226,14 @@ class Model:
 def train(docs: DataFrame, labels: DataFrame, only, label_col: str = "toxic", max_labelled: int = 20_000, max_stems: int = 2_000, chance: float = 0.01, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """A model from at most ``max_labelled`` labelled rows for whose id
     ``only`` holds, one row of each id. Without labels the fixed words and prior weights hold."""
-    sample = labelled_sample(labels, label_col, max_labelled, id_col, only)
+    with scratch(docs.sparkSession):
+        return _train(docs, labelled_sample(labels, label_col, max_labelled, id_col, only), max_stems, chance, id_col, text_col)
+
+
+def _train(docs: DataFrame, sample: DataFrame, max_stems: int, chance: float, id_col: str, text_col: str) -> Model:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = one_per_id(rows.join(F.broadcast(sample), "id"))  # bounded by max_labelled
+    # Bounded by max_labelled; written, so that the documents are read once.
+    rows = written(one_per_id(rows.join(F.broadcast(sample), "id")), "toxicity-sample")
     stems = dict.fromkeys(INSULTS, 1.0) | learn_stems(rows, max_stems, chance)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,8 +244,9 @@ def train(docs: DataFrame, labels: DataFrame, only, label_col: str = "toxic", ma
                 yield pa.record_batch([part.column(0), part.column(2), pa.array(lexicon.features(part.column(1).to_pylist()).tolist(), pa.list_(pa.float64()))], ["id", "label", "features"])
 
     got = rows.select("id", "text", "label").mapInArrow(features, "id long, label int, features array<double>").toArrow()
-    x = np.array(got.column(2).to_pylist(), float).reshape(-1, len(EVENTS) + 1)
-    return Model(Lexicon(stems), fit(x, got.column(1).to_numpy().astype(float), prior=PRIOR, ridge=0.5))
+    order = np.argsort(got.column(0).to_numpy())
+    x = np.array(got.column(2).to_pylist(), float).reshape(-1, len(EVENTS) + 1)[order]
+    return Model(Lexicon(stems), fit(x, got.column(1).to_numpy()[order].astype(float), prior=PRIOR, ridge=0.5))
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -176,6 +177,49 @@ def test_grammar_reads_hits_inside_a_piece():
         assert {e for e, v in zip(toxicity.EVENTS, x, strict=False) if v > 0} == {event}
 
 
+def brute_force_score(text, stems, coefficients):
+    """Clause by clause: every hit with all words that could reach it."""
+    groups = {"threat": toxicity.THREATS, "target": toxicity.TARGETS, "negation": toxicity.NEGATIONS, "report": toxicity.REPORTS}
+    clauses = [[]]
+    for piece in (text or "").lower().replace("\n", " | ").split():
+        found = re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)?", piece)
+        marks = []
+        for word in (w.replace("’", "'") for w in found):
+            weights = [w for stem, w in stems.items() if word.startswith(stem)]
+            kind = "insult" if weights else next((k for k, ws in groups.items() if word in ws), None)
+            if kind:
+                marks.append((kind, max(weights, default=1.0)))
+        ends = not found or re.search(r"[.,;:!?|)\]]\W*$", piece)
+        clauses[-1] += marks or ([] if ends else [("other", 0.0)])
+        if ends:
+            clauses.append([])
+    totals, largest = dict.fromkeys(toxicity.EVENTS, 0.0), 0.0
+    for clause in clauses:
+        kinds, weight = [k for k, _ in clause], 0.0
+        for i, (kind, w) in enumerate(clause):
+            if kind in ("insult", "threat"):
+                near = kinds[max(0, i - toxicity.SCOPE) : i]
+                targeted, negated, reported = "target" in near or "target" in kinds[i + 1 :], "negation" in near, "report" in kinds[:i]
+                totals[1 if kind == "insult" else 2, int(targeted), int(negated), int(reported)] += w
+                weight += w * (0.5 if negated else 1) * (0.5 if reported else 1)
+        largest = max(largest, weight)
+    z = coefficients[-1] + coefficients[-2] * np.log1p(largest) + sum(c * np.log1p(v) for c, v in zip(coefficients, totals.values()))
+    return 1 / (1 + np.exp(-z))
+
+
+def test_toxicity_equals_brute_force(spark, tables):
+    docs, labels, _ = tables
+    model = toxicity.train(docs, labels, lambda id_: id_ % 3 != 1)
+    r = random.Random(12)
+    some = [*toxicity.INSULTS[:4], *toxicity.THREATS[:3], *toxicity.TARGETS[:5], *toxicity.NEGATIONS[:6], *toxicity.REPORTS[:3], "zorba", "quaxish", "and", "the", "é", "12", "--", "isn’t"]
+    texts = [" ".join(r.choice(some) + r.choice(["", "", "", ".", ",", "!)", "\n", "/" + r.choice(some)]) for _ in range(r.randint(0, 40))) for _ in range(400)]
+    rows = [(k, t, "en", "a", 0) for k, t in enumerate(texts)] + odd_rows() + corpus()[0][:200]
+    got = toxicity.score(spark.createDataFrame(rows, DOCUMENTS), model).collect()
+    want = [brute_force_score(r[1], model.lexicon.stems, model.coefficients) for r in rows]
+    assert len(got) == len(rows) and np.allclose([g["score"] for g in got], want)
+    assert [g["predicted"] for g in got] == [int(w >= 0.7) for w in want]
+
+
 def test_toxicity_on_held_out_rows(tables):
     docs, labels, truth = tables
     model = toxicity.train(docs, labels, lambda id_: id_ % 3 != 1)
