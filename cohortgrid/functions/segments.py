@@ -102,13 +102,17 @@ def _starts(lengths: Column) -> Column:
     return let(blocks, lambda sums: let(before(sums), each))
 
 
-def _spans(tiles: Column, wanted: Callable[[Column], Column]) -> Column:
-    rows = F.zip_with(
-        tiles,
-        let(F.transform(tiles, F.length), _starts),
-        lambda t, s: F.struct((s + F.length(F.regexp_extract(t, rf"\A[{SPACE}]*", 0))).alias("start"), _stripped(t).alias("text")),
-    )
-    found = F.filter(rows, lambda r: _has_word(r["text"]) & wanted(r["text"]))
+def tiles(text: str | Column) -> Column:
+    """Array of (start, end, text) of the pieces of a text."""
+    placed = lambda t, s: F.struct(s.alias("start"), (s + F.length(t)).alias("end"), t.alias("text"))
+    return let(pieces(text), lambda p: F.zip_with(p, let(F.transform(p, F.length), _starts), placed)).cast(SPAN_TYPE)
+
+
+def tile_sentences(placed: Column, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """The sentences of an array of ``tiles``."""
+    lead = lambda t: F.length(F.regexp_extract(t["text"], rf"\A[{SPACE}]*", 0))
+    rows = F.transform(placed, lambda t: F.struct((t["start"] + lead(t)).alias("start"), _stripped(t["text"]).alias("text")))
+    found = F.filter(rows, (lambda r: _has_word(r["text"]) & wanted(r["text"])) if wanted else lambda r: _has_word(r["text"]))
     return F.transform(found, lambda r: F.struct(r["start"].alias("start"), (r["start"] + F.length(r["text"])).alias("end"), r["text"].alias("text")))
 
 
@@ -116,4 +120,4 @@ def sentence_spans(text: str | Column, wanted: Callable[[Column], Column] | None
     """Array of (start, end, text) of the sentences of a text that meet
     ``wanted`` (a condition on a sentence); offsets count code points, the
     end is exclusive. Null for a null text."""
-    return let(pieces(text), lambda tiles: _spans(tiles, wanted or (lambda s: F.lit(True)))).cast(SPAN_TYPE)
+    return tile_sentences(tiles(text), wanted).cast(SPAN_TYPE)

@@ -26,6 +26,9 @@ MDYY_PATTERN = r"^\d{1,2}/\d{1,2}/\d{2}$"
 
 # Date formats understood by the normalizer, tried in this order.
 DATE_INPUT_FORMATS = ("M/d/yy", "M/d/yyyy", "MMMM d, yyyy", "MMM d, yyyy", "MMMM yyyy", "MMM yyyy")
+# What a text must have for a format to fit. Trying one in vain costs an
+# exception, many times a match.
+DATE_SHAPES = {"M/d/yy": r"/\d\d\z", "M/d/yyyy": r"/.*\d{4}\z", "MMMM d, yyyy": r", .*\d{4}\z", "MMM d, yyyy": r", .*\d{4}\z", "MMMM yyyy": r" .*\d{4}\z", "MMM yyyy": r" .*\d{4}\z"}
 
 # Date mentions found in free text: numeric, "Month d, yyyy", "Mon[th] yyyy".
 MONTHS = "January|February|March|April|May|June|July|August|September|October|November|December"
@@ -67,7 +70,8 @@ def normalize_date(c: str | Column, formats: Iterable[str] = DATE_INPUT_FORMATS)
     """A date written in any known format, as M/d/yy text (month-year
     forms give the 1st); unknown text -> null."""
     c = _c(c)
-    parsed = F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    tried = lambda f: F.when(c.rlike(DATE_SHAPES[f]), F.try_to_date(c, f)) if f in DATE_SHAPES else F.try_to_date(c, f)
+    parsed = F.coalesce(*map(tried, formats))
     return F.date_format(parsed, "M/d/yy")
 
 

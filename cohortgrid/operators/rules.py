@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.segments import SPAN_TYPE, sentence_spans, sentences
+from ..functions.segments import SPAN_TYPE, let, sentence_spans, sentences
 from ..functions.text import contains_any
 from ..sources.sinks import materialize
 from ..spec import DEFAULT_KEYWORDS
@@ -91,10 +91,14 @@ def _first_rule(text: Column, rules: Iterable[tuple[str, str]], default: str | N
 def severity_level(evidence: str | Column, phenotype: str | Column | None = None, target: str = "diarrhea") -> Column:
     """The highest level 1-4 whose words stand in one sentence of the
     evidence, else "N/A"; other phenotypes N/A."""
-    parts = sentences(evidence)
-    level = F.lit("N/A")
-    for name, pattern in reversed(SEVERITY_RULES):
-        level = F.when(F.exists(parts, lambda s: s.rlike(pattern)), F.lit(name)).otherwise(level)
+
+    def highest(parts: Column) -> Column:
+        level = F.lit("N/A")
+        for name, pattern in reversed(SEVERITY_RULES):
+            level = F.when(F.exists(parts, lambda s: s.rlike(pattern)), F.lit(name)).otherwise(level)
+        return level
+
+    level = let(sentences(evidence), highest)
     if phenotype is None:
         return level
     return F.when(F.lower(_c(phenotype)).contains(target), level).otherwise(F.lit("N/A"))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quotes import quote_span
-from ..functions.segments import let, sentence_spans, sentences
+from ..functions.segments import let, sentences, tile_sentences, tiles
 from ..functions.text import match_form, normalize_verdict
 from ..spec import ENTRY_FIELDS
 from .assertions import has_event, scoped_events
@@ -63,7 +63,7 @@ def _entry(phenotype: Column, severity: Column, time: Column, quote: Column) ->
     return F.struct(*(values[f].cast("string").alias(f) for f in ENTRY_FIELDS)).cast(_ENTRY)
 
 
-def _checked(e: Column, text: Column, form: Column, spans: Column) -> Column:
+def _checked(e: Column, text: Column, form: Column, placed: Column) -> Column:
     """An entry as it should be, or why it goes; duplicates aside."""
 
     def result(entry: Column, removed: Column, fixed: Column) -> Column:
@@ -72,9 +72,7 @@ def _checked(e: Column, text: Column, form: Column, spans: Column) -> Column:
     def removed(why: str) -> Column:
         return result(e, F.lit(why), F.array().cast("array<string>"))
 
-    def corrected(span: Column, near: Column, level: Column) -> Column:
-        date = normalize_date(e["time"])
-        time = F.when(F.array_contains(near, date), date)
+    def corrected(span: Column, level: Column, time: Column) -> Column:
         marks = {
             "quote": ~e["evidence_text"].eqNullSafe(span["text"]),
             "severity": ~e["severity_level"].eqNullSafe(level),
@@ -85,9 +83,12 @@ def _checked(e: Column, text: Column, form: Column, spans: Column) -> Column:
         return result(_entry(e["phenotype"], level, time, span["text"]), F.lit(None).cast("string"), fixed)
 
     def found(span: Column) -> Column:
-        beside = F.filter(spans, lambda s: (s["start"] < span["end"]) & (span["start"] < s["end"]))
+        # Only the tiles beside the quote are made sentences.
+        meets = lambda s: (s["start"] < span["end"]) & (span["start"] < s["end"])
+        beside = F.filter(tile_sentences(F.filter(placed, meets)), meets)
         near = F.flatten(F.transform(beside, lambda s: date_mentions(s["text"])))
-        whole = let(near, lambda n: let(_severity(e["phenotype"], span["text"]), lambda level: corrected(span, n, level)))
+        time = F.when(e["time"].isNotNull(), let(normalize_date(e["time"]), lambda date: F.when(F.array_contains(near, date), date)))
+        whole = let(_severity(e["phenotype"], span["text"]), lambda level: let(time, lambda t: corrected(span, level, t)))
         return F.when(span.isNull(), removed("quote_not_found")).when(~_stated(e["phenotype"], span["text"]), removed("not_supported")).otherwise(whole)
 
     positive = F.coalesce(normalize_verdict(e["present"]) == "Yes", F.lit(False))
@@ -126,10 +127,12 @@ def validate_entries(replies: DataFrame, notes: DataFrame, entries_col: str = "e
     missing or has no text are not found. Each cited note is read once."""
     cited = notes.join(replies.select("note_id"), "note_id", "left_semi")
     n = cited.select("note_id", F.coalesce("note_text", F.lit("")).alias("__text"))
-    n = n.withColumns({"__form": match_form("__text"), "__spans": sentence_spans("__text")})
-    j = replies.join(n, "note_id", "left")
+    n = n.withColumns({"__form": match_form("__text"), "__tiles": tiles("__text")})
+    # A note takes milliseconds, so partitions are not merged by their bytes.
+    parts = int(notes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    j = replies.repartition(parts, "note_id").join(n.repartition(parts, "note_id"), "note_id", "left")
     # Without its note, an entry is checked against an empty text.
     j = j.withColumns({c: F.coalesce(c, F.lit("")) for c in ("__text", "__form")})
-    checked = F.transform(entries_col, lambda e: _checked(e, F.col("__text"), F.col("__form"), F.col("__spans")))
+    checked = F.transform(entries_col, lambda e: _checked(e, F.col("__text"), F.col("__form"), F.col("__tiles")))
     j = j.withColumn("__done", _without_duplicates(checked))
-    return j.withColumns({"validated": F.col("__done.kept"), "outcomes": F.col("__done.outcomes")}).drop("__text", "__form", "__spans", "__done")
+    return j.withColumns({"validated": F.col("__done.kept"), "outcomes": F.col("__done.outcomes")}).drop("__text", "__form", "__tiles", "__done")

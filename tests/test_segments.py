@@ -127,3 +127,13 @@ def test_evidence_spans(spark):
     got = {r.k: (r.grounded, r.quote_start, r.quote_end, r.quote_text) for r in ex.evidence_spans(entries, notes).collect()}
     none = (False, None, None, None)
     assert got == {1: (True, 8, 30, "loose stool,\nin diaper"), 2: none, 3: none, 4: none, 5: none}
+
+
+def test_quotes_behind_signs_beyond_the_first_plane(spark):
+    """A letter of two code units ends a word as any other."""
+    text = "a-b, \U00020000 \U00020001. " * 3 + "x " * 200 + "Loose-stool \U00020000, twice. " + "y " * 500
+    cases = {"loosestool \U00020000 twice": "Loose-stool \U00020000, twice", "\U00020001 x x": "\U00020001. x x", "y y y": "y y y"}
+    rows = spark.createDataFrame([(q, text) for q in cases], "q string, t string")
+    for r in rows.select("q", quote_span("q", "t").alias("s")).collect():
+        at = text.index(cases[r.q])
+        assert (r.s.start, r.s.end, r.s.text) == (at, at + len(cases[r.q]), cases[r.q])

@@ -67,3 +67,12 @@ def test_nothing_is_exploded(spark):
     n = spark.createDataFrame([("n", "x")], "note_id string, note_text string")
     plan = validate_entries(r, n)._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan and "Aggregate(" not in plan.replace("HashAggregate(keys=[note_id", "")
+
+
+def test_partitions_are_not_merged_by_bytes(spark):
+    """A note takes milliseconds, so a few tasks must not hold all of them."""
+    notes = spark.createDataFrame([(str(k), NOTE) for k in range(64)], "note_id string, note_text string").coalesce(1)
+    replies = spark.createDataFrame([(str(k), [entry("Loose stool")]) for k in range(64)], f"note_id string, entries {ENTRY}").coalesce(1)
+    done = validate_entries(replies, notes).select("note_id", "outcomes")
+    assert done.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert done.count() == 64
