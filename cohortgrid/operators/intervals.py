@@ -5,8 +5,9 @@ Intervals are put into bins of a level that fits their length: bins of level
 own level is the lowest at which it touches two bins at most; the top level
 is one bin, for open ends and whatever is longer. Two intervals meet at the
 higher of their own levels, so each interval is listed in its bins of its own
-level and of all above it: at most two a level. A pair is reported in its
-first common bin only, so no pair comes twice and nothing is made distinct.
+level and of those above that are an own level of the other side: at most two
+a level. A pair is reported in its first common bin only, so no pair comes
+twice and nothing is made distinct.
 
 The join keys hold the bin, so a hot key is dealt out along its time axis.
 The width of level 0 is the median length of the closed intervals unless it
@@ -36,26 +37,42 @@ def median_length(*sides: tuple[DataFrame, str, str]) -> int:
     return max(1, round(sum(n * m for n, m in found) / total)) if total else 1
 
 
-def _binned(df: DataFrame, start: Column, end: Column, width: int) -> DataFrame:
-    """Rows with ``__s``, ``__e`` (day numbers, a null end is open), the own
-    level, and one row per (level, bin) from there up."""
+def _bin(day: Column, level: int, width: int) -> Column:
+    return F.floor(day / (width * BASE**level)).cast("int")
+
+
+def _levelled(df: DataFrame, start: Column, end: Column, width: int) -> DataFrame:
+    """Rows with ``__s``, ``__e`` (day numbers, a null end is open) and the
+    own level."""
     epoch = F.lit("1970-01-01").cast("date")
     first, last = F.date_diff(start, epoch), F.date_diff(end, epoch)
     rows = df.withColumns({"__s": first, "__e": last}).filter(F.col("__s").isNotNull() & (F.col("__e").isNull() | (F.col("__e") >= F.col("__s"))))
-    bin_of = lambda day, k: F.floor(day / (width * BASE**k)).cast("int")
     own = F.lit(LEVELS)
     for k in reversed(range(LEVELS)):
-        own = F.when(bin_of(F.col("__e"), k) - bin_of(F.col("__s"), k) <= 1, k).otherwise(own)
-    rows = rows.withColumn("__own", own)
+        own = F.when(_bin(F.col("__e"), k, width) - _bin(F.col("__s"), k, width) <= 1, k).otherwise(own)
+    return rows.withColumn("__own", own)
+
+
+def _own_levels(df: DataFrame, start: Column, end: Column, width: int) -> set[int]:
+    """The own levels that a side has; one aggregate of a few numbers."""
+    counts = _levelled(df, start, end, width).agg(*(F.count_if(F.col("__own") == k) for k in range(LEVELS + 1))).first()
+    return {k for k, n in enumerate(counts) if n}
+
+
+def _binned(df: DataFrame, start: Column, end: Column, width: int, others: Iterable[int] = range(LEVELS + 1)) -> DataFrame:
+    """One row per (level, bin) of a row's own level and of the higher ones
+    among ``others``, the own levels of the other side."""
 
     def listed(k: int) -> Column:
+        meets = F.col("__own") <= k if k in others else F.col("__own") == k
         if k == LEVELS:
-            return F.array(F.struct(F.lit(k).alias("__level"), F.lit(0).alias("__bin"), F.lit(0).alias("__first")))
-        lo = bin_of(F.col("__s"), k)
-        bins = F.transform(F.sequence(lo, bin_of(F.col("__e"), k)), lambda b: F.struct(F.lit(k).alias("__level"), b.alias("__bin"), lo.alias("__first")))
-        return F.when(F.col("__own") <= k, bins).otherwise(F.array().cast("array<struct<__level:int,__bin:int,__first:int>>"))
+            top = F.array(F.struct(F.lit(k).alias("__level"), F.lit(0).alias("__bin"), F.lit(0).alias("__first")))
+            return F.when(meets, top).otherwise(F.array().cast("array<struct<__level:int,__bin:int,__first:int>>"))
+        lo = _bin(F.col("__s"), k, width)
+        bins = F.transform(F.sequence(lo, _bin(F.col("__e"), k, width)), lambda b: F.struct(F.lit(k).alias("__level"), b.alias("__bin"), lo.alias("__first")))
+        return F.when(meets, bins).otherwise(F.array().cast("array<struct<__level:int,__bin:int,__first:int>>"))
 
-    return rows.select("*", F.inline(F.concat(*(listed(k) for k in range(LEVELS + 1)))))
+    return _levelled(df, start, end, width).select("*", F.inline(F.concat(*(listed(k) for k in range(LEVELS + 1)))))
 
 
 def interval_join(
@@ -72,15 +89,16 @@ def interval_join(
 
     A null end is open. Rows with a null key or start, or an end before the
     start, pair with nothing. Other column names must differ between sides.
-    Repeated rows pair each.
+    Repeated rows pair each. Both sides are read by small aggregates before
+    they are joined, so what is costly to derive is best written first.
     """
     keys = list(keys)
     (ls, le), (rs, re_) = left_interval, right_interval
     if width is None:
         width = median_length((left, ls, le), (right, rs, re_))
     day = lambda c: F.col(c).cast("date")
-    a = _binned(left, day(ls), day(le), width)
-    b = _binned(right, day(rs), day(re_), width)
+    one, other = (left, day(ls), day(le), width), (right, day(rs), day(re_), width)
+    a, b = _binned(*one, _own_levels(*other)), _binned(*other, _own_levels(*one))
     b = b.select(*(F.col(c).alias(f"__r_{c}") if c in keys or c.startswith("__") else F.col(c) for c in b.columns))
     same = [F.col(k) == F.col(f"__r_{k}") for k in (*keys, "__level", "__bin")]
     meets = F.greatest("__own", "__r___own") == F.col("__level")
@@ -89,6 +107,7 @@ def interval_join(
     condition = meets & first & overlap
     for c in same:
         condition = c & condition
-    joined = a.join(b, condition)
+    # The size of a side's files says little of its rows in bins: no broadcast.
+    joined = a.join(b.hint("merge"), condition)
     out = [c for c in [*left.columns, *right.columns] if c not in keys]
     return joined.select(*keys, *out, F.greatest(day(ls), day(rs)).alias("overlap_start"), F.least(day(le), day(re_)).alias("overlap_end"))

@@ -63,3 +63,26 @@ def test_plan_is_an_equi_join(spark):
     df = spark.createDataFrame([("a", day(1), day(2))], "k string, s date, e date")
     plan = interval_join(df, df.toDF("k", "x", "y"), ["k"], ("s", "e"), ("x", "y"), 5)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_only_levels_of_the_other_side_are_listed(spark):
+    """Short intervals against short ones stand in bins of their own level
+    only; a long one on the other side adds its level."""
+    from pyspark.sql import functions as F
+
+    from cohortgrid.operators import intervals as iv
+
+    days = [(f"2024-01-{k:02d}", f"2024-01-{k + 1:02d}") for k in range(1, 29)]
+    cast = lambda rows, s, e: spark.createDataFrame([("p", *r) for r in rows], f"k string, {s} string, {e} string")
+
+    def counts(df, others):
+        side = (df, F.col("s").cast("date"), F.col("e").cast("date"), 2)
+        return {r["__level"] for r in iv._binned(*side, others).collect()}, iv._own_levels(*side)
+
+    short = cast(days, "s", "e")
+    assert counts(short, {0}) == ({0}, {0}) and counts(short, {iv.LEVELS}) == ({0, iv.LEVELS}, {0})
+    mixed = cast([*days, ("2020-01-01", "2024-01-03"), ("2024-01-05", None)], "t", "u")
+    pairs = iv.interval_join(short, mixed, ["k"], ("s", "e"), ("t", "u"), width=2)
+    want = sum(1 for a in days for b in [*days, ("2020-01-01", "2024-01-03"), ("2024-01-05", None)] if (b[1] is None or a[0] <= b[1]) and b[0] <= a[1])
+    assert pairs.count() == want
+    assert "Broadcast" not in pairs._jdf.queryExecution().sparkPlan().toString()
