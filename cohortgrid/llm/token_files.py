@@ -26,7 +26,8 @@ from cohortgrid.llm.pfor import Segment, encode_segment
 from cohortgrid.llm.token_counts import byte_symbols
 
 SEGMENT_TOKENS = 1 << 16
-SLICE = 4 << 20
+# Of a slice's bytes, its arrays take some fifty times as much.
+SLICE = 1 << 20
 KNOWN_PIECES = 2_000_000
 SEGMENTS = "shard int, seq int, n_tokens long, payload binary"
 
@@ -40,26 +41,29 @@ _CHECK_CODES = mix(np.arange(301, 557, dtype=np.uint64) * np.uint64(0xD1342543DE
 
 class KnownPieces:
     """Ids of the pieces met so far, in flat arrays: a piece is found by a
-    64-bit hash and a second, independent one. At ``limit`` pieces the table
-    starts over, so its memory is bounded."""
+    64-bit hash and a second, independent one. A piece keeps its slot; only
+    the sorted hashes and their slots are moved when pieces come in. At
+    ``limit`` pieces the table starts over, so its memory is bounded."""
 
     def __init__(self, limit: int = KNOWN_PIECES) -> None:
         self.limit = limit
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.entries = np.zeros((3, 1 << 12), np.int64)  # second hash, start and size
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The slot of each piece, and whether it is known."""
         if not len(self.keys):
             return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        slot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return slot, (self.keys[slot] == keys) & (self.checks[slot] == checks)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        slot = self.slots[at]
+        return slot, (self.keys[at] == keys) & (self.entries[0][slot] == checks.view(np.int64))
 
-    def add(self, keys: np.ndarray, checks: np.ndarray, ids: list[list[int]]) -> None:
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: list[list[int]]) -> np.ndarray:
+        """Take in new pieces; their slots."""
         if len(self.keys) + len(keys) > self.limit:
             self._clear()
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
@@ -69,10 +73,14 @@ class KnownPieces:
         self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         starts = self.used + np.cumsum(sizes) - sizes
         self.used += total
+        slots = np.arange(len(self.keys), len(self.keys) + len(keys))
+        if len(keys) and slots[-1] >= self.entries.shape[1]:
+            self.entries = np.concatenate([self.entries, np.zeros((3, slots[-1] + 1), np.int64)], axis=1)
+        self.entries[:, slots] = checks.view(np.int64), starts, sizes
         order = np.argsort(keys)
         at = np.searchsorted(self.keys, keys[order])
-        self.keys, self.checks = np.insert(self.keys, at, keys[order]), np.insert(self.checks, at, checks[order])
-        self.starts, self.sizes = np.insert(self.starts, at, starts[order]), np.insert(self.sizes, at, sizes[order])
+        self.keys, self.slots = np.insert(self.keys, at, keys[order]), np.insert(self.slots, at, slots[order])
+        return slots
 
 
 class Encoder:
@@ -129,8 +137,9 @@ class Encoder:
         if not len(starts):
             return low, starts, ends, row
         # The last byte of each piece before its tail, if there is one.
-        body = np.where(_TAIL[low], -1, np.arange(len(low)))
-        core = np.maximum.accumulate(body)[ends - 1]
+        body = np.arange(len(low), dtype=np.int32)
+        body[_TAIL[low]] = -1
+        core = np.maximum.accumulate(body, out=body)[ends - 1].astype(np.int64)
         cut = np.flatnonzero((core >= starts) & (core < ends - 1) & _ALNUM[low[core]])
         starts = np.insert(starts, cut + 1, core[cut] + 1)
         ends = np.insert(ends, cut, core[cut] + 1)
@@ -149,13 +158,13 @@ class Encoder:
         bounds = size - size[0]
         keys = span_hashes(spelled, bounds[:-1], bounds[1:])
         checks = span_hashes(spelled, bounds[:-1], bounds[1:], _CHECK_CODES)
-        new = np.flatnonzero(~self.known.find(keys, checks)[1])
+        slot, known = self.known.find(keys, checks)
+        new = np.flatnonzero(~known)
         if len(new):
             if len(self.known.keys) + len(new) > self.known.limit:
                 new = np.arange(len(keys))  # the table starts over
-            self.known.add(keys[new], checks[new], self._encode(distinct.take(pa.array(new)).to_pylist()))
-        slot = self.known.find(keys, checks)[0]
-        first, length = self.known.starts[slot][code], self.known.sizes[slot][code]
+            slot[new] = self.known.add(keys[new], checks[new], self._encode(distinct.take(pa.array(new)).to_pylist()))
+        first, length = self.known.entries[1][slot][code], self.known.entries[2][slot][code]
         at = np.cumsum(length)
         ids = self.known.pool[np.arange(at[-1]) + np.repeat(first - (at - length), length)]
         return ids, np.bincount(row, weights=length, minlength=n).astype(np.int64)

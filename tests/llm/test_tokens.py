@@ -107,3 +107,17 @@ def test_recent_results_move_back():
         for key in table.missing([k, 0]):
             table.young[key] = key
         assert {k, 0} <= table.young.keys() and len(table.young) + len(table.old) <= 8
+
+
+def test_slices_are_small_and_slots_stay():
+    """The arrays of a slice are many times its bytes, and several workers
+    share an executor's memory."""
+    from cohortgrid.llm import token_files
+
+    assert token_files.SLICE <= 1 << 20
+    table, r = KnownPieces(), np.random.default_rng(3)
+    keys, checks = r.integers(0, 1 << 63, 9000, dtype=np.uint64), r.integers(0, 1 << 63, 9000, dtype=np.uint64)
+    slots = np.concatenate([table.add(keys[k : k + 900], checks[k : k + 900], [[i, i] for i in range(k, k + 900)]) for k in range(0, 9000, 900)])
+    found, known = table.find(keys, checks)
+    assert known.all() and (found == slots).all() and (table.pool[table.entries[1][found]] == np.arange(9000)).all()
+    assert not table.find(keys, checks + np.uint64(1))[1].any()
