@@ -62,7 +62,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd multiplier modulo 2**64, and of its inverse."""
     if "up" not in _powers or len(_powers["up"]) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = max(n, min(2 * n, SLICE_BYTES + 1))
         inverse = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
         for name, base in (("up", _MULTIPLIER), ("down", inverse)):
             steps = np.full(size, base, np.uint64)

@@ -9,9 +9,11 @@ store that Spark can write takes them and commits are atomic.
 
 from __future__ import annotations
 
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -28,7 +30,10 @@ from cohortgrid.llm.token_counts import byte_symbols
 SEGMENT_TOKENS = 1 << 16
 # Of a slice's bytes, its arrays take some fifty times as much.
 SLICE = 1 << 20
-KNOWN_PIECES = 2_000_000
+# What a worker gets at once; Spark's own limit is 10,000 rows or 64 MB.
+BATCH = 2 << 20
+KNOWN_PIECES = 400_000
+KNOWN_IDS = 1 << 22
 SEGMENTS = "shard int, seq int, n_tokens long, payload binary"
 
 # A letter or digit and the ASCII punctuation behind it never share a token.
@@ -39,44 +44,83 @@ _ALNUM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 _CHECK_CODES = mix(np.arange(301, 557, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 
 
+def _room(a: np.ndarray, used: int, more: int) -> np.ndarray:
+    """``a``, or a larger array that begins with its first ``used`` entries."""
+    if used + more <= len(a):
+        return a
+    out = np.empty(max(2 * len(a), used + more), a.dtype)
+    out[:used] = a[:used]
+    return out
+
+
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of all runs on end."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 class KnownPieces:
     """Ids of the pieces met so far, in flat arrays: a piece is found by a
-    64-bit hash and a second, independent one. A piece keeps its slot; only
-    the sorted hashes and their slots are moved when pieces come in. At
-    ``limit`` pieces the table starts over, so its memory is bounded."""
+    64-bit hash and a second, independent one. A piece keeps its slot while
+    pieces come in; only the sorted hashes and their slots are moved. Over
+    ``limit`` pieces or ``most_ids`` ids, only pieces that were found again
+    stay, or none if they are many, so the table's memory is bounded."""
 
-    def __init__(self, limit: int = KNOWN_PIECES) -> None:
-        self.limit = limit
+    def __init__(self, limit: int = KNOWN_PIECES, most_ids: int = KNOWN_IDS) -> None:
+        self.limit, self.most_ids = limit, most_ids
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.entries = np.zeros((3, 1 << 12), np.int64)  # second hash, start and size
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.keys, self.slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        # Second hash, start and size, by slot.
+        self.entries = [np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        self.again = np.zeros(0, bool)
+        self.pool, self.used = np.zeros(0, np.uint32), 0
 
     def find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The slot of each piece, and whether it is known."""
         if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+            return np.zeros(len(keys), np.int32), np.zeros(len(keys), bool)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         slot = self.slots[at]
-        return slot, (self.keys[at] == keys) & (self.entries[0][slot] == checks.view(np.int64))
+        known = (self.keys[at] == keys) & (self.entries[0][slot] == checks)
+        self.again[slot[known]] = True
+        return slot, known
+
+    def make_room(self, n: int) -> bool:
+        """Before ``n`` new pieces; whether slots have changed."""
+        have = len(self.keys)
+        if not have or (have + n <= self.limit and self.used <= self.most_ids):
+            return False
+        stay = np.flatnonzero(self.again[:have])
+        checks, starts, sizes = (x[stay] for x in self.entries)
+        ids = int(sizes.sum(dtype=np.int64))
+        if 2 * len(stay) > self.limit or len(stay) + n > self.limit or 2 * ids > self.most_ids:
+            self._clear()
+            return True
+        place = np.cumsum(self.again[:have], dtype=np.int32) - 1
+        kept = self.again[self.slots]
+        self.keys, self.slots = self.keys[kept], place[self.slots[kept]]
+        self.pool, self.used = self.pool[_ragged(starts, sizes)], ids
+        self.entries = [checks, (np.cumsum(sizes) - sizes).astype(np.int32), sizes]
+        self.again = np.zeros(len(stay), bool)
+        return True
 
     def add(self, keys: np.ndarray, checks: np.ndarray, ids: list[list[int]]) -> np.ndarray:
         """Take in new pieces; their slots."""
-        if len(self.keys) + len(keys) > self.limit:
-            self._clear()
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        total = int(sizes.sum())
-        if self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool[: self.used], np.zeros(max(self.used, total), np.uint32)])
+        have, n = len(self.keys), len(keys)
+        sizes = np.fromiter(map(len, ids), np.int32, n)
+        total = int(sizes.sum(dtype=np.int64))
+        self.pool = _room(self.pool, self.used, total)
         self.pool[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         starts = self.used + np.cumsum(sizes) - sizes
         self.used += total
-        slots = np.arange(len(self.keys), len(self.keys) + len(keys))
-        if len(keys) and slots[-1] >= self.entries.shape[1]:
-            self.entries = np.concatenate([self.entries, np.zeros((3, slots[-1] + 1), np.int64)], axis=1)
-        self.entries[:, slots] = checks.view(np.int64), starts, sizes
+        slots = np.arange(have, have + n, dtype=np.int32)
+        self.entries = [_room(x, have, n) for x in self.entries]
+        for x, new in zip(self.entries, (checks, starts, sizes), strict=True):
+            x[have : have + n] = new
+        self.again = _room(self.again, have, n)
+        self.again[have : have + n] = False
         order = np.argsort(keys)
         at = np.searchsorted(self.keys, keys[order])
         self.keys, self.slots = np.insert(self.keys, at, keys[order]), np.insert(self.slots, at, slots[order])
@@ -99,6 +143,8 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
+        # A task has one core; each thread of the library keeps memory of its own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.alphabet = str.maketrans({chr(b): c for b, c in enumerate(byte_symbols())})
@@ -159,14 +205,13 @@ class Encoder:
         keys = span_hashes(spelled, bounds[:-1], bounds[1:])
         checks = span_hashes(spelled, bounds[:-1], bounds[1:], _CHECK_CODES)
         slot, known = self.known.find(keys, checks)
+        if self.known.make_room(len(known) - int(known.sum())):
+            slot, known = self.known.find(keys, checks)
         new = np.flatnonzero(~known)
         if len(new):
-            if len(self.known.keys) + len(new) > self.known.limit:
-                new = np.arange(len(keys))  # the table starts over
             slot[new] = self.known.add(keys[new], checks[new], self._encode(distinct.take(pa.array(new)).to_pylist()))
         first, length = self.known.entries[1][slot][code], self.known.entries[2][slot][code]
-        at = np.cumsum(length)
-        ids = self.known.pool[np.arange(at[-1]) + np.repeat(first - (at - length), length)]
+        ids = self.known.pool[_ragged(first, length)]
         return ids, np.bincount(row, weights=length, minlength=n).astype(np.int64)
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
@@ -178,14 +223,16 @@ class Encoder:
         return [ids[b - n : b].astype("<u4").tobytes() for b, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
 
 
-_encoders: dict[str, Encoder] = {}
+@cache
+def _encoder(path: str) -> Encoder:
+    """One for each worker process. A function sent to workers takes copies
+    of the module's variables along, of its functions only the names."""
+    return Encoder(path)
 
 
 def _segments(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _encoders:
-            _encoders[path] = Encoder(path)
-        encoder = _encoders[path]
+        encoder = _encoder(path)
         shard, seq, start = TaskContext.get().partitionId(), 0, 0
         waiting: list[tuple[list[int | None], np.ndarray, np.ndarray]] = []
         held = 0
@@ -236,13 +283,19 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out_path: str, end_i
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ordered = narrow.withColumn("spread", F.xxhash64("text")).repartitionByRange("id", "spread").sortWithinPartitions("id", "spread", "text")
-    ordered.select("id", "text").mapInArrow(_segments(tokenizer_path, end_id), SEGMENTS).write.parquet(out_path)
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    conf.set(key, BATCH)
+    try:
+        ordered.select("id", "text").mapInArrow(_segments(tokenizer_path, end_id), SEGMENTS).write.parquet(out_path)
+    finally:
+        conf.set(key, before)
 
 
 def _directory(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for shard, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            segment = Segment(payload)
+        for shard, payload in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            segment = Segment(payload.as_py())
             raw = memoryview(segment.tokens().astype("<u4").tobytes())
             ends = np.cumsum(segment.lengths)
             starts = ends - segment.lengths
@@ -268,8 +321,8 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for payload in batch.column(0).to_pylist():
-            segment = Segment(payload)
+        for payload in batch.column(0):
+            segment = Segment(payload.as_py())
             tokens, ends = segment.tokens().astype(np.int32), np.cumsum(segment.lengths)
             yield pa.record_batch([pa.array(segment.ids, mask=segment.no_id), pa.ListArray.from_arrays(np.r_[0, ends].astype(np.int32), tokens)], ["id", "tokens"])
 

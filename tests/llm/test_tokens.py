@@ -1,9 +1,13 @@
 import random
+import shutil
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark import TaskContext, cloudpickle
 from tokenizers import Tokenizer
 
 from cohortgrid.llm.pfor import Segment, encode_segment, pack, unpack
@@ -121,3 +125,66 @@ def test_slices_are_small_and_slots_stay():
     found, known = table.find(keys, checks)
     assert known.all() and (found == slots).all() and (table.pool[table.entries[1][found]] == np.arange(9000)).all()
     assert not table.find(keys, checks + np.uint64(1))[1].any()
+
+
+def test_known_pieces_are_bounded_by_their_ids():
+    """Long pieces, each met once: few of them, but many ids."""
+    encoder, r = Encoder(WORDS), random.Random(7)
+    encoder.known = KnownPieces(most_ids=20_000)
+    library = Tokenizer.from_file(WORDS)
+    for _ in range(40):
+        texts = ["often " + "".join(r.choice("abcdefghijklmnop0123456789") for _ in range(3000)) for _ in range(3)]
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder([t.encode() for t in texts])] == want
+    assert encoder.known.used < 40_000 and len(encoder.known.pool) < 80_000
+
+
+def test_pieces_found_again_outlast_the_others():
+    table, r = KnownPieces(1000), np.random.default_rng(4)
+    often = r.integers(0, 1 << 63, 50, dtype=np.uint64)
+    table.add(often, often + np.uint64(1), [[k] * (k % 4) for k in range(50)])
+    for _ in range(30):
+        rare = r.integers(0, 1 << 63, 300, dtype=np.uint64)
+        assert table.find(often, often + np.uint64(1))[1].all()
+        table.make_room(300)
+        slots = table.add(rare, rare, [[9]] * 300)
+        assert len(table.keys) <= 1000 and (table.pool[table.entries[1][slots]] == 9).all()
+    slot, known = table.find(often, often + np.uint64(1))
+    starts, sizes = table.entries[1][slot], table.entries[2][slot]
+    assert known.all() and [table.pool[a : a + n].tolist() for a, n in zip(starts, sizes)] == [[k] * (k % 4) for k in range(50)]
+
+
+def test_a_worker_gets_small_batches(spark, tmp_path, monkeypatch):
+    """Rows of 20 KB: 2 MB at once, not ten thousand rows."""
+    from cohortgrid.llm import token_files
+
+    def sizes(path, end_id):
+        def run(batches):
+            for b in batches:
+                yield pa.record_batch([pa.array([0], pa.int32()), pa.array([0], pa.int32()), pa.array([b.nbytes], pa.int64()), pa.array([b""], pa.binary())], ["shard", "seq", "n_tokens", "payload"])
+
+        return run
+
+    monkeypatch.setattr(token_files, "_segments", sizes)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    write_token_files(spark.range(600).selectExpr("id as doc_id", "repeat('abcde ', 3500) as text"), WORDS, f"{tmp_path}/t")
+    got = spark.read.parquet(f"{tmp_path}/t").agg({"n_tokens": "max"}).first()[0]
+    assert got < 4 << 20 and spark.conf.get(key) == before
+
+
+def test_tasks_of_a_worker_share_the_encoder(tmp_path, monkeypatch):
+    """Each task unpickles its function anew; the encoders of earlier tasks
+    used to stay in memory beside the new one."""
+    from cohortgrid.llm import token_files
+
+    built, init = [], Encoder.__init__
+    monkeypatch.setattr(Encoder, "__init__", lambda self, path: built.append(path) or init(self, path))
+    monkeypatch.setattr(TaskContext, "get", classmethod(lambda cls: SimpleNamespace(partitionId=lambda: 3)))
+    path = shutil.copy(WORDS, f"{tmp_path}/words.json")
+    sent = cloudpickle.dumps(token_files._segments(path, 2))
+    batch = pa.record_batch([pa.array([5, 6]), pa.array(["one two", None])], ["id", "text"])
+    for _ in range(3):
+        (row,) = cloudpickle.loads(sent)(iter([batch]))
+        assert row.to_pylist()[0]["shard"] == 3 and Segment(row.to_pylist()[0]["payload"]).ids.tolist() == [5, 6]
+    assert built == [path]
