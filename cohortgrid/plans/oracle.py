@@ -725,7 +725,7 @@ SQL["request_ledger"] = _with(
 )
 D["om"] = "select distinct mrn, order_start_date as os, order_end_date as oe, refills from v_order_meds"
 D["days_given"] = "select distinct mrn, cast(taken_time as date) as given from v_admin"
-D["stays"] = "select * from (select mrn, given, lead(given) over (partition by mrn order by given) as until from days_given) where day(given) % 3 = 0"
+D["stays"] = "select mrn, given, lead(given) over (partition by mrn order by given) as until from days_given where given is not null"
 SQL["interval_overlaps"] = _with(
     ["om", "stays"],
     "select mrn, count(*) as pairs, cast(sum(least(coalesce(oe, until), coalesce(until, oe)) - greatest(os, given) + 1) as bigint) as days, "

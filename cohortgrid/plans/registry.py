@@ -564,7 +564,7 @@ def q_interval_overlaps(i):
     orders = materialize(i.orders.select("mrn", "order_start_date", "order_end_date", "refills").distinct(), "order_spans")
     given = i.administered.select("mrn", F.col("taken_time").cast("date").alias("given")).distinct()
     in_order = W.partitionBy("mrn").orderBy("given")
-    stays = materialize(given.withColumn("until", F.lead("given").over(in_order)).filter(F.dayofmonth("given") % 3 == 0), "given_spans")
+    stays = materialize(given.withColumn("until", F.lead("given").over(in_order)), "given_spans")
     pairs = interval_join(orders, stays, ["mrn"], ("order_start_date", "order_end_date"), ("given", "until"))
     days = F.date_diff("overlap_end", "overlap_start") + 1
     return pairs.groupBy("mrn").agg(F.count("*").alias("pairs"), F.sum(days).alias("days"), F.count_if(F.col("overlap_end").isNull()).alias("open_pairs"), F.min("overlap_start").alias("first_overlap"))

@@ -86,3 +86,46 @@ def test_only_levels_of_the_other_side_are_listed(spark):
     want = sum(1 for a in days for b in [*days, ("2020-01-01", "2024-01-03"), ("2024-01-05", None)] if (b[1] is None or a[0] <= b[1]) and b[0] <= a[1])
     assert pairs.count() == want
     assert "Broadcast" not in pairs._jdf.queryExecution().sparkPlan().toString()
+
+
+@pytest.mark.parametrize("dense", [0, 40, 10_000])
+def test_dense_keys_against_brute_force(spark, dense):
+    """No, some and all keys joined whole: 40 lies between the rows of ``hot``
+    and those of the other keys."""
+    (left, a), (right, b) = table(3, 150, "a"), table(4, 160, "b")
+    sizes = {k: max(sum(r[0] == k for r in side) for side in (left, right)) for k in "a b hot".split()}
+    assert max(sizes["a"], sizes["b"]) <= 40 < sizes["hot"]
+    sides = spark.createDataFrame(left, a), spark.createDataFrame(right, b)
+    got = interval_join(*sides, ["k"], ("a_start", "a_end"), ("b_start", "b_end"), dense=dense)
+    assert sorted(((r.k, r.a, r.b, r.overlap_start, r.overlap_end) for r in got.collect()), key=str) == brute_force(left, right)
+    assert got.columns == ["k", "a", "a_start", "a_end", "b", "b_start", "b_end", "overlap_start", "overlap_end"]
+    assert ("__bin" in got._jdf.queryExecution().optimizedPlan().toString()) == (dense < 10_000)
+
+
+def test_overlaps_of_all_administration_days(spark, tmp_path):
+    """Every day of the month opens a span, the last one an open span, a null
+    day none; pairs counted by hand, and the SQL's rows are the same."""
+    import duckdb
+
+    from cohortgrid.plans.oracle import oracle_sql
+    from cohortgrid.plans.registry import queries
+
+    tables = {
+        "part": ([(1, "p", "b", "t")], "p_partkey long, p_name string, p_brand string, p_type string"),
+        "orders": ([(1, 7, "O", "2020-01-01"), (2, 7, "P", "2020-01-10")], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate string"),
+        "lineitem": (
+            [(1, 1, 3.0, "2020-01-02"), (1, 1, 1.0, "2020-01-07"), (2, 1, 5.0, "2020-01-20"), (2, 1, 2.0, None)],
+            "l_orderkey long, l_partkey long, l_quantity double, l_shipdate string",
+        ),
+    }
+    con = duckdb.connect()
+    for name, (rows, schema) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        days = {c: df[c].cast("timestamp") for c in df.columns if c.endswith("date")}
+        (df.withColumns(days) if days else df).write.parquet(f"{tmp_path}/{name}.parquet")
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    got = queries()["interval_overlaps"](spark, str(tmp_path))
+    found = [tuple(str(v) for v in r) for r in got.select("mrn", "pairs", "days", "open_pairs", "first_overlap").collect()]
+    assert found == [("7", "7", "54", "1", "2020-01-02")]
+    sql = con.execute(f"select mrn, pairs, days, open_pairs, first_overlap from ({oracle_sql()['interval_overlaps']})").fetchall()
+    assert [tuple(map(str, r)) for r in sql] == found
